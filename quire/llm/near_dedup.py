@@ -5,7 +5,7 @@
 2. One permutation of the hashes is cut into ``bands * rows`` bins; an empty bin takes the value of the first filled bin
    in an order of its own (optimal densification). Each band of bins gives a bucket key.
 3. In a bucket, candidates are edges from centres to members, never all pairs. Round 0 has the member of least
-   pseudorandom priority as centre; every later round doubles the share of members that are centres, but only in buckets
+   pseudorandom priority as centre; every later round has eight times the share of members as centres, but only in buckets
    that still hold members of different components, and only for pairs across components. It ends when no bucket
    holds a pair that is neither tested nor connected, so no candidate is dropped.
 4. Every edge is confirmed by the two full sets before it links. A fixed-size bitmap of candidate ids keeps other texts
@@ -183,6 +183,19 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = cut(labels.join(jump, labels["comp"] == jump["from"], "left").select("id", F.coalesce("to", "comp").alias("comp")), "labels")
 
 
+def _similar(a: str, b: str, how: Near):
+    """Whether two columns of sets are similar enough; sizes too far apart end it before the sets are met."""
+    common = F.size(F.array_intersect(a, b))
+    near = (100 * F.least(F.size(a), F.size(b)) >= how.percent * F.greatest(F.size(a), F.size(b)))
+    return near & ((100 + how.percent) * common >= how.percent * (F.size(a) + F.size(b)))
+
+
+def _mixed_buckets(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that have two components or more."""
+    both = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    return rows.join(both, "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
     pairs = docs.select("doc_id", "text")
@@ -199,42 +212,26 @@ def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
 
     if not candidates.isEmpty():
         sets = cut(pairs.mapInArrow(_wanted_sets(how, _bitmap(candidates, how)), "id long, values array<bigint>").join(candidates, "id", "left_semi").dropDuplicates(["id"]), "sets")
-        high = 1.0
-        open_ = members.withColumn("comp", F.col("id"))
-        first = True
-        while True:
-            if first:
-                centres = open_.groupBy("key").agg(F.min(F.struct("p", "id", "comp")).alias("c")).select("key", "c.*")
-            else:
-                # centres of this round: priorities below share / m that were no centres before
-                centres = open_.filter((F.col("p") * F.col("m") < high)).select("key", "p", "id", "comp")
-            centres = centres.select("key", F.col("p").alias("cp"), F.col("id").alias("a"), F.col("comp").alias("ca"))
-            edges = open_.join(centres, "key").filter((F.col("comp") != F.col("ca")) & ((F.col("p") > F.col("cp")) | ((F.col("p") == F.col("cp")) & (F.col("id") > F.col("a"))))).select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-            edges = cut(edges, "star")
-            if not edges.isEmpty():
-                half = edges.join(sets.select(F.col("id").alias("b"), F.col("values").alias("vb")), "b")
-                whole = half.join(sets.select(F.col("id").alias("a"), F.col("values").alias("va")), "a")
-                common = F.size(F.array_intersect("va", "vb"))
-                links = whole.filter(100 * common >= how.percent * (F.size("va") + F.size("vb") - common)).select("a", "b")
-                links = cut(links, "links")
-                if not links.isEmpty():
-                    # contract: links between the components so far
-                    la = labels.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-                    lb = labels.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-                    over = links.join(la, "a").join(lb, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-                    labels = components(labels, over)
-            # What is still open: members that were no centres, of buckets with two components or more among them.
-            if first:
-                done = open_.groupBy("key").agg(F.min(F.struct("p", "id")).alias("c"))
-                rest = open_.join(done, "key").filter(F.struct("p", "id") != F.col("c")).drop("c")
-            else:
-                rest = open_.filter(F.col("p") * F.col("m") >= high)
-            rest = rest.drop("comp").join(labels, "id")
-            mixed_ = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-            open_ = cut(rest.join(mixed_, "key", "left_semi").select("key", "m", "id", "p", "comp"), "open")
-            if open_.isEmpty():
-                break
-            first, high = False, max(2.0, high * 2)
+        # Round 0: one centre a bucket, its member of least priority. Few distinct edges, so the sets come to the edges.
+        later = F.struct("p", "id") > F.struct(F.col("cp").alias("p"), F.col("a").alias("id"))
+        centres = members.groupBy("key").agg(F.min(F.struct("p", "id")).alias("c")).select("key", F.col("c.p").alias("cp"), F.col("c.id").alias("a"))
+        rest = cut(members.join(centres, "key").filter(later), "rest")
+        edges = cut(rest.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "star")
+        half = edges.join(sets.select(F.col("id").alias("b"), F.col("values").alias("vb")), "b")
+        links = cut(half.join(sets.select(F.col("id").alias("a"), F.col("values").alias("va")), "a").filter(_similar("va", "vb", how)).select("a", "b"), "links")
+        labels = components(labels, links)
+        open_, high = _mixed_buckets(rest.select("key", "m", "id", "p").join(labels, "id")), 4.0
+        # Later rounds: more centres a bucket. The sets come to the members still open, and pairs are confirmed where they meet.
+        open_ = cut(open_.join(sets, "id"), "open")
+        while not open_.isEmpty():
+            centres = open_.filter(F.col("p") * F.col("m") < high).select("key", F.col("p").alias("cp"), F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("values").alias("va"))
+            links = open_.join(centres, "key").filter((F.col("comp") != F.col("ca")) & later & _similar("va", "values", how)).select(F.col("ca").alias("a"), F.col("comp").alias("b"))
+            links = cut(links.distinct(), "links")  # between the components so far
+            if not links.isEmpty():
+                labels = components(labels, links)
+            rest = open_.filter(F.col("p") * F.col("m") >= high).drop("comp").join(labels, "id")
+            open_ = cut(_mixed_buckets(rest), "open")
+            high *= 8
 
     class_of = classes.join(labels, "id", "left").select(F.col("digest").alias("d"), F.coalesce("comp", "id").alias("component"))
     out = sketch.join(class_of, F.col("digest") == F.col("d"), "left")
