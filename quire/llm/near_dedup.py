@@ -5,7 +5,7 @@
 2. One permutation of the hashes is cut into ``bands * rows`` bins; an empty bin takes the value of the first filled bin
    in an order of its own (optimal densification). Each band of bins gives a bucket key.
 3. In a bucket, candidates are edges from centres to members, never all pairs. Round 0 has the member of least
-   pseudorandom priority as centre; every later round has eight times the share of members as centres, but only in buckets
+   pseudorandom priority as centre; every later round has 64 times the share of members as centres, but only in buckets
    that still hold members of different components, and only for pairs across components. It ends when no bucket
    holds a pair that is neither tested nor connected, so no candidate is dropped.
 4. Every edge is confirmed by the two full sets before it links. A fixed-size bitmap of candidate ids keeps other texts
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
                 labels = components(labels, links)
             rest = open_.filter(F.col("p") * F.col("m") >= high).drop("comp").join(labels, "id")
             open_ = cut(_mixed_buckets(rest), "open")
-            high *= 8
+            high *= 64
 
     class_of = classes.join(labels, "id", "left").select(F.col("digest").alias("d"), F.coalesce("comp", "id").alias("component"))
     out = sketch.join(class_of, F.col("digest") == F.col("d"), "left")
