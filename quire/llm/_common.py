@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -74,7 +75,22 @@ def worker_cache() -> dict:
     return module.__dict__.setdefault("values", {})
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, with the session's batches to Python bounded to a few MB of usual texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
+def release() -> None:
+    """Gives memory that was freed back to the system, so that a worker holds only what it uses."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` has about ``limit`` bytes, one row at least: bounds what a task holds."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
@@ -86,6 +102,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit
             total += n
         if begin < len(sizes):
             yield batch.slice(begin)
+    release()
 
 
 def texts(column: pa.Array) -> pa.Array:

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quire.llm._common import small_batches, texts
+from quire.llm._common import lean, small_batches, texts
 
 DEPTH = 200
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*(>|\Z)", re.DOTALL)
@@ -440,4 +440,4 @@ def extract(pages: DataFrame) -> DataFrame:
             out = [main_text(x, trees) for x in texts(batch.column("html")).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("page_id").cast(pa.int64()), batch.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return lean(pages).select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import cut, small_batches, texts
+from quire.llm._common import cut, lean, small_batches, texts
 
 _SIGNED = np.int64
 
@@ -145,7 +145,7 @@ def _wanted_sets(how: Near, words: np.ndarray):
                 at = mixed(ids.view(np.uint64)) >> np.uint64(64 - how.filter_bits)
             wanted = (words[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.int64)) & 1
             batch = batch.filter(pa.array(wanted.astype(bool)))
-            for part in small_batches([batch]):
+            for part in small_batches([batch] if len(batch) else []):
                 sets = list(shingle_sets(part.column("text"), how.shingle))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), _signed(sets)], ["id", "values"])
 
@@ -198,7 +198,7 @@ def _mixed_buckets(rows: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
-    pairs = docs.select("doc_id", "text")
+    pairs = lean(docs).select("doc_id", "text")
     sketch = cut(pairs.mapInArrow(_sketches(how), "doc_id long, n_shingles long, digest string, keys array<bigint>"), "sketches")
     named = sketch.filter("doc_id is not null and digest is not null")
     classes = cut(named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")), "classes")

@@ -6,7 +6,7 @@ doesn't pay (format version 2); row groups and pages are bounded, and page index
 of some documents, or of the metadata alone, skip the rest.
 
 The tokenizer drops white space and never joins over it, so a text's ids are those of its words
-between ASCII white space, one after the other; each distinct word of a batch is encoded once.
+between ASCII white space, one after the other; a worker keeps the ids of a bounded number of words.
 
 Defined cases: a null or empty text has the end id alone. Repeated rows are encoded each; among
 equal doc_ids the texts' order decides; null ids come first. Other columns are ignored; an empty
@@ -15,6 +15,7 @@ table gives empty files and an empty result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm._common import shared_dir, small_batches, texts, worker_cache
+from quire.llm._common import lean, shared_dir, small_batches, texts, worker_cache
 
 
 @dataclass(frozen=True)
@@ -35,7 +36,7 @@ class Store:
 
     tokenizer: str = "word_bpe_49k.json"
     end: int = 2
-    cache_words: int = 150_000
+    cache_words: int = 400_000
     row_group: int = 32 << 20
     page: int = 256 << 10
     page_rows: int = 1000
@@ -48,38 +49,79 @@ def tokenizer_path(name: str) -> str:
     return name if "/" in name else public_tokenizers.path(name)
 
 
+#: Words of letters alone, and of letters and one mark: the tokenizer splits these into one and two pieces.
+_LETTERS = r"[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+"
+_MARKED = _LETTERS + "[.,;:!?]"
+
+
 class WordEncoder:
-    """Ids of texts through a bounded table of words: two generations of ``most`` words; words in use move to the young one."""
+    """Ids of texts through a table of the first ``most`` distinct words met; the others of a batch are encoded with it."""
 
     def __init__(self, path: str, most: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.young, self.old = Tokenizer.from_file(path), most, {}, {}
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """For each word its ids as 32-bit integers."""
-        young, old = self.young, self.old
-        new = [w for w in words if w not in young and w not in old]
-        for begin in range(0, len(new), 4096):
-            part = new[begin : begin + 4096]
-            young.update(zip(part, (array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-        young.update((w, old[w]) for w in words if w in old and w not in young)
-        out = [young[w] for w in words]
-        if len(young) > self.most:
-            self.young, self.old = {}, young
-        return out
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget(pa.string())
+
+    def forget(self, kind: pa.DataType) -> None:
+        self.words, self.flat, self.begins, self.lengths = pa.array([], kind), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has."""
+        flat, lengths = array("i"), []
+        for begin in range(0, len(words), 4096):
+            for e in self.tokenizer.encode_batch_fast(words[begin : begin + 4096], add_special_tokens=False):
+                ids = e.ids
+                flat.extend(ids)
+                lengths.append(len(ids))
+        return np.array(flat, np.int32), np.array(lengths, dtype=np.int64)
+
+    def together(self, words: list[str], pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of known numbers of pieces, as texts of many words. A piece's last id ends a word for the tokenizer."""
+        if not words:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        parts = []
+        for begin in range(0, len(words), 8192):
+            joined = [" ".join(words[i : min(i + 1024, begin + 8192)]) for i in range(begin, min(begin + 8192, len(words)), 1024)]
+            parts += [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        flat = np.concatenate(parts)
+        ends = np.flatnonzero(self.ends[flat])
+        last = np.cumsum(pieces)
+        if len(ends) != last[-1]:
+            return self.one_by_one(words)
+        return flat, np.diff(ends[last - 1] + 1, prepend=0)
+
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where each word's begin, and how many it has."""
+        pieces = np.where(np.asarray(pc.match_substring_regex(words, f"^{_LETTERS}$")), 1, np.where(np.asarray(pc.match_substring_regex(words, f"^{_MARKED}$")), 2, 0))
+        many = pieces > 0
+        a, n_a = self.together(words.filter(pa.array(many)).to_pylist(), pieces[many])
+        b, n_b = self.one_by_one(words.filter(pa.array(~many)).to_pylist())
+        lengths, begins = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        lengths[many], lengths[~many] = n_a, n_b
+        begins[many], begins[~many] = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b + len(a)
+        return np.concatenate([a, b]), begins, lengths
 
     def texts(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more at the end)."""
         lists = pc.ascii_split_whitespace(texts(column))
-        offsets = np.asarray(lists.offsets, dtype=np.int64)
-        coded = pc.dictionary_encode(lists.flatten())
-        ids = self.words(coded.dictionary.to_pylist())
-        lengths = np.array([len(x) // 4 for x in ids] + [1], dtype=np.int64)
-        flat = np.append(np.frombuffer(b"".join(ids), np.int32), np.int32(end))
-        begins = np.cumsum(lengths) - lengths
-        # the words of all texts, with the end word, of code len(ids), after each
-        codes = np.insert(np.asarray(coded.indices, dtype=np.int64), offsets[1:] - offsets[0], len(ids))
+        offsets, words = np.asarray(lists.offsets, dtype=np.int64), lists.flatten()
+        if words.type != self.words.type:
+            self.forget(words.type)
+        at = pc.index_in(words, value_set=self.words)
+        codes = np.asarray(pc.fill_null(at, -1)).astype(np.int64)
+        new = pc.dictionary_encode(words.filter(pc.is_null(at)))
+        codes[codes < 0] = len(self.words) + np.asarray(new.indices)
+        more, at_more, n_more = self.encode(new.dictionary)
+        flat, begins, lengths = np.concatenate([self.flat, more]), np.concatenate([self.begins, at_more + len(self.flat)]), np.concatenate([self.lengths, n_more])
+        if len(self.words) < self.most:
+            self.words, self.flat, self.begins, self.lengths = pa.concat_arrays([self.words, new.dictionary]), flat, begins, lengths
+        # the words of all texts, with the end word after each
+        flat, begins, lengths = np.append(flat, np.int32(end)), np.append(begins, len(flat)), np.append(lengths, 1)
+        codes = np.insert(codes, offsets[1:] - offsets[0], len(lengths) - 1)
         n = lengths[codes]
         ends = np.cumsum(n)
         out = flat[np.repeat(begins[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
@@ -89,10 +131,11 @@ class WordEncoder:
 
 def _encode(how: Store, path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         cache = worker_cache()
         if (key := ("tokens", path, how.cache_words)) not in cache:
             cache[key] = WordEncoder(path, how.cache_words)
-        for batch in small_batches(batches, limit=2 << 20):
+        for batch in small_batches(batches, limit=3 << 20):
             ids, starts = cache[key].texts(batch.column("text"), how.end)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(starts)), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids))], ["doc_id", "n_tokens", "ids"])
 
@@ -100,7 +143,7 @@ def _encode(how: Store, path: str):
 
 
 def write_tokens(docs: DataFrame, path: str, how: Store = Store()) -> None:
-    rows = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    rows = lean(docs).select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     encoded = rows.mapInArrow(_encode(how, tokenizer_path(how.tokenizer)), "doc_id long, n_tokens long, ids array<int>")
     options = {
         "compression": "zstd", "parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": how.dictionary,

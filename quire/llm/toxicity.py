@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
 The examples are about ``per_class`` labelled texts of each label outside the held-out fold. Their
-words that at least ``min_share`` of the documents have are the terms; document frequencies count every document
+words that ``min_share`` to ``max_share`` of the documents have are the terms; document frequencies count every document
 outside that fold. An
 index entry is a (term, block of examples) with the block's greatest weight and its postings. A
 query sums the entries' bounds by block, scores the blocks of greatest bound in full, and then
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts
+from quire.llm._common import held_out, is_held_out, lean, sampled, small_batches, texts
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -41,6 +41,7 @@ class Nearest:
     width: float = 0.1  # of distance, over which a vote falls by a factor of e
     power: float = 1.2  # of the idf
     min_share: float = 0.001  # of documents, of the rarest term
+    max_share: float = 0.1  # of documents, of the commonest term
     seed: int = 47
 
 
@@ -175,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     chosen = F.broadcast(sampled(ids, "label", how.per_class))  # about 2 * per_class rows
-    got = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow().to_pylist()
+    got = lean(docs).select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow().to_pylist()
     got = [r for r in {r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["words"], r["counts"]))}.values() if r["words"]]
     if len({r["label"] for r in got}) < 2:
         return None, share
@@ -185,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     table = known.mapInArrow(_term_counts(sc.broadcast(words)), "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # a row for each word of the examples
     df[np.asarray(table["t"])] = np.asarray(table["df"])
     n = known.count()
-    common_enough = {w for w, i in words.items() if df[i] >= how.min_share * n}
+    common_enough = {w for w, i in words.items() if how.min_share * n <= df[i] <= max(how.max_share * n, 20)}
     got = [r for r in ({**r, "counts": [c for w, c in zip(r["words"], r["counts"], strict=True) if w in common_enough], "words": [w for w in r["words"] if w in common_enough]} for r in got) if r["words"]]
     if len({r["label"] for r in got}) < 2:
         return None, share
@@ -226,4 +227,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest(),
             scores = np.array(scores, dtype=np.float64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(held, pa.bool_()), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "held_out", "score", "predicted", "evidence"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<bigint>")
+    return lean(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<bigint>")
