@@ -75,7 +75,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
         shingles = np.zeros(len(hashes), np.uint64)
         for j in range(k):
             nxt = np.zeros(len(hashes), np.uint64)
-            nxt[: len(hashes) - j] = hashes[j:]
+            nxt[: max(0, len(hashes) - j)] = hashes[j:]
             shingles = mixed(shingles * np.uint64(0x9E3779B97F4A7C15) + nxt + np.uint64(j + 1))
         for a, b in zip(starts[:-1], starts[1:], strict=True):
             if b - a >= k:

@@ -135,7 +135,7 @@ def _encode(how: Store, path: str):
         cache = worker_cache()
         if (key := ("tokens", path, how.cache_words)) not in cache:
             cache[key] = WordEncoder(path, how.cache_words)
-        for batch in small_batches(batches, limit=3 << 20):
+        for batch in small_batches(batches, limit=6 << 20):
             ids, starts = cache[key].texts(batch.column("text"), how.end)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(starts)), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids))], ["doc_id", "n_tokens", "ids"])
 

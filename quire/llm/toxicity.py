@@ -41,7 +41,8 @@ class Nearest:
     width: float = 0.1  # of distance, over which a vote falls by a factor of e
     power: float = 1.2  # of the idf
     min_share: float = 0.001  # of documents, of the rarest term
-    max_share: float = 0.1  # of documents, of the commonest term
+    max_share: float = 0.1  # of documents, of the commonest term,
+    most_sure: int = 200  # but for terms of no more documents than this
     seed: int = 47
 
 
@@ -186,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     table = known.mapInArrow(_term_counts(sc.broadcast(words)), "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # a row for each word of the examples
     df[np.asarray(table["t"])] = np.asarray(table["df"])
     n = known.count()
-    common_enough = {w for w, i in words.items() if how.min_share * n <= df[i] <= max(how.max_share * n, 20)}
+    common_enough = {w for w, i in words.items() if how.min_share * n <= df[i] <= max(how.max_share * n, how.most_sure)}
     got = [r for r in ({**r, "counts": [c for w, c in zip(r["words"], r["counts"], strict=True) if w in common_enough], "words": [w for w in r["words"] if w in common_enough]} for r in got) if r["words"]]
     if len({r["label"] for r in got}) < 2:
         return None, share
