@@ -10,8 +10,8 @@ window is then verified by its first and last shingle at their exact places. The
 words of a window of up to twice the shingle's length, and longer windows check every
 ``shingle``-th one; equality rests on two or more independent 64-bit hashes of the words.
 
-The benchmark's shingles are broadcast only if a count shows at most ``broadcast_rows`` of them
-(24 bytes each); beyond that, the same join shuffles. Documents are never collected per key.
+What is made of the benchmark is broadcast only if a count shows at most ``broadcast_rows`` of its
+windows and their shingles together; beyond that, the same joins shuffle. Documents are never collected per key.
 
 Defined cases: a null text has no words. Rows are matched by doc_id and text hash, so repeated
 rows each get the same result. Items with a null id hit words but are not named. Items without
@@ -62,7 +62,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     distinct = by_k.select(wid.alias("wid"), "len", "hs", checks.alias("checks")).dropDuplicates(["wid"])
     tokens = cut(distinct.select("wid", "len", "checks", F.posexplode("hs").alias("offset", "h")), "tokens")
     known = tokens.select("h").distinct()
-    small = known.count() <= broadcast_rows
+    small = tokens.count() + by_k.count() <= broadcast_rows  # these bound all that is made of the benchmark
     hint = F.broadcast if small else lambda df: df
 
     # One pass over the texts: benchmark shingles where they stand, and a row of each text at position -1.
