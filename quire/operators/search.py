@@ -52,10 +52,11 @@ def text_scores(index: DataFrame, query: str, field: Column | str = "content", k
     """fragment_id, score: BM25 of rows with any term of the query. Only rows' lengths and query terms' counts are shuffled."""
     field = F.col(field) if isinstance(field, str) else field
     wanted = sorted({t for t in _terms_of(query)})
-    rows = index.select("fragment_id", terms(field).alias("ts")).filter(F.size("ts") > 0)
+    rows = index.select("fragment_id", terms(F.coalesce(field, F.lit(""))).alias("ts"))  # no filter here: it would split every text again
     counts = [(F.size("ts") - F.size(F.array_remove("ts", t))).alias(f"tf{i}") for i, t in enumerate(wanted)]
     rows = rows.select("fragment_id", F.size("ts").alias("len"), *counts)
-    totals = rows.agg(F.count("*").alias("n"), F.avg("len").alias("avg"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(wanted))])
+    some = F.when(F.col("len") > 0, F.col("len"))
+    totals = rows.agg(F.count(some).alias("n"), F.avg(some).alias("avg"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(wanted))])
     rows = rows.crossJoin(F.broadcast(totals))  # one row
     score = F.lit(0.0)
     for i in range(len(wanted)):
