@@ -1,8 +1,9 @@
 """Toxicity by the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
-The examples are about ``per_class`` labelled texts of each label outside the held-out fold. Their
-words that ``min_share`` to ``max_share`` of the documents have are the terms; document frequencies count every document
-outside that fold. An
+The examples are about ``per_class`` labelled texts of each label outside the held-out fold. Words and
+their beginnings of ``stems`` letters (texts build many forms on one stem) are the possible terms; the
+terms are those that stand unevenly in the labels' examples: a chi-squared statistic of ``surely``
+or more, or one of the ``least`` greatest. Document frequencies of the terms count every document outside that fold. An
 index entry is a (term, block of examples) with the block's greatest weight and its postings. A
 query sums the entries' bounds by block, scores the blocks of greatest bound in full, and then
 only those other blocks whose bound reaches the k-th best score so far: the k nearest are exact.
@@ -10,9 +11,9 @@ Votes weigh each neighbour by exp(-distance / ``width``); a logistic fit on the
 themselves (each without itself, weighted to the labels' shares) makes the vote a probability.
 The neighbours are the evidence.
 
-Defined cases: texts without a known term (null and empty ones too) have no neighbour and get
-the share of label 1. Ties among neighbours go to the example first in the index. With no example of both
-labels every score is that share (0 if there is none). Repeated rows are scored each; other columns are ignored.
+Defined cases: texts without a term (null and empty ones too) have no neighbour and get
+the share of label 1 among the examples without one. Ties among neighbours go to the example first in the index. With no example of both
+labels every score is the share of label 1 (0 if there is none). Repeated rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,14 +36,16 @@ _WORD = re.compile(r"[^\W_]+")
 @dataclass(frozen=True)
 class Nearest:
     per_class: int = 2000
-    k: int = 71
+    k: int = 31
     block: int = 64
     first: int = 4  # blocks scored before the bounds count
     width: float = 0.1  # of distance, over which a vote falls by a factor of e
     power: float = 1.2  # of the idf
-    min_share: float = 0.001  # of documents, of the rarest term
-    max_share: float = 0.1  # of documents, of the commonest term,
-    most_sure: int = 200  # but for terms of no more documents than this
+    stems: tuple[int, ...] = (4, 6)  # letters of the beginnings that are terms
+    surely: float = 20.0  # chi-squared of a term and the label
+    least: int = 30  # terms of the greatest chi-squared are taken in any case,
+    fewest: int = 3  # if they stand in as many examples
+    memo: int = 200_000  # words a task keeps the terms of
     seed: int = 47
 
 
@@ -50,6 +53,42 @@ def words_of(text: str) -> Counter:
     return Counter(_WORD.findall(text.lower()))
 
 
+def pieces(word: str, how: Nearest) -> list[str]:
+    """The word, and its beginnings."""
+    return [word, *(word[:n] + "-" for n in how.stems if len(word) > n)]
+
+
+def terms_of(counts: Counter, terms: dict[str, int], memo: dict[str, tuple[int, ...]], how: Nearest) -> dict[int, int]:
+    """Numbers of the terms in a text's words, and how often they stand there. ``memo`` keeps those of words met."""
+    out: dict[int, int] = {}
+    for word, n in counts.items():
+        found = memo.get(word)
+        if found is None:
+            found = tuple(terms[p] for p in pieces(word, how) if p in terms)
+            if len(memo) < how.memo:
+                memo[word] = found
+        for t in found:
+            out[t] = out.get(t, 0) + n
+    return out
+
+
+def uneven_terms(rows: list[tuple[int, list[str]]], how: Nearest) -> list[str]:
+    """Terms whose examples (label, words) are of one label more often than chance makes them, by chi-squared with Yates' correction."""
+    have, have_1 = Counter(), Counter()
+    for label, words in rows:
+        found = {p for w in words for p in pieces(w, how)}
+        have.update(found)
+        if label:
+            have_1.update(found)
+    n, n_1 = len(rows), sum(label for label, _ in rows)
+    names = [t for t, c in have.items() if c >= how.fewest]
+    m, a = np.array([have[t] for t in names], np.float64), np.array([have_1[t] for t in names], np.float64)
+    off = np.maximum(np.abs(a * n - m * n_1) - n / 2, 0)
+    chi = n * off**2 / np.maximum(n_1 * (n - n_1) * m * (n - m), 1e-9)
+    best = sorted(range(len(names)), key=lambda i: (-chi[i], names[i]))
+    return sorted(names[i] for rank, i in enumerate(best) if chi[i] >= how.surely or rank < how.least and chi[i] > 0)
+
+
 def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """All integers of the ranges, one after the other."""
     n = end - begin
@@ -74,26 +113,27 @@ class Index:
         self.block, self.bound = block[begins], np.maximum.reduceat(self.weight, begins)
         self.first = np.searchsorted(term[begins], np.arange(len(terms) + 1))
         self.n_blocks = -(-len(rows) // how.block)
-        self.a = self.b = 0.0
+        self.a = self.b = self.base = 0.0
+        self.memo: dict[str, tuple[int, ...]] = {}
 
     def state(self) -> dict:
         """What :meth:`of_state` takes: arrays and a dictionary alone, which a worker reads without this module."""
-        return {k: v for k, v in vars(self).items() if k != "how"}
+        return {k: v for k, v in vars(self).items() if k not in ("how", "memo")}
 
     @classmethod
     def of_state(cls, state: dict, how: Nearest) -> Index:
         index = object.__new__(cls)
-        vars(index).update(state, how=how)
+        vars(index).update(state, how=how, memo={})
         return index
 
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return (1 + np.log(counts)) * self.idf[terms]
 
     def query(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        known = [(self.terms[w], n) for w, n in counts.items() if w in self.terms]
+        known = sorted(terms_of(counts, self.terms, self.memo, self.how).items())
         if not known:
             return np.zeros(0, np.int64), np.zeros(0)
-        known = np.array(sorted(known))
+        known = np.array(known)
         return known[:, 0], self.weights(known[:, 0], known[:, 1])
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -150,14 +190,13 @@ def logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> tuple[float, flo
     return a, b
 
 
-def _term_counts(terms):
+def _term_counts(terms, how: Nearest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = terms.value
+        known, memo = terms.value, {}
         df = np.zeros(len(known), np.int64)
         for batch in small_batches(batches):
             for text in texts(batch.column("text")).to_pylist():
-                found = [known[w] for w in set(_WORD.findall(text.lower())) if w in known]
-                df[found] += 1
+                df[list(terms_of(words_of(text), known, memo, how))] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["t", "df"])
 
@@ -178,31 +217,34 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     chosen = F.broadcast(sampled(ids, "label", how.per_class))  # about 2 * per_class rows
     got = lean(docs).select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow().to_pylist()
-    got = [r for r in {r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["words"], r["counts"]))}.values() if r["words"]]
+    got = list({r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["words"], r["counts"]))}.values())
+    n_of = Counter(r["label"] for r in got)
+    if len(n_of) < 2:
+        return None, share
+    terms = {t: i for i, t in enumerate(uneven_terms([(r["label"], r["words"]) for r in got], how))}
+    for r in got:
+        r["terms"] = sorted(terms_of(dict(zip(r.pop("words"), r.pop("counts"), strict=True)), terms, {}, how).items())
+    none_of = Counter(r["label"] for r in got if not r["terms"])
+    got = [r for r in got if r["terms"]]
     if len({r["label"] for r in got}) < 2:
         return None, share
-    words = {w: i for i, w in enumerate(sorted({w for r in got for w in r["words"]}))}
     known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).select("text")
-    df = np.zeros(len(words))
-    table = known.mapInArrow(_term_counts(sc.broadcast(words)), "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # a row for each word of the examples
+    df = np.zeros(len(terms))
+    table = known.mapInArrow(_term_counts(sc.broadcast(terms), how), "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # a row for each term
     df[np.asarray(table["t"])] = np.asarray(table["df"])
     n = known.count()
-    common_enough = {w for w, i in words.items() if how.min_share * n <= df[i] <= max(how.max_share * n, how.most_sure)}
-    got = [r for r in ({**r, "counts": [c for w, c in zip(r["words"], r["counts"], strict=True) if w in common_enough], "words": [w for w in r["words"] if w in common_enough]} for r in got) if r["words"]]
-    if len({r["label"] for r in got}) < 2:
-        return None, share
-    terms = {w: i for i, w in enumerate(sorted(common_enough))}
-    df = df[[words[w] for w in terms]]
     idf = np.maximum(np.log((1 + n) / (1 + df)), 0) ** how.power + 1e-6
     # Blocks hold examples alike: by the commonest of their terms, then by label.
-    rows = [(np.array([terms[w] for w in r["words"]]), np.array(r["counts"])) for r in got]
-    common = [int(t[np.argmax(c * (df[t] > 0.01 * n))]) for t, c in rows]
+    rows = [(np.array([t for t, _ in r["terms"]]), np.array([c for _, c in r["terms"]])) for r in got]
+    common = [int(t[np.argmax(df[t])]) for t, _ in rows]
     order = sorted(range(len(rows)), key=lambda i: (common[i], got[i]["label"], got[i]["doc_id"]))
     index = Index(terms, idf, [rows[i] for i in order], np.array([got[i]["label"] for i in order]), np.array([got[i]["doc_id"] for i in order]), how)
     votes = np.array([index.vote(*index.nearest(rows[i][0], index.weights(*rows[i]), without=j)) for j, i in enumerate(order)])
     y = index.labels
-    mass = np.where(y == 1, share / max(1, (y == 1).sum()), (1 - share) / max(1, (y == 0).sum())) * len(y)
+    mass = np.where(y == 1, share / n_of[1], (1 - share) / n_of[0]) * len(y)  # of all examples, those without a term too
     index.a, index.b = logistic(votes, y, mass)
+    none_1, none_0 = share * none_of[1] / n_of[1], (1 - share) * none_of[0] / n_of[0]
+    index.base = none_1 / (none_1 + none_0) if none_1 + none_0 else share
     return index, share
 
 
@@ -222,7 +264,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest(),
                     scores.append(float(1 / (1 + np.exp(-np.clip(index.a * index.vote(top, cosines) + index.b, -40, 40)))))
                     evidence.append(index.ids[top[:5]].tolist())
                 else:
-                    scores.append(share)
+                    scores.append(index.base if index else share)
                     evidence.append([])
             held = [is_held_out(i) for i in batch.column("doc_id").to_pylist()]
             scores = np.array(scores, dtype=np.float64)

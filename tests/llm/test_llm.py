@@ -261,6 +261,20 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(none(spark), labels(spark)).count() == 0
 
 
+def test_toxicity_terms(spark):
+    how = toxicity.Nearest()
+    assert toxicity.pieces("vilest", how) == ["vilest", "vile-"] and toxicity.pieces("vi", how) == ["vi"]
+    memo = {}
+    assert toxicity.terms_of({"vilest": 2, "vilely": 1, "kind": 1}, {"vile-": 0, "vilely": 1}, memo, how) == {0: 3, 1: 1}
+    assert memo == {"vilest": (0,), "vilely": (0, 1), "kind": ()}
+    rows = [(i % 2, ["same", f"u{i}"] + (["vile"] if i % 2 else [])) for i in range(80)]
+    assert toxicity.uneven_terms(rows, how) == ["vile"]
+    # forms of a known stem that no example has
+    docs = [(i, f"w{i} kind words " + (f"vilest{i} " * 3 if i % 3 == 0 else ""), None, None, None, None) for i in range(150)]
+    got = toxicity.score_toxicity(spark.createDataFrame(docs, DOC), labels(spark, [(i, 1, int(i % 3 == 0)) for i in range(150)])).filter("held_out").collect()
+    assert got and all(r["predicted"] == (r["doc_id"] % 3 == 0) for r in got)
+
+
 def test_quote_threads(spark):
     rows = [(1, 0, "user", "Hello there friend.\nSecond line here"), (1, 1, "a", "> Hello there friend.\nMy answer is yes"), (1, 2, "user", "> > Hello there friend.\n> My answer is yes\nThanks"), (1, 3, "a", ">Second   LINE here\n\nok"), (1, 4, "u", None), (2, 0, "u", "> unknown\nfoo"), (None, 1, "u", "x"), (1, 4, "u", None)]
     got = quote_threads.quote_threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
