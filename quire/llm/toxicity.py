@@ -13,7 +13,8 @@ The neighbours are the evidence.
 
 Defined cases: texts without a term (null and empty ones too) have no neighbour and get
 the share of label 1 among the examples without one. Ties among neighbours go to the example first in the index. With no example of both
-labels every score is the share of label 1 (0 if there is none). Repeated rows are scored each; other columns are ignored.
+labels, or none with a term, every score is the share of label 1 (0 if there is none). If the examples
+that have a term are of one label, n of them, texts with a term score as near to it as (n + 1/2) / (n + 1). Repeated rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -226,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
         r["terms"] = sorted(terms_of(dict(zip(r.pop("words"), r.pop("counts"), strict=True)), terms, {}, how).items())
     none_of = Counter(r["label"] for r in got if not r["terms"])
     got = [r for r in got if r["terms"]]
-    if len({r["label"] for r in got}) < 2:
+    if not got:
         return None, share
     known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).select("text")
     df = np.zeros(len(terms))
@@ -242,7 +243,10 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     votes = np.array([index.vote(*index.nearest(rows[i][0], index.weights(*rows[i]), without=j)) for j, i in enumerate(order)])
     y = index.labels
     mass = np.where(y == 1, share / n_of[1], (1 - share) / n_of[0]) * len(y)  # of all examples, those without a term too
-    index.a, index.b = logistic(votes, y, mass)
+    if 0 < y.sum() < len(y):
+        index.a, index.b = logistic(votes, y, mass)
+    else:  # no example of the other label has a term
+        index.b = float(np.log(2 * len(y) + 1)) * (1 if y[0] else -1)
     none_1, none_0 = share * none_of[1] / n_of[1], (1 - share) * none_of[0] / n_of[0]
     index.base = none_1 / (none_1 + none_0) if none_1 + none_0 else share
     return index, share
