@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
 The examples are about ``per_class`` labelled texts of each label outside the held-out fold. Words and
-their beginnings of ``stems`` letters (texts build many forms on one stem) are the possible terms; the
-terms are those that stand unevenly in the labels' examples: a chi-squared statistic of ``surely``
-or more, or one of the ``least`` greatest. Document frequencies of the terms count every document outside that fold. An
+their beginnings of ``stems`` letters (texts build many forms on one stem) are the terms: all that any example
+has. A term's weight is its idf by an emphasis from ``rest`` to 1 by how unevenly it stands in the labels (chi-squared, 1 from ``surely``
+or the ``least``-th greatest on). Document frequencies count every document outside that fold, chi-squared every labelled one. An
 index entry is a (term, block of examples) with the block's greatest weight and its postings. A
 query sums the entries' bounds by block, scores the blocks of greatest bound in full, and then
 only those other blocks whose bound reaches the k-th best score so far: the k nearest are exact.
@@ -11,7 +11,7 @@ Votes weigh each neighbour by exp(-distance / ``width``); a logistic fit on the
 themselves (each without itself, weighted to the labels' shares) makes the vote a probability.
 The neighbours are the evidence.
 
-Defined cases: texts without a term (null and empty ones too) have no neighbour and get
+Defined cases: texts without a word of any example (null and empty ones too) have no neighbour and get
 the share of label 1 among the examples without one. Ties among neighbours go to the example first in the index. With no example of both
 labels, or none with a term, every score is the share of label 1 (0 if there is none). If the examples
 that have a term are of one label, n of them, texts with a term score as near to it as (n + 1/2) / (n + 1). Repeated rows are scored each; other columns are ignored.
@@ -43,9 +43,10 @@ class Nearest:
     width: float = 0.1  # of distance, over which a vote falls by a factor of e
     power: float = 1.2  # of the idf
     stems: tuple[int, ...] = (4, 6)  # letters of the beginnings that are terms
-    surely: float = 20.0  # chi-squared of a term and the label
-    least: int = 30  # terms of the greatest chi-squared are taken in any case,
-    fewest: int = 3  # if they stand in as many examples
+    surely: float = 20.0  # chi-squared of a term and the label, from which on a term has its full weight
+    least: int = 30  # terms of the greatest chi-squared have it in any case
+    rest: float = 0.1  # part of its weight that a term has with a chi-squared of 0
+    fewest: int = 3  # examples of a term by which blocks are laid out
     memo: int = 200_000  # words a task keeps the terms of
     seed: int = 47
 
@@ -73,6 +74,19 @@ def terms_of(counts: Counter, terms: dict[str, int], memo: dict[str, tuple[int,
     return out
 
 
+def chi_squared(m: np.ndarray, a: np.ndarray, n: int, n_1: int) -> np.ndarray:
+    """Of terms that m of n rows have, a of them among the n_1 rows of label 1, with Yates' correction."""
+    off = np.maximum(np.abs(a * n - m * n_1) - n / 2, 0)
+    return n * off**2 / np.maximum(1.0 * n_1 * (n - n_1) * m * (n - m), 1e-9)
+
+
+def emphasis(chi: np.ndarray, how: Nearest) -> np.ndarray:
+    """The part of its weight that each term has, by its chi-squared: never 0."""
+    k = min(how.least, len(chi))
+    full = max(min(how.surely, float(np.partition(chi, len(chi) - k)[len(chi) - k])), 1e-9)
+    return how.rest + (1 - how.rest) * np.minimum(chi / full, 1)
+
+
 def uneven_terms(rows: list[tuple[int, list[str]]], how: Nearest) -> list[str]:
     """Terms whose examples (label, words) are of one label more often than chance makes them, by chi-squared with Yates' correction."""
     have, have_1 = Counter(), Counter()
@@ -84,8 +98,7 @@ def uneven_terms(rows: list[tuple[int, list[str]]], how: Nearest) -> list[str]:
     n, n_1 = len(rows), sum(label for label, _ in rows)
     names = [t for t, c in have.items() if c >= how.fewest]
     m, a = np.array([have[t] for t in names], np.float64), np.array([have_1[t] for t in names], np.float64)
-    off = np.maximum(np.abs(a * n - m * n_1) - n / 2, 0)
-    chi = n * off**2 / np.maximum(n_1 * (n - n_1) * m * (n - m), 1e-9)
+    chi = chi_squared(m, a, n, n_1)
     best = sorted(range(len(names)), key=lambda i: (-chi[i], names[i]))
     return sorted(names[i] for rank, i in enumerate(best) if chi[i] >= how.surely or rank < how.least and chi[i] > 0)
 
@@ -110,7 +123,7 @@ class Index:
         term, self.example, self.weight = term[order], example[order], weight[order]
         block = self.example // how.block
         begins = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])]))
-        self.begin, self.end = begins, np.append(begins[1:], len(term))
+        self.begin, self.end = begins.astype(np.int32), np.append(begins[1:], len(term)).astype(np.int32)
         self.block, self.bound = block[begins], np.maximum.reduceat(self.weight, begins)
         self.first = np.searchsorted(term[begins], np.arange(len(terms) + 1))
         self.n_blocks = -(-len(rows) // how.block)
@@ -131,11 +144,10 @@ class Index:
         return (1 + np.log(counts)) * self.idf[terms]
 
     def query(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        known = sorted(terms_of(counts, self.terms, self.memo, self.how).items())
-        if not known:
-            return np.zeros(0, np.int64), np.zeros(0)
-        known = np.array(known)
-        return known[:, 0], self.weights(known[:, 0], known[:, 1])
+        known = terms_of(counts, self.terms, self.memo, self.how)
+        terms, n = np.fromiter(known, np.int64, len(known)), np.fromiter(known.values(), np.int64, len(known))
+        order = np.argsort(terms)
+        return terms[order], self.weights(terms[order], n[order])
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples and their cosines to the query's known part."""
@@ -192,14 +204,20 @@ def logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> tuple[float, flo
 
 
 def _term_counts(terms, how: Nearest):
+    """t, df, m, a: texts with term t, labelled ones among them, those of label 1. t = -1 has the counts of all texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, memo = terms.value, {}
-        df = np.zeros(len(known), np.int64)
+        counts, all_ = np.zeros((3, len(known)), np.int64), np.zeros(3, np.int64)
         for batch in small_batches(batches):
-            for text in texts(batch.column("text")).to_pylist():
-                df[list(terms_of(words_of(text), known, memo, how))] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["t", "df"])
+            for text, label in zip(texts(batch.column("text")).to_pylist(), batch.column("label").to_pylist(), strict=True):
+                found = terms_of(words_of(text), known, memo, how)
+                found = np.fromiter(found, np.int64, len(found))
+                for row in (0,) if label is None else (0, 1, 2) if label else (0, 1):
+                    counts[row, found] += 1
+                    all_[row] += 1
+        at = np.flatnonzero(counts[0])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), *(pa.array(np.append(counts[i, at], all_[i])) for i in range(3))], ["t", "df", "m", "a"])
 
     return run
 
@@ -222,22 +240,27 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     n_of = Counter(r["label"] for r in got)
     if len(n_of) < 2:
         return None, share
-    terms = {t: i for i, t in enumerate(uneven_terms([(r["label"], r["words"]) for r in got], how))}
+    uneven = uneven_terms([(r["label"], r["words"]) for r in got], how)
+    terms = {t: i for i, t in enumerate(sorted({p for r in got for w in r["words"] for p in pieces(w, how)}))}
+    uneven = np.isin(np.arange(len(terms)), [terms[t] for t in uneven])
+    memo: dict[str, tuple[int, ...]] = {}
     for r in got:
-        r["terms"] = sorted(terms_of(dict(zip(r.pop("words"), r.pop("counts"), strict=True)), terms, {}, how).items())
+        r["terms"] = sorted(terms_of(dict(zip(r.pop("words"), r.pop("counts"), strict=True)), terms, memo, how).items())
     none_of = Counter(r["label"] for r in got if not r["terms"])
     got = [r for r in got if r["terms"]]
     if not got:
         return None, share
-    known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull()).select("text")
-    df = np.zeros(len(terms))
-    table = known.mapInArrow(_term_counts(sc.broadcast(terms), how), "t long, df long").groupBy("t").agg(F.sum("df").alias("df")).toArrow()  # a row for each term
-    df[np.asarray(table["t"])] = np.asarray(table["df"])
-    n = known.count()
+    known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
+    known = lean(known).join(ids, "doc_id", "left").select("text", "label")  # both grow with the input: not broadcast
+    table = known.mapInArrow(_term_counts(sc.broadcast(terms), how), "t long, df long, m long, a long").groupBy("t").agg(F.sum("df").alias("df"), F.sum("m").alias("m"), F.sum("a").alias("a")).toArrow()  # a row for each term
+    counts = np.zeros((3, len(terms) + 1))  # the last column has the counts of all texts, as t = -1
+    counts[:, np.asarray(table["t"])] = [np.asarray(table[c]) for c in ("df", "m", "a")]
+    (n, n_known, n_known_1), (df, m, a) = counts[:, -1], counts[:, :-1]
     idf = np.maximum(np.log((1 + n) / (1 + df)), 0) ** how.power + 1e-6
-    # Blocks hold examples alike: by the commonest of their terms, then by label.
+    idf *= emphasis(chi_squared(m, a, n_known, n_known_1), how)
+    # Blocks hold examples alike: by the commonest of their uneven terms, then by label.
     rows = [(np.array([t for t, _ in r["terms"]]), np.array([c for _, c in r["terms"]])) for r in got]
-    common = [int(t[np.argmax(df[t])]) for t, _ in rows]
+    common = [int(t[np.argmax(df[t] * uneven[t])]) if uneven[t].any() else -1 for t, _ in rows]
     order = sorted(range(len(rows)), key=lambda i: (common[i], got[i]["label"], got[i]["doc_id"]))
     index = Index(terms, idf, [rows[i] for i in order], np.array([got[i]["label"] for i in order]), np.array([got[i]["doc_id"] for i in order]), how)
     votes = np.array([index.vote(*index.nearest(rows[i][0], index.weights(*rows[i]), without=j)) for j, i in enumerate(order)])

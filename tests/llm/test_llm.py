@@ -275,6 +275,18 @@ def test_toxicity_terms(spark):
     assert got and all(r["predicted"] == (r["doc_id"] % 3 == 0) for r in got)
 
 
+def test_toxicity_finds_neighbours_without_an_uneven_term(spark):
+    # words of one or two examples each are terms too: every text that shares a word with an example has neighbours
+    ids = [i for i in range(200) if not toxicity.is_held_out(i)]
+    docs = [(i, "kind nice good same " + (f"vile u{i}" if n % 3 == 0 else f"rare{n} odd{n}"), None, None, None, None) for n, i in enumerate(ids)]
+    asked = [(1000 + n, f"rare{n} odd{n} unheard{n}", None, None, None, None) for n in range(1, 40) if n % 3]
+    out = toxicity.score_toxicity(spark.createDataFrame(docs + asked, DOC), labels(spark, [(i, 1, int(n % 3 == 0)) for n, i in enumerate(ids)]))
+    got = {r["doc_id"]: r for r in out.filter("doc_id >= 1000").collect()}
+    assert len(got) == len(asked) and all(r["evidence"] and r["evidence"][0] == ids[i - 1000] and r["predicted"] == 0 for i, r in got.items())
+    assert toxicity.emphasis(np.array([0.0, 10.0, 400.0]), toxicity.Nearest(surely=20.0, least=1, rest=0.1)).tolist() == pytest.approx([0.1, 0.55, 1])
+
+
+
 def test_quote_threads(spark):
     rows = [(1, 0, "user", "Hello there friend.\nSecond line here"), (1, 1, "a", "> Hello there friend.\nMy answer is yes"), (1, 2, "user", "> > Hello there friend.\n> My answer is yes\nThanks"), (1, 3, "a", ">Second   LINE here\n\nok"), (1, 4, "u", None), (2, 0, "u", "> unknown\nfoo"), (None, 1, "u", "x"), (1, 4, "u", None)]
     got = quote_threads.quote_threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
