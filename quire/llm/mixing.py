@@ -1,10 +1,12 @@
 """Mixing sources to target weights.
 
 Each source's texts, in a fixed pseudorandom order, are one stream of words, packed into blocks
-of ``block`` words (the last one of a source may be shorter). Output shards of ``shard`` slots
-draw how many slots each source gets: the whole parts of slots x share are given, the remaining
-slots are a multinomial draw over the remaining shares (so each shard's counts have multinomial
-expectation, with less variance). A source's slots are numbered over all shards; slot k is
+of ``block`` words (the last one of a source may be shorter). Sources of under ``parts`` such blocks
+have smaller ones, about ``parts`` of them, so that whole blocks come near their targets too. A source
+gets as many slots as blocks of its mean size make its target, rounded by a random offset (the
+expectation is the target). The slots are dealt evenly over the output shards, of about ``shard`` slots
+of ``block`` words; what rounding leaves is carried from shard to shard. A source's slots
+are numbered over all shards; slot k is
 mapped through the source's pseudorandom permutation of block indexes (swap-or-not, one for each
 pass over the source), and slots and blocks are joined by that index. No block is taken more
 than ``most`` times, so no document is.
@@ -19,11 +21,9 @@ without words, gives targets of 0. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +37,7 @@ class Mix:
     weights: tuple[float, ...] = (1, 2, 3)
     most: int = 3
     block: int = 64
+    parts: int = 64  # blocks that a source has about, if it has not words for as many of full size
     shard: int = 1 << 20
     chunk: int = 256
     rounds: int = 12
@@ -66,8 +67,13 @@ def mix(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     totals.sort(key=lambda r: (r[0] is None, (r[0] or "").encode("utf-8", "surrogatepass")))
     goals = targets([r[1] for r in totals], [how.weights[i % len(how.weights)] for i in range(len(totals))], how.most)
     total = sum(r[1] for r in totals)
-    about = [(i, r[0], int(r[1]), float(g), -(-int(r[1]) // how.block), max(1, -(-int(r[2]) // how.chunk))) for i, (r, g) in enumerate(zip(totals, goals, strict=True))]
-    sources = spark.createDataFrame(about, "s int, source string, source_size long, target double, blocks long, chunks long")
+    block = [max(1, min(how.block, -(-int(r[1]) // how.parts))) for r in totals]
+    blocks = [-(-int(r[1]) // b) for r, b in zip(totals, block, strict=True)]
+    # Slots by words: never above most * blocks, as no target is above most times its source's size.
+    n_slots = np.array([min(g * n / r[1], how.most * n) if r[1] else 0.0 for r, g, n in zip(totals, goals, blocks, strict=True)])
+    offset = (np.cumsum(n_slots) - n_slots + np.random.default_rng(how.seed).random()) % 1  # systematic: the slots of all sources add up, too
+    about = [(i, r[0], int(r[1]), float(g), b, n, max(1, -(-int(r[2]) // how.chunk)), float(k), float(u)) for i, (r, g, b, n, k, u) in enumerate(zip(totals, goals, block, blocks, n_slots, offset, strict=True))]
+    sources = spark.createDataFrame(about, "s int, source string, source_size long, target double, block long, blocks long, chunks long, slots double, offset double")
 
     # Streams: where each document begins among its source's words.
     docs_of = sized.join(F.broadcast(sources.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")  # a row for each source
@@ -79,33 +85,19 @@ def mix(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("s", "chunk").orderBy("doc_id", "th", "size"))
     placed = docs_of.withColumn("start", F.coalesce(within, F.lit(0))).withColumn("nr", number).join(chunks.hint("merge"), ["s", "chunk"])
     placed = placed.withColumn("start", F.col("start") + F.col("chunk_start"))
-    first, last = F.expr(f"start div {how.block}"), F.expr(f"(start + size - 1) div {how.block}")
+    first, last = F.expr("start div block"), F.expr("(start + size - 1) div block")
     pieces = placed.withColumn("index", F.explode(F.when(F.col("size") > 0, F.sequence(first, last)).otherwise(F.array(F.lit(-1).cast("long")))))
-    words = F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * how.block) - F.greatest(F.col("start"), F.col("index") * how.block)
+    words = F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * F.col("block")) - F.greatest(F.col("start"), F.col("index") * F.col("block"))
     pieces = pieces.select("s", "index", "doc_id", "size", "source_size", "target", "chunk", "nr", F.when(F.col("index") >= 0, words).otherwise(0).alias("words"))
 
-    # Shards: how many slots each source gets, then which numbers they have within the source.
-    n_slots = round(total / how.block)
-    n_shards = -(-n_slots // how.shard)
-    share = np.array(goals) / total if total else np.zeros(len(goals))
-
-    def draw(frames: Iterator[pd.DataFrame], share=share, n_slots=n_slots, size=how.shard, seed=how.seed) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard in frame["id"]:
-                n = min(size, n_slots - int(shard) * size)
-                sure = np.floor(n * share + 1e-9).astype(np.int64)
-                rest = np.maximum(n * share - sure, 0)
-                left = n - int(sure.sum())
-                if left > 0 and rest.sum() > 0:
-                    sure = sure + np.random.default_rng([seed, int(shard)]).multinomial(left, rest / rest.sum())
-                yield pd.DataFrame({"shard": np.int64(shard), "s": np.arange(len(share), dtype=np.int32), "n": sure})
-
-    drawn = spark.range(n_shards).mapInPandas(draw, "shard long, s int, n long").filter("n > 0")
-    drawn = drawn.withColumn("k0", F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    runs = drawn.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(4096).cast("long"))))
-    runs = runs.select("s", (F.col("k0") + F.col("from")).alias("a"), (F.col("k0") + F.least(F.col("from") + 4096, "n")).alias("b"))
-    runs = runs.join(F.broadcast(sources.select("s", "blocks")), "s").repartition(F.col("s"), F.col("a"))
-    slots = runs.select("s", "blocks", F.explode(F.expr("sequence(a, b - 1)")).alias("k")).filter(F.col("k") < how.most * F.col("blocks"))
+    # Shards: slots a to b - 1 of each source; the rounded running totals carry what is left of a slot to the next shard.
+    n_shards = max(1, -(-round(total / how.block) // how.shard))
+    drawn = spark.range(n_shards).crossJoin(F.broadcast(sources.select("s", "blocks", "slots", "offset")))  # a row for each source
+    edge = lambda shard: F.floor(F.col("slots") * (shard / float(n_shards)) + F.col("offset"))
+    drawn = drawn.select("s", "blocks", edge(F.col("id")).alias("k0"), edge(F.col("id") + 1).alias("k1")).filter("k0 < k1")
+    runs = drawn.withColumn("a", F.explode(F.sequence(F.col("k0"), F.col("k1") - 1, F.lit(4096).cast("long"))))
+    runs = runs.select("s", "blocks", "a", F.least(F.col("a") + 4096, "k1").alias("b")).repartition(F.col("s"), F.col("a"))
+    slots = runs.select("s", "blocks", F.explode(F.expr("sequence(a, b - 1)")).alias("k"))
     # Swap-or-not: each round pairs i with key - i and swaps by a hash of the pair: a permutation of 0..blocks-1 for any keys.
     permuted = f"""
         aggregate(sequence(1, {how.rounds}), k % blocks, (i, r) ->

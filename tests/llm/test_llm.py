@@ -127,6 +127,25 @@ def test_mix(spark):
     assert copies.columns == odd(spark).columns and copies.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 6
 
 
+def test_mix_of_small_sources(spark):
+    sizes = [10, 30, 70, 100, 300, 999] * 8
+    small = [(1000 * i + j, " ".join(["w"] * n), None, f"s{i:02d}", None, None) for i, size in enumerate(sizes) for j, n in enumerate([size // 3, size - size // 3])]
+    hot = [(100_000 + j, "w " * 1000, None, "hot", None, None) for j in range(300)]
+    docs = spark.createDataFrame(hot + small, DOC)
+    for weights in ((1, 2, 3), (300_000, *(1.37 * n for n in sizes))):  # targets at most times the size, and below
+        rows = mixing.mix(docs, mixing.Mix(weights=weights, shard=128)).join(docs.select("doc_id", "source"), "doc_id").collect()
+        taken, of = Counter(), {}
+        for r in rows:
+            assert r["taken"] <= 3 * r["size"]
+            taken[r["source"]] += r["taken"]
+            of[r["source"]] = (r["source_size"], r["target"])
+        assert any(0 < target < 2 * size for size, target in of.values() if size < 1000) == (len(weights) > 3)
+        for source, (size, target) in of.items():
+            block = min(64, -(-size // 64))
+            assert abs(taken[source] - target) <= 2 * block, source  # a slot rounded, and a short block drawn or not
+            assert size < 100 or abs(taken[source] - target) < 0.03 * target, source
+
+
 def test_quality_on_held_out_rows(spark):
     docs, known = table(spark, SF, "documents"), table(spark, SF, "labels")
     got = quality_ranker.rank_quality(docs, known).join(known, "doc_id").filter("held_out").collect()
