@@ -24,10 +24,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm._common import cut, space_words
+from quire.llm._common import SPACE_CHARS, cut, space_words
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,7 @@ class Mix:
     shard: int = 1 << 20
     chunk: int = 256
     rounds: int = 12
+    fine: int = 100  # mixed_rows cuts documents of more than 1/fine of their source's target
     seed: int = 29
 
 
@@ -60,6 +61,11 @@ def targets(sizes: list[int], weights: list[float], most: int) -> list[float]:
 
 def mix(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row for each row of ``docs``."""
+    return _mix(docs, how).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _mix(docs: DataFrame, how: Mix) -> DataFrame:
+    """As :func:`mix`, with the source's number s and its number of chunks."""
     spark = docs.sparkSession
     sized = docs.select("doc_id", "source", F.size(space_words(F.col("text"))).cast("long").alias("size"), F.xxhash64("text").alias("th"))
     sized = cut(sized, "sizes")
@@ -88,7 +94,7 @@ def mix(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     first, last = F.expr("start div block"), F.expr("(start + size - 1) div block")
     pieces = placed.withColumn("index", F.explode(F.when(F.col("size") > 0, F.sequence(first, last)).otherwise(F.array(F.lit(-1).cast("long")))))
     words = F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * F.col("block")) - F.greatest(F.col("start"), F.col("index") * F.col("block"))
-    pieces = pieces.select("s", "index", "doc_id", "size", "source_size", "target", "chunk", "nr", F.when(F.col("index") >= 0, words).otherwise(0).alias("words"))
+    pieces = pieces.select("s", "index", "doc_id", "size", "source_size", "target", "chunks", "chunk", "nr", F.when(F.col("index") >= 0, words).otherwise(0).alias("words"))
 
     # Shards: slots a to b - 1 of each source; the rounded running totals carry what is left of a slot to the next shard.
     n_shards = max(1, -(-round(total / how.block) // how.shard))
@@ -107,15 +113,44 @@ def mix(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     times = slots.select("s", F.expr(permuted).alias("index")).groupBy("s", "index").agg(F.count("*").alias("times"))
 
     # Both sides grow with the input; the planner doesn't know what explode makes, so it is told not to broadcast.
-    out = pieces.join(times.hint("merge"), ["s", "index"], "left").groupBy("s", "chunk", "nr", "doc_id", "size", "source_size", "target").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return pieces.join(times.hint("merge"), ["s", "index"], "left").groupBy("s", "chunks", "chunk", "nr", "doc_id", "size", "source_size", "target").agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
+
+
+def _some_words(text: Column, skip: Column, n: Column) -> Column:
+    """n words of a text after ``skip`` words, with the white space between them."""
+    words = F.split(F.ltrim(text, F.lit(SPACE_CHARS)), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    return F.rtrim(F.array_join(F.slice(words, skip + 1, n), ""), F.lit(SPACE_CHARS))
 
 
 def mixed_rows(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes its words: whole copies, and one more with the probability of the part left (by a hash of its id)."""
-    taken = mix(docs, how).filter("taken > 0").groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size")).select(F.col("doc_id").alias("_id"), "_taken", "_size")
-    even = F.pmod(F.xxhash64(F.lit(how.seed + 1), F.col("_id")), F.lit(1 << 30)) / float(1 << 30)
-    taken = taken.select("_id", F.floor(F.col("_taken") / F.col("_size") + even).cast("int").alias("_copies")).filter("_copies > 0")
+    """The rows of ``docs``, each as often as the mix takes its words: whole copies, and for the part left one more or none.
+
+    A document of more than 1/``fine`` of its source's target gets a copy cut to the words left, from a place by hash. The others' parts
+    are rounded along their source's stream, by size, so that a source's words stay within about 1/``fine`` of its target.
+    """
+    one = 1 << 30
+    taken = _mix(docs, how).filter("taken > 0").groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"), F.min("s").alias("s"), F.min("chunks").alias("chunks"), F.min("target").alias("target"))
+    taken = taken.select(F.col("doc_id").alias("_id"), "_size", (F.col("_taken") % F.col("_size")).alias("_left"), F.expr("_taken div _size").alias("_copies"), "s", "chunks", (F.col("_size") * how.fine > F.col("target")).alias("_long"))
+    taken = taken.withColumn("w", F.when(F.col("_long"), 0).otherwise(F.expr(f"_left * {one}L div _size"))).withColumn("class", F.floor(F.log2("_size")))
+    taken = cut(taken.withColumn("chunk", F.pmod(F.xxhash64(F.lit(how.seed + 1), "_id"), "chunks")), "taken")
+    sums = taken.groupBy("s", "class", "chunk").agg(F.sum("w").alias("sum"))
+    before = F.sum("sum").over(Window.partitionBy("s").orderBy("class", "chunk").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select("s", "class", "chunk", F.coalesce(before, F.lit(0)).alias("before"))
+    within = F.sum("w").over(Window.partitionBy("s", "class", "chunk").orderBy("_size", "_id").rowsBetween(Window.unboundedPreceding, 0))
+    taken = taken.withColumn("within", within).join(sums.hint("merge"), ["s", "class", "chunk"])
+    taken = taken.withColumn("to", F.col("before") + F.col("within") + F.pmod(F.xxhash64(F.lit(how.seed + 1), "s"), F.lit(one)))
+    taken = taken.select("_id", "_size", F.when(F.col("_long"), F.col("_left")).otherwise(0).alias("_left"), (F.col("_copies") + F.expr(f"to div {one}L - (to - w) div {one}L")).cast("int").alias("_copies")).filter("_copies > 0 or _left > 0")
     fields = F.struct(*[docs[c].alias(f"f{i}") for i, c in enumerate(docs.columns)]).alias("_row")
-    rows = docs.select(fields, docs["doc_id"].alias("_key")).join(taken, F.col("_key").eqNullSafe(F.col("_id"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select(*[F.col(f"_row.f{i}").alias(c) for i, c in enumerate(docs.columns)])
+    size = F.size(space_words(docs["text"]))
+    rows = docs.select(fields, docs["doc_id"].alias("_key"), size.alias("_words")).join(taken, F.col("_key").eqNullSafe(F.col("_id")))
+    rows = rows.withColumn("_part", F.round(F.col("_left") * F.col("_words") / F.col("_size")).cast("int"))
+    last = F.col("_copies") + F.when(F.col("_part") > 0, 1).otherwise(0)
+    rows = rows.filter(last > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), last)))
+    is_cut = F.col("_copy") > F.col("_copies")
+    skip = F.pmod(F.xxhash64(F.lit(how.seed + 2), "_key"), F.col("_words") - F.col("_part") + 1).cast("int")
+    of = {c: F.col(f"_row.f{i}") for i, c in enumerate(docs.columns)}
+    rows = rows.withColumn("_text", F.when(is_cut, _some_words(of["text"], skip, F.col("_part"))).otherwise(of["text"]))
+    of["text"] = F.col("_text")
+    if "n_chars" in of:
+        of["n_chars"] = F.when(is_cut, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(of["n_chars"])
+    return rows.select(*[x.alias(c) for c, x in of.items()])

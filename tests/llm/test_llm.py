@@ -146,6 +146,16 @@ def test_mix_of_small_sources(spark):
             assert size < 100 or abs(taken[source] - target) < 0.03 * target, source
 
 
+def test_mixed_rows_near_targets(spark):
+    docs = table(spark, SF, "documents")
+    goal = {r["source"]: r["target"] for r in mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").select("source", "target").distinct().collect()}
+    rows, got = {r["doc_id"]: r for r in docs.collect()}, Counter()
+    for r in mixing.mixed_rows(docs).collect():
+        got[r["source"]] += len(WORD.findall(r["text"]))
+        assert r["text"] in rows[r["doc_id"]]["text"] and r["n_chars"] == len(r["text"])
+    assert all(abs(got[s] - t) < 0.025 * t for s, t in goal.items())
+
+
 def test_quality_on_held_out_rows(spark):
     docs, known = table(spark, SF, "documents"), table(spark, SF, "labels")
     got = quality_ranker.rank_quality(docs, known).join(known, "doc_id").filter("held_out").collect()
