@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import sys
 import types
 import uuid
@@ -25,15 +26,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    """The folder that driver and executors share. Only where both are one process may the session name none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file:///tmp/checkpoints"
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later jobs, and retries after a lost executor, start from the files."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """``df`` written to the shared folder and read back: later jobs, and retries after a lost executor, start from the files.
+
+    They go when the driver ends, or with :func:`discard`.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quire_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the files of frames made by :func:`cut`, which nothing reads any more."""
+    for df in frames:
+        fs, at = _file_system(df.sparkSession, df._quire_path)
+        fs.delete(at, True)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -75,12 +101,6 @@ def worker_cache() -> dict:
     return module.__dict__.setdefault("values", {})
 
 
-def lean(df: DataFrame) -> DataFrame:
-    """``df``, with the session's batches to Python bounded to a few MB of usual texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    return df
-
-
 def release() -> None:
     """Gives memory that was freed back to the system, so that a worker holds only what it uses."""
     pa.default_memory_pool().release_unused()
@@ -91,7 +111,10 @@ def release() -> None:
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches whose ``column`` has about ``limit`` bytes, one row at least: bounds what a task holds."""
+    """The same rows in batches whose ``column`` has about ``limit`` bytes, one row at least: bounds what a task makes of them.
+
+    The batches that come are bounded by the session's spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless set.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         begin = total = 0

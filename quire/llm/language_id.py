@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import held_out, is_held_out, lean, sampled, small_batches, texts
+from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -118,7 +118,7 @@ def temperature(scores: np.ndarray, y: np.ndarray) -> float:
 
 def fit(docs: DataFrame, how: Language = Language()):
     """classes, idf, weights, temperature; None if there is nothing to learn from."""
-    known = lean(docs).select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     df = np.zeros(1 << how.bits)
     got = known.select("text").mapInArrow(_frequencies(how), "f long, df long").groupBy("f").agg(F.sum("df").alias("df")).toArrow()  # a row for each feature
     df[np.asarray(got["f"])] = np.asarray(got["df"])
@@ -168,4 +168,4 @@ def identify(docs: DataFrame, how: Language = Language()) -> DataFrame:
             held = [is_held_out(i) for i in batch.column("doc_id").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(held, pa.bool_()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return lean(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolang_pred string, score double")

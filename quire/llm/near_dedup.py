@@ -1,22 +1,26 @@
-"""Near-duplicate detection: one-permutation MinHash, banded buckets, star-shaped candidates, links confirmed on full sets.
+"""Near-duplicate detection: one-permutation MinHash, banded buckets, star-shaped candidate edges, links confirmed on full sets.
 
 1. Each text becomes the set of 64-bit hashes of its distinct ``shingle``-word shingles; texts of equal sets are one
-   class, represented by its smallest doc_id.
+   class, a node. Whatever follows works on nodes, so copies cost nothing more.
 2. One permutation of the hashes is cut into ``bands * rows`` bins; an empty bin takes the value of the first filled bin
    in an order of its own (optimal densification). Each band of bins gives a bucket key.
-3. In a bucket, candidates are edges from centres to members, never all pairs. Round 0 has the member of least
-   pseudorandom priority as centre; every later round has 64 times the share of members as centres, but only in buckets
-   that still hold members of different components, and only for pairs across components. It ends when no bucket
-   holds a pair that is neither tested nor connected, so no candidate is dropped.
-4. Every edge is confirmed by the two full sets before it links. A fixed-size bitmap of candidate ids keeps other texts
-   from being hashed again for that.
-5. Links become components by minimum labels with pointer jumping, in written tables.
-
-At similarity 0.8, 40 bands of 6 rows miss a pair with a chance of 5e-6.
+3. In a bucket, candidates are edges from one centre to the members, never all pairs. Priorities are those of nodes, not
+   of (node, bucket), so buckets of one group mostly agree on their centre and make few distinct edges. First each node's
+   edge of most shared buckets is confirmed, and links become components; then, in buckets that hold several
+   components, ``stars`` rounds of edges from a new centre in the bucket's largest component to the others' members.
+4. Nodes of buckets that still hold several components are joined exactly: their shingles are ordered by rarity among
+   them, and only pairs that share a shingle in both prefixes, under length and positional bounds and across components,
+   are candidates. A node of which a fifth of the shingles stands nowhere else among them has no candidates at all.
+5. Every edge is confirmed by the two full sets before it links. The sets are kept once for each candidate node; a
+   fixed-size bitmap of candidate ids keeps other texts from being hashed again for that.
+6. Links become components by minimum labels with pointer jumping, in written tables.
+
+At similarity 0.8, 40 bands of 6 rows miss a pair with a chance of 5e-6; no candidate is dropped after that.
 
 Defined cases: a text without words (null, empty, blank) has no shingles, and is its own component. A text of fewer words
-than a shingle has its whole sequence as the one shingle. Repeated rows give equal result rows. A null doc_id is in no
-component: component_id null, kept true. Other columns are ignored; an empty table gives an empty result.
+than a shingle has its whole sequence as the one shingle. Repeated rows give equal result rows. Rows of one doc_id with
+different texts are documents of their own, each in the component of its text: the shared id links nothing. A null doc_id
+is in no component: component_id null, kept true. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import cut, lean, small_batches, texts
+from quire.llm._common import cut, discard, small_batches, texts
 
 _SIGNED = np.int64
 
@@ -43,6 +47,7 @@ class Near:
     percent: int = 80
     bands: int = 40
     rows: int = 6
+    stars: int = 1  # rounds of later centres, before what is left is joined by prefixes
     filter_bits: int = 23  # of the bitmap of candidate ids: 1 MB
 
 
@@ -112,6 +117,11 @@ def _signed(lists: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lists])]), pa.int32()), pa.array(flat))
 
 
+def digest_of(values: np.ndarray) -> bytes | None:
+    """128 bits of a set; none for an empty one."""
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
+
+
 def _sketches(how: Near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = how.bands * how.rows
@@ -122,7 +132,7 @@ def _sketches(how: Near):
             sizes, digests, keys = [], [], []
             for values in shingle_sets(batch.column("text"), how.shingle):
                 sizes.append(len(values))
-                digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).hexdigest() if len(values) else None)
+                digests.append(digest_of(values))
                 if len(values):
                     rows = signature(values, edges, orders).reshape(how.bands, how.rows)
                     with np.errstate(over="ignore"):
@@ -132,7 +142,7 @@ def _sketches(how: Near):
                     keys.append(key)
                 else:
                     keys.append(np.zeros(0, np.uint64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), _signed(keys)], ["doc_id", "n_shingles", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("mark"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _signed(keys)], ["doc_id", "mark", "n_shingles", "digest", "keys"])
 
     return run
 
@@ -147,7 +157,7 @@ def _wanted_sets(how: Near, words: np.ndarray):
             batch = batch.filter(pa.array(wanted.astype(bool)))
             for part in small_batches([batch] if len(batch) else []):
                 sets = list(shingle_sets(part.column("text"), how.shingle))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), _signed(sets)], ["id", "values"])
+                yield pa.RecordBatch.from_arrays([pa.array([digest_of(x) for x in sets], pa.binary()), _signed(sets)], ["digest", "values"])
 
     return run
 
@@ -174,13 +184,15 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
         # A label hooks to the least label next to any of its members; then labels jump to their label's label.
-        mine = labels.join(near, labels["id"] == near["a"], "left").select("id", "comp", F.least("comp", F.coalesce("c", "comp")).alias("c"))
-        hook = mine.filter("c < comp").groupBy(F.col("comp").alias("from")).agg(F.min("c").alias("to"))
-        hook = cut(hook, "hooks")
+        mine = labels.join(near, labels["id"] == near["a"]).select("comp", "c")
+        hook = cut(mine.filter("c < comp").groupBy(F.col("comp").alias("from")).agg(F.min("c").alias("to")), "hooks")
         if hook.isEmpty():
+            discard(both, hook)
             return labels
         jump = hook.join(hook.select(F.col("from").alias("to"), F.col("to").alias("further")), "to", "left").select("from", F.coalesce("further", "to").alias("to"))
-        labels = cut(labels.join(jump, labels["comp"] == jump["from"], "left").select("id", F.coalesce("to", "comp").alias("comp")), "labels")
+        new = cut(labels.join(jump, labels["comp"] == jump["from"], "left").select("id", F.coalesce("to", "comp").alias("comp")), "labels")
+        discard(labels, hook)
+        labels = new
 
 
 def _similar(a: str, b: str, how: Near):
@@ -190,57 +202,112 @@ def _similar(a: str, b: str, how: Near):
     return near & ((100 + how.percent) * common >= how.percent * (F.size(a) + F.size(b)))
 
 
-def _mixed_buckets(rows: DataFrame) -> DataFrame:
-    """The rows of buckets that have two components or more."""
+def _confirmed(edges: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
+    """The edges (a, b: ids) whose sets are similar."""
+    half = edges.select("a", "b").join(sets.select(F.col("id").alias("b"), F.col("values").alias("vb")), "b")
+    return half.join(sets.select(F.col("id").alias("a"), F.col("values").alias("va")), "a").filter(_similar("va", "vb", how)).select("a", "b")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, id, comp of buckets that have two components or more."""
+    rows = members.select("key", "id").join(labels, "id")
     both = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    return rows.join(both, "key", "left_semi")
+    return cut(rows.join(both, "key", "left_semi"), "open")
+
+
+def _later_stars(rows: DataFrame, turn: int) -> DataFrame:
+    """Distinct edges from each bucket's centre, a member of its largest component, to the members of the others."""
+    p = F.xxhash64(F.lit(turn), "id")
+    of = rows.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min_by("id", p).alias("c"))
+    top = of.groupBy("key").agg(F.max_by("c", "n").alias("c"), F.max("n").alias("n")).join(of.select("key", "c", F.col("comp").alias("main")), ["key", "c"])
+    return rows.join(top.select("key", "c", "main"), "key").filter("comp <> main").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+
+
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
+    """a, b: pairs of ``nodes`` (id, comp) across components that may be similar: they share a shingle of both prefixes, and the bounds hold."""
+    tokens = nodes.join(sets, "id").select("id", "comp", F.size("values").alias("n"), F.explode("values").alias("h"))
+    shared = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    lists = tokens.join(shared, "h").groupBy("id", "comp", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("l"))  # one text's shingles
+    # the shingles that no other node has come first in the order, and take their part of the prefix
+    alone = F.col("n") - F.size("l")
+    lists = lists.withColumn("alone", alone).withColumn("need", F.greatest(F.col("n") - F.expr(f"({how.percent} * n + 99) div 100").cast("int") + 1 - alone, F.lit(0)))
+    prefix = lists.filter("need > 0").select("id", "comp", "n", "alone", F.posexplode(F.slice("l", 1, F.col("need"))).alias("i", "t"))
+    prefix = cut(prefix.select(F.col("t.h").alias("h"), "id", "comp", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("left")), "prefixes")
+    other = prefix.select("h", F.col("id").alias("b"), F.col("comp").alias("comp_b"), F.col("n").alias("n_b"), F.col("left").alias("left_b"))
+    sizes = (100 * F.least("n", "n_b") >= how.percent * F.greatest("n", "n_b")) & ((100 + how.percent) * F.least("left", "left_b") >= how.percent * (F.col("n") + F.col("n_b")))
+    met = prefix.join(other, (prefix["h"] == other["h"]) & (F.col("id") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & sizes)
+    return met.select(F.col("id").alias("a"), "b").distinct()
+
+
+def _linked(nodes: DataFrame, members: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
+    """id, comp: components of ``nodes`` (id), whose buckets are ``members`` (key, id, a: the bucket's centre)."""
+    edges = members.filter("a <> id").groupBy("a", "id").agg(F.count("*").alias("n"))
+    best = edges.groupBy("id").agg(F.max_by("a", F.col("n") * (1 << 32) + F.hash("a")).alias("a")).select("a", F.col("id").alias("b"))
+    links = cut(_confirmed(best, sets, how), "links")
+    labels = components(nodes.select("id", F.col("id").alias("comp")), links)
+    discard(links)
+    for turn in range(how.stars):
+        open_ = _open(members, labels)
+        links = cut(_confirmed(_later_stars(open_, turn), sets, how), "links")
+        done = links.isEmpty()
+        if not done:
+            labels = components(labels, links)
+        discard(links, open_)
+        if done:
+            break
+    open_ = _open(members, labels)
+    if not open_.isEmpty():
+        links = cut(_confirmed(_prefix_pairs(open_.select("id", "comp").distinct(), sets, how), sets, how), "links")
+        labels = components(labels, links)
+        discard(links)
+    discard(open_)
+    return labels
 
 
-def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
-    pairs = lean(docs).select("doc_id", "text")
-    sketch = cut(pairs.mapInArrow(_sketches(how), "doc_id long, n_shingles long, digest string, keys array<bigint>"), "sketches")
+def _grouped(rows: DataFrame, how: Near) -> DataFrame:
+    """doc_id, mark, n_shingles, component, node (the component's; null without shingles) for rows of doc_id, text and a mark."""
+    sketch = cut(rows.mapInArrow(_sketches(how), "doc_id long, mark long, n_shingles long, digest binary, keys array<bigint>"), "sketches")
     named = sketch.filter("doc_id is not null and digest is not null")
-    classes = cut(named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")), "classes")
+    classes = named.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("keys").alias("keys"))
+    classes = cut(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # unique, and fixed as written
 
-    priority = F.pmod(F.xxhash64(F.lit(5), "id", "key"), F.lit(1 << 40)) / float(1 << 40)
     members = classes.select("id", F.explode("keys").alias("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    members = cut(members.join(buckets, "key").select("key", "m", "id", priority.alias("p")), "members")
-    candidates = cut(members.select("id").distinct(), "candidates")
-    labels = candidates.select("id", F.col("id").alias("comp"))
-
+    buckets = members.groupBy("key").agg(F.count("*").alias("m"), F.min_by("id", F.xxhash64("id")).alias("a")).filter("m > 1")
+    members = cut(members.join(buckets, "key").select("key", "id", "a"), "members")
+    candidates = cut(classes.join(members.select("id").distinct(), "id", "left_semi").select("id", "doc", "digest"), "candidates")
+    owner = classes.select("digest", F.col("doc").alias("component"), F.col("id").alias("node"))
     if not candidates.isEmpty():
-        sets = cut(pairs.mapInArrow(_wanted_sets(how, _bitmap(candidates, how)), "id long, values array<bigint>").join(candidates, "id", "left_semi").dropDuplicates(["id"]), "sets")
-        # Round 0: one centre a bucket, its member of least priority. Few distinct edges, so the sets come to the edges.
-        later = F.struct("p", "id") > F.struct(F.col("cp").alias("p"), F.col("a").alias("id"))
-        centres = members.groupBy("key").agg(F.min(F.struct("p", "id")).alias("c")).select("key", F.col("c.p").alias("cp"), F.col("c.id").alias("a"))
-        rest = cut(members.join(centres, "key").filter(later), "rest")
-        edges = cut(rest.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "star")
-        half = edges.join(sets.select(F.col("id").alias("b"), F.col("values").alias("vb")), "b")
-        links = cut(half.join(sets.select(F.col("id").alias("a"), F.col("values").alias("va")), "a").filter(_similar("va", "vb", how)).select("a", "b"), "links")
-        labels = components(labels, links)
-        open_, high = _mixed_buckets(rest.select("key", "m", "id", "p").join(labels, "id")), 4.0
-        # Later rounds: more centres a bucket. The sets come to the members still open, and pairs are confirmed where they meet.
-        open_ = cut(open_.join(sets, "id"), "open")
-        while not open_.isEmpty():
-            centres = open_.filter(F.col("p") * F.col("m") < high).select("key", F.col("p").alias("cp"), F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("values").alias("va"))
-            links = open_.join(centres, "key").filter((F.col("comp") != F.col("ca")) & later & _similar("va", "values", how)).select(F.col("ca").alias("a"), F.col("comp").alias("b"))
-            links = cut(links.distinct(), "links")  # between the components so far
-            if not links.isEmpty():
-                labels = components(labels, links)
-            rest = open_.filter(F.col("p") * F.col("m") >= high).drop("comp").join(labels, "id")
-            open_ = cut(_mixed_buckets(rest), "open")
-            high *= 64
-
-    class_of = classes.join(labels, "id", "left").select(F.col("digest").alias("d"), F.coalesce("comp", "id").alias("component"))
-    out = sketch.join(class_of, F.col("digest") == F.col("d"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+        wanted = _wanted_sets(how, _bitmap(candidates.select(F.col("doc").alias("id")), how))
+        found = rows.select("doc_id", "text").mapInArrow(wanted, "digest binary, values array<bigint>")
+        sets = cut(found.join(candidates.select("digest", "id"), "digest").dropDuplicates(["digest"]).select("id", "values"), "sets")  # equal digests are equal sets
+        labels = _linked(candidates, members, sets, how)
+        discard(sets)
+        # From nodes back to documents: the smallest doc_id of each component of two classes or more.
+        of = candidates.join(labels, "id").select("digest", "doc", "comp")
+        least = of.groupBy("comp").agg(F.min("doc").alias("least"), F.count("*").alias("n")).filter("n > 1").select("comp", "least")
+        linked = of.join(least, "comp").select(F.col("digest").alias("d"), "comp", "least")
+        owner = owner.join(linked, F.col("digest") == F.col("d"), "left").select("digest", F.coalesce("least", "component").alias("component"), F.coalesce("comp", "node").alias("node"))
+    out = sketch.select("doc_id", "mark", "n_shingles", "digest").join(owner.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
+    return out.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component"), "node")
+
+
+def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``."""
+    out = _grouped(docs.select("doc_id", "text", F.lit(0).cast("long").alias("mark")), how)
+    return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
-    """The rows of ``docs`` of which each component keeps the one of the smallest doc_id. Repeated rows of it become one row; rows of null doc_id stay."""
-    keep = near_duplicates(docs, how).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.filter(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id"]).join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
-    return rows.unionByName(docs.filter(docs["doc_id"].isNull()))
+    """One row of ``docs`` for each component, with all its columns: of the smallest doc_id, and of its rows the one of the least hash. Rows of null doc_id stay.
+
+    Rows without shingles are one component for each doc_id.
+    """
+    plain = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs["doc_id"].alias("_id"), docs["text"].alias("_text"))
+    plain = plain.withColumn("_mark", F.xxhash64("_row"))
+    known = plain.filter(F.col("_id").isNotNull())
+    groups = _grouped(known.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), F.col("_mark").alias("mark")), how)
+    keep = groups.filter(F.col("doc_id") == F.col("component")).groupBy("component", "node").agg(F.min("mark").alias("mark"))
+    rows = known.join(keep.select("component", "mark").distinct(), (F.col("_id") == F.col("component")) & (F.col("_mark") == F.col("mark")), "left_semi")
+    rows = rows.dropDuplicates(["_id", "_mark"])  # equal rows; dealt out by the join already
+    of = lambda rows: rows.select(*[F.col(f"_row.`{c}`") for c in docs.columns])
+    return of(rows).unionByName(of(plain.filter(F.col("_id").isNull())))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import held_out, is_held_out, lean, sampled, small_batches, texts
+from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -235,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     chosen = F.broadcast(sampled(ids, "label", how.per_class))  # about 2 * per_class rows
-    got = lean(docs).select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow().to_pylist()
+    got = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow().to_pylist()
     got = list({r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["words"], r["counts"]))}.values())
     n_of = Counter(r["label"] for r in got)
     if len(n_of) < 2:
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[I
     if not got:
         return None, share
     known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    known = lean(known).join(ids, "doc_id", "left").select("text", "label")  # both grow with the input: not broadcast
+    known = known.join(ids, "doc_id", "left").select("text", "label")  # both grow with the input: not broadcast
     table = known.mapInArrow(_term_counts(sc.broadcast(terms), how), "t long, df long, m long, a long").groupBy("t").agg(F.sum("df").alias("df"), F.sum("m").alias("m"), F.sum("a").alias("a")).toArrow()  # a row for each term
     counts = np.zeros((3, len(terms) + 1))  # the last column has the counts of all texts, as t = -1
     counts[:, np.asarray(table["t"])] = [np.asarray(table[c]) for c in ("df", "m", "a")]
@@ -297,4 +297,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest(),
             scores = np.array(scores, dtype=np.float64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(held, pa.bool_()), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "held_out", "score", "predicted", "evidence"])
 
-    return lean(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out booscore double, predicted int, evidence array<bigint>")

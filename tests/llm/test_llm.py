@@ -232,6 +232,32 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dedup.near_duplicates(none(spark)).count() == 0 and near_dedup.near_duplicates(odd(spark)).count() == len(ODD)
 
 
+def test_near_duplicates_of_one_id_with_two_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, None, None, None, True) for i, t in rows], DOC)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs, near_dedup.Near(shingle=2)).collect())
+    assert got == [(1, 39, 1, True), (1, 39, 1, True), (2, 40, 1, False), (3, 40, 1, False), (5, 0, 5, True), (5, 0, 5, True)]
+    # each component is there once, and rows without words once for each id
+    left = [(r["doc_id"], r["text"]) for r in near_dedup.without_near_duplicates(docs.withColumn("component", F.lit(1)).withColumn("mark", F.lit("x"))).collect()]
+    assert len(left) == 3 and set(left) >= {(1, a), (1, b)} and left.count((5, None)) + left.count((5, "")) == 1
+
+
+def test_prefix_pairs_keep_all_similar_ones(spark):
+    # many texts that share half of their words: no star links them, and only the planted pairs are similar
+    rng = np.random.default_rng(8)
+    common = [f"c{i}" for i in range(60)]
+    texts = {}
+    for i in range(0, 80, 2):
+        words = common + [f"u{i}x{j}" for j in range(60)]
+        rng.shuffle(words)
+        texts[i], texts[i + 1] = " ".join(words), " ".join([*words[:115], "odd", *words[116:]])
+    how = near_dedup.Near(shingle=1, bands=200, rows=2)
+    docs = spark.createDataFrame([(i, t, None, None, None, None) for i, t in texts.items()], DOC)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, how).collect()}
+    assert got == {i: i - i % 2 for i in texts}
+
+
 def test_densification_agrees_with_similarity():
     rng = np.random.default_rng(1)
     bins, same = 240, []
