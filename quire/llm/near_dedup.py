@@ -287,6 +287,7 @@ def _grouped(rows: DataFrame, how: Near) -> DataFrame:
         least = of.groupBy("comp").agg(F.min("doc").alias("least"), F.count("*").alias("n")).filter("n > 1").select("comp", "least")
         linked = of.join(least, "comp").select(F.col("digest").alias("d"), "comp", "least")
         owner = owner.join(linked, F.col("digest") == F.col("d"), "left").select("digest", F.coalesce("least", "component").alias("component"), F.coalesce("comp", "node").alias("node"))
+    owner = cut(owner, "owners")  # a plain table, so that a join of many copies of one text can be split
     out = sketch.select("doc_id", "mark", "n_shingles", "digest").join(owner.withColumnRenamed("digest", "d"), F.col("digest") == F.col("d"), "left")
     return out.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component"), "node")
 

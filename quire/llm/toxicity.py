@@ -1,38 +1,41 @@
 """Toxicity by the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
-The examples are about ``per_class`` labelled texts of each label outside the held-out fold. Words and
-their beginnings of ``stems`` letters (texts build many forms on one stem) are the terms: all that any example
-has. A term's weight is its idf by an emphasis from ``rest`` to 1 by how unevenly it stands in the labels (chi-squared, 1 from ``surely``
-or the ``least``-th greatest on). Document frequencies count every document outside that fold, chi-squared every labelled one. An
-index entry is a (term, block of examples) with the block's greatest weight and its postings. A
-query sums the entries' bounds by block, scores the blocks of greatest bound in full, and then
-only those other blocks whose bound reaches the k-th best score so far: the k nearest are exact.
-Votes weigh each neighbour by exp(-distance / ``width``); a logistic fit on the examples
+The examples are about ``per_class`` labelled texts of each label outside the held-out fold. Words (runs of letters and
+digits in lower case) and their beginnings of ``stems`` letters (texts build many forms on one stem) are the terms: all
+that any example has. A term's weight is its idf by an emphasis from ``rest`` to 1 by how unevenly it stands in the labels
+(chi-squared, 1 from ``surely`` or the ``least``-th greatest on); no term is left out. Document frequencies count every
+document outside that fold, chi-squared every labelled one.
+
+An index entry is a (term, block of examples) with the block's greatest weight and its postings; blocks hold examples
+alike, so that texts of another kind pass them by. Entries of ``dense`` postings or more are rows of the block's matrix.
+Smaller ones hold hardly more than their bound, so their postings stand in one list for each term. Queries come in batches:
+each sums what the lists give every example, and bounds what a block can give besides by its entries' greatest weights. It
+scores the blocks of greatest bound in full, and then only those other blocks whose bound reaches its k-th best score
+so far: the k nearest are exact. Votes weigh each neighbour by exp(-distance / ``width``); a logistic fit on the examples
 themselves (each without itself, weighted to the labels' shares) makes the vote a probability.
 The neighbours are the evidence.
 
 Defined cases: texts without a word of any example (null and empty ones too) have no neighbour and get
-the share of label 1 among the examples without one. Ties among neighbours go to the example first in the index. With no example of both
+the share of label 1 among the examples without one. Cosines count to six digits; ties among neighbours go to the example first in the index. With no example of both
 labels, or none with a term, every score is the share of label 1 (0 if there is none). If the examples
-that have a term are of one label, n of them, texts with a term score as near to it as (n + 1/2) / (n + 1). Repeated rows are scored each; other columns are ignored.
+that have a term are of one label, n of them, texts with a term score as near to it as (n + 1/2) / (n + 1). Of several labels of a doc_id the greatest
+counts. Repeated rows are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts
 
-_WORD = re.compile(r"[^\W_]+")
-
 
 @dataclass(frozen=True)
 class Nearest:
@@ -40,38 +43,75 @@ class Nearest:
     k: int = 31
     block: int = 64
     first: int = 4  # blocks scored before the bounds count
+    dense: int = 8  # postings from which on an entry is a row of its block's matrix
+    batch: int = 120_000  # terms of the texts that are scored together
     width: float = 0.1  # of distance, over which a vote falls by a factor of e
     power: float = 1.2  # of the idf
     stems: tuple[int, ...] = (4, 6)  # letters of the beginnings that are terms
     surely: float = 20.0  # chi-squared of a term and the label, from which on a term has its full weight
     least: int = 30  # terms of the greatest chi-squared have it in any case
     rest: float = 0.1  # part of its weight that a term has with a chi-squared of 0
-    fewest: int = 3  # examples of a term by which blocks are laid out
-    memo: int = 200_000  # words a task keeps the terms of
-    seed: int = 47
-
-
-def words_of(text: str) -> Counter:
-    return Counter(_WORD.findall(text.lower()))
 
 
-def pieces(word: str, how: Nearest) -> list[str]:
-    """The word, and its beginnings."""
-    return [word, *(word[:n] + "-" for n in how.stems if len(word) > n)]
-
-
-def terms_of(counts: Counter, terms: dict[str, int], memo: dict[str, tuple[int, ...]], how: Nearest) -> dict[int, int]:
-    """Numbers of the terms in a text's words, and how often they stand there. ``memo`` keeps those of words met."""
-    out: dict[int, int] = {}
-    for word, n in counts.items():
-        found = memo.get(word)
-        if found is None:
-            found = tuple(terms[p] for p in pieces(word, how) if p in terms)
-            if len(memo) < how.memo:
-                memo[word] = found
-        for t in found:
-            out[t] = out.get(t, 0) + n
-    return out
+def word_lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where each text's words begin (one more at the end), and the words of all, dictionary encoded."""
+    spaced = pc.replace_substring_regex(pc.utf8_lower(texts(column)), r"[^\p{L}\p{N}]+", " ")
+    lists = pc.ascii_split_whitespace(spaced)
+    flat, offsets = lists.flatten(), np.asarray(lists.offsets, dtype=np.int64)
+    filled = np.asarray(pc.not_equal(flat, ""), dtype=bool)
+    starts = np.concatenate([[0], np.cumsum(filled)])[offsets - offsets[0]]
+    return starts, pc.dictionary_encode(flat.filter(pa.array(filled)))
+
+
+def word_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Text, code and count of each text's distinct words, by text; the words of the codes."""
+    starts, coded = word_lists(column)
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    k = max(1, len(coded.dictionary))
+    pairs, counts = np.unique(text * k + np.asarray(coded.indices, dtype=np.int64), return_counts=True)
+    return pairs // k, pairs % k, counts, coded.dictionary
+
+
+def pieces(words: pa.Array, how: Nearest) -> list[pa.Array]:
+    """The words, and for each length their beginnings; null where a word isn't longer."""
+    words = words.cast(pa.string())
+    length = pc.utf8_length(words)
+    return [words, *(pc.if_else(pc.greater(length, n), pc.utf8_slice_codeunits(words, 0, n), None) for n in how.stems)]
+
+
+class Terms:
+    """Numbers for the words, and for each length the beginnings, of some words."""
+
+    def __init__(self, words: pa.Array, how: Nearest):
+        self.how = how
+        self.known = [(u := pc.unique(x.drop_null())).take(pc.array_sort_indices(u)) for x in pieces(words, how)]
+        self.begins = np.cumsum([0, *map(len, self.known)])
+
+    def __len__(self) -> int:
+        return int(self.begins[-1])
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """A row for each word, -1 where a piece of it is no term."""
+        out = []
+        for x, known, begin in zip(pieces(words, self.how), self.known, self.begins, strict=False):
+            at = np.asarray(pc.fill_null(pc.index_in(x, value_set=known, skip_nulls=True), -1), dtype=np.int64)
+            out.append(np.where(at < 0, -1, at + begin))
+        return np.stack(out, axis=1)
+
+    def count(self, text: np.ndarray, code: np.ndarray, counts: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, number and count of each text's terms, by text and number."""
+        numbers = self.numbers(words)
+        bits = int(counts.max()).bit_length() if len(counts) else 1  # a key holds text, term and count
+        parts = []
+        for j in range(numbers.shape[1]):
+            t = numbers[:, j][code]
+            has = t >= 0
+            parts.append(((text[has] * len(self) + t[has]) << bits) | counts[has])
+        packed = np.sort(np.concatenate(parts))
+        keys = packed >> bits
+        begins = np.flatnonzero(np.diff(keys, prepend=-1))
+        keys, k = keys[begins], max(1, len(self))
+        return keys // k, keys % k, np.add.reduceat(packed & ((1 << bits) - 1), begins) if len(begins) else begins
 
 
 def chi_squared(m: np.ndarray, a: np.ndarray, n: int, n_1: int) -> np.ndarray:
@@ -87,104 +127,149 @@ def emphasis(chi: np.ndarray, how: Nearest) -> np.ndarray:
     return how.rest + (1 - how.rest) * np.minimum(chi / full, 1)
 
 
-def uneven_terms(rows: list[tuple[int, list[str]]], how: Nearest) -> list[str]:
-    """Terms whose examples (label, words) are of one label more often than chance makes them, by chi-squared with Yates' correction."""
-    have, have_1 = Counter(), Counter()
-    for label, words in rows:
-        found = {p for w in words for p in pieces(w, how)}
-        have.update(found)
-        if label:
-            have_1.update(found)
-    n, n_1 = len(rows), sum(label for label, _ in rows)
-    names = [t for t, c in have.items() if c >= how.fewest]
-    m, a = np.array([have[t] for t in names], np.float64), np.array([have_1[t] for t in names], np.float64)
-    chi = chi_squared(m, a, n, n_1)
-    best = sorted(range(len(names)), key=lambda i: (-chi[i], names[i]))
-    return sorted(names[i] for rank, i in enumerate(best) if chi[i] >= how.surely or rank < how.least and chi[i] > 0)
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All integers of the ranges, none of them empty, one after the other."""
+    if not len(begin):
+        return np.zeros(0, np.int32)
+    stop = np.cumsum(end - begin)
+    steps = np.ones(stop[-1], np.int32)
+    steps[0] = begin[0]
+    steps[stop[:-1]] = begin[1:] - end[:-1] + 1
+    return np.cumsum(steps, dtype=np.int32)
 
 
-def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """All integers of the ranges, one after the other."""
-    n = end - begin
-    stop = np.cumsum(n)
-    return np.repeat(begin - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)
+def _normal(text: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The weights, each text's scaled to length 1."""
+    return (weight / np.sqrt(np.maximum(np.bincount(text, weight * weight, n), 1e-24))[text]).astype(np.float32)
 
 
 class Index:
-    """terms: their numbers. idf: by term. rows: for each example its terms' numbers and counts, in index order."""
-
-    def __init__(self, terms: dict[str, int], idf: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, how: Nearest):
-        self.terms, self.idf, self.labels, self.ids, self.how = terms, idf, labels, ids, how
-        weighted = [(t, self.weights(t, c)) for t, c in rows]
-        term = np.concatenate([t for t, _ in weighted])
-        weight = np.concatenate([w / max(np.sqrt(w @ w), 1e-12) for _, w in weighted]).astype(np.float32)
-        example = np.repeat(np.arange(len(rows), dtype=np.int32), [len(t) for t, _ in rows])
-        order = np.lexsort([example, term])
-        term, self.example, self.weight = term[order], example[order], weight[order]
-        block = self.example // how.block
-        begins = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])]))
-        self.begin, self.end = begins.astype(np.int32), np.append(begins[1:], len(term)).astype(np.int32)
-        self.block, self.bound = block[begins], np.maximum.reduceat(self.weight, begins)
-        self.first = np.searchsorted(term[begins], np.arange(len(terms) + 1))
-        self.n_blocks = -(-len(rows) // how.block)
+    """Examples by their terms: ``example``, ``term`` and ``count`` of each, by example. idf: by term."""
+
+    def __init__(self, idf: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, labels: np.ndarray, ids: np.ndarray, how: Nearest):
+        self.idf, self.how, n = idf, how, len(labels)
+        self._lay_out(example, term, count, labels, ids)
+        if n > 2 * how.block:
+            order = self._alike(example, term, count, n)
+            place = np.empty(n, np.int64)
+            place[order] = np.arange(n)
+            self._lay_out(place[example], term, count, labels[order], ids[order])
         self.a = self.b = self.base = 0.0
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def state(self) -> dict:
-        """What :meth:`of_state` takes: arrays and a dictionary alone, which a worker reads without this module."""
-        return {k: v for k, v in vars(self).items() if k not in ("how", "memo")}
-
-    @classmethod
-    def of_state(cls, state: dict, how: Nearest) -> Index:
-        index = object.__new__(cls)
-        vars(index).update(state, how=how, memo={})
-        return index
-
-    def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return (1 + np.log(counts)) * self.idf[terms]
-
-    def query(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        known = terms_of(counts, self.terms, self.memo, self.how)
-        terms, n = np.fromiter(known, np.int64, len(known)), np.fromiter(known.values(), np.int64, len(known))
-        order = np.argsort(terms)
-        return terms[order], self.weights(terms[order], n[order])
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples and their cosines to the query's known part."""
-        q = weights / max(np.sqrt(weights @ weights), 1e-12)
-        n = self.first[terms + 1] - self.first[terms]
-        entries = _ranges(self.first[terms], self.first[terms + 1])
-        q = np.repeat(q, n)
-        blocks = self.block[entries]
-        bounds = np.bincount(blocks, q * self.bound[entries], self.n_blocks)
-        scores = np.zeros(len(self.labels))
+
+    def _lay_out(self, example: np.ndarray, term: np.ndarray, count: np.ndarray, labels: np.ndarray, ids: np.ndarray) -> None:
+        how, n = self.how, len(labels)
+        self.labels, self.ids, self.n_blocks = labels, ids, -(-n // how.block)
+        weight = _normal(example, self.weights(term, count), n)
+        order = np.lexsort([example, term])
+        example, term, weight = example[order], term[order], weight[order]
+        block = example // how.block
+        begin = np.flatnonzero(np.diff(term * self.n_blocks + block, prepend=-1))
+        size = np.diff(np.append(begin, len(term)))
+        entry = np.repeat(np.arange(len(begin)), size)
+        full = size >= how.dense
+        # full entries: a row in the block's matrix; the terms that have any are columns of queries
+        self.column = np.full(len(self.idf), -1, np.int32)
+        columns = np.unique(term[begin[full]])
+        self.column[columns] = np.arange(len(columns))
+        self.most = np.zeros((len(columns), self.n_blocks), np.float32)
+        self.rows, self.matrix = [], []
+        bound = np.maximum.reduceat(weight, begin)
+        for b in range(self.n_blocks):
+            own = np.flatnonzero(full & (block[begin] == b))
+            self.rows.append(self.column[term[begin[own]]])
+            self.most[self.rows[-1], b] = bound[own]
+            place = np.full(len(begin), -1)
+            place[own] = np.arange(len(own))
+            posts = np.flatnonzero(place[entry] >= 0)
+            matrix = np.zeros((how.block, len(own)), np.float32)
+            matrix[example[posts] % how.block, place[entry[posts]]] = weight[posts]
+            self.matrix.append(matrix)
+        # the others: postings by term
+        few = ~full[entry]
+        self.example, self.weight = example[few].astype(np.int32), weight[few]
+        self.first = np.searchsorted(term[few], np.arange(len(self.idf) + 1)).astype(np.int32)
+
+    def _alike(self, example: np.ndarray, term: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        """An order of the examples: by the nearest of some leaders, one for each block."""
+        leaders = np.linspace(0, n - 1, self.n_blocks).astype(np.int64)
+        number = np.full(n, -1)
+        number[leaders] = np.arange(len(leaders))
+        chosen = number[example] >= 0
+        scores = np.zeros((len(leaders), n), np.float32)
+        for queries, found in self.scored(number[example[chosen]], term[chosen], self.weights(term[chosen], count[chosen]), len(leaders), whole=True):
+            scores[queries] = found[:, :n]
+        nearest = scores.argmax(axis=0)
+        return np.lexsort([np.arange(n), -scores[nearest, np.arange(n)], nearest])
+
+    def weights(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return (1 + np.log(count)) * self.idf[term]
+
+    def scored(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, without: np.ndarray | None = None, whole: bool = False) -> Iterator[tuple[slice, np.ndarray]]:
+        """Some queries after others, with their cosines to all examples; -1 for blocks that can't hold one of the k nearest, unless ``whole``, and for the example ``without``."""
+        weight = _normal(text, weight, n)
+        starts = np.searchsorted(text, np.arange(n + 1))
+        at = 0
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + self.how.batch, side="right")) - 1)
+            part = slice(starts[at], starts[to])
+            yield slice(at, to), self._score(text[part] - at, term[part], weight[part], to - at, None if without is None else without[at:to], whole)
+            at = to
+
+    def _score(self, text: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, without: np.ndarray | None, whole: bool) -> np.ndarray:
+        size, blocks = self.how.block, self.n_blocks
+        column = self.column[term]
+        often = column >= 0
+        q = np.zeros((self.most.shape[0], n), np.float32)
+        q[column[often], text[often]] = weight[often]
+        begin, end = self.first[term], self.first[term + 1]
+        some = end > begin
+        begin, end = begin[some], end[some]
+        posts = _ranges(begin, end)
+        cells = np.repeat(text[some].astype(np.int32) * np.int32(blocks * size), end - begin)
+        cells += self.example[posts]
+        products = np.repeat(weight[some], end - begin)
+        products *= self.weight[posts]
+        listed = np.bincount(cells, products, n * blocks * size).astype(np.float32).reshape(n, blocks, size)
+        bounds = (self.most.T @ q).T + listed.max(axis=2)
+        scores = np.full((n, blocks, size), -1, np.float32)
 
         def score(chosen: np.ndarray) -> None:
-            of = chosen[blocks]
-            at, weight = entries[of], q[of]
-            posts = _ranges(self.begin[at], self.end[at])
-            scores[:] += np.bincount(self.example[posts], np.repeat(weight, self.end[at] - self.begin[at]) * self.weight[posts], len(scores))
-
-        k = min(self.how.k, len(scores))
-        chosen = np.zeros(self.n_blocks, bool)
-        chosen[np.argsort(-bounds, kind="stable")[: self.how.first]] = True
+            for b in np.flatnonzero(chosen.any(axis=0)):
+                texts_ = np.flatnonzero(chosen[:, b])
+                mine = q[self.rows[b]]
+                scores[texts_, b] = (self.matrix[b] @ (mine if len(texts_) == n else mine[:, texts_])).T + listed[texts_, b]
+            flat = scores.reshape(n, -1)
+            flat[:, len(self.labels) :] = -1
+            if without is not None:
+                flat[np.arange(n), without] = -1
+
+        chosen = np.ones((n, blocks), bool)
+        if not whole and blocks > self.how.first:
+            chosen[:] = False
+            np.put_along_axis(chosen, np.argpartition(-bounds, self.how.first - 1, axis=1)[:, : self.how.first], True, axis=1)
+            score(chosen)
+            flat = scores.reshape(n, -1)
+            k = min(self.how.k, flat.shape[1])
+            kth = np.partition(flat, flat.shape[1] - k, axis=1)[:, flat.shape[1] - k]
+            chosen = ~chosen & (bounds * (1 + 1e-5) + 1e-6 >= kth[:, None]) & (bounds > 0)
         score(chosen)
-        if without >= 0:
-            scores[without] = 0
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        rest = ~chosen & (bounds >= kth * (1 - 1e-6)) & (bounds > 0)
-        if rest.any():
-            score(rest)
-        if without >= 0:
-            scores[without] = -1
-        # ties go to the example first in the index
-        top = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-        top = top[np.argsort(-scores[top], kind="stable")][:k]
-        return top, scores[top]
-
-    def vote(self, top: np.ndarray, cosines: np.ndarray) -> float:
-        w = np.exp((cosines - cosines.max()) / self.how.width)
-        return float((w @ self.labels[top]) / w.sum())
+        return scores.reshape(n, -1)
+
+    def nearest(self, text: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """For n texts, by text: the k nearest examples and their cosines to each text's known part; cosine -1: none."""
+        k = min(self.how.k, len(self.labels))
+        top, cosines = np.zeros((n, k), np.int64), np.full((n, k), -1.0)
+        for rows, scores in self.scored(text, term, self.weights(term, count), n, without):
+            width = scores.shape[1]
+            keys = np.rint(scores * 1e6).astype(np.int64) * width + np.arange(width - 1, -1, -1)  # ties go to the example first in the index
+            best = np.partition(keys, width - k, axis=1)[:, width - k :]
+            best = -np.sort(-best, axis=1)
+            top[rows], cosines[rows] = width - 1 - best % width, (best // width) / 1e6
+        return top, cosines
+
+    def votes(self, top: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+        w = np.where(cosines < 0, 0, np.exp((cosines - cosines.max(axis=1, keepdims=True)) / self.how.width))
+        return (w * self.labels[top]).sum(axis=1) / np.maximum(w.sum(axis=1), 1e-12)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray) -> tuple[float, float]:
@@ -207,15 +292,14 @@ def _term_counts(terms, how: Nearest):
     """t, df, m, a: texts with term t, labelled ones among them, those of label 1. t = -1 has the counts of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, memo = terms.value, {}
+        known = terms.value
         counts, all_ = np.zeros((3, len(known)), np.int64), np.zeros(3, np.int64)
         for batch in small_batches(batches):
-            for text, label in zip(texts(batch.column("text")).to_pylist(), batch.column("label").to_pylist(), strict=True):
-                found = terms_of(words_of(text), known, memo, how)
-                found = np.fromiter(found, np.int64, len(found))
-                for row in (0,) if label is None else (0, 1, 2) if label else (0, 1):
-                    counts[row, found] += 1
-                    all_[row] += 1
+            label = np.asarray(pc.fill_null(batch.column("label").cast(pa.int32()), -1))
+            text, term, _ = known.count(*word_counts(batch.column("text")))
+            for i, least in enumerate((-1, 0, 1)):
+                counts[i] += np.bincount(term[label[text] >= least], minlength=len(known))
+                all_[i] += (label >= least).sum()
         at = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), *(pa.array(np.append(counts[i, at], all_[i])) for i in range(3))], ["t", "df", "m", "a"])
 
@@ -224,77 +308,87 @@ def _term_counts(terms, how: Nearest):
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
-        rows = [words_of(t) for t in texts(batch.column("text")).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array([list(r) for r in rows], pa.list_(pa.string())), pa.array([list(r.values()) for r in rows], pa.list_(pa.int32()))], ["doc_id", "label", "words", "counts"])
+        text, code, counts, words = word_counts(batch.column("text"))
+        starts = pa.array(np.searchsorted(text, np.arange(len(batch) + 1)), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.ListArray.from_arrays(starts, words.cast(pa.string()).take(pa.array(code))), pa.ListArray.from_arrays(starts, pa.array(counts, pa.int32()))], ["doc_id", "label", "words", "counts"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[Index | None, float]:
-    """The index of the examples, and the share of label 1."""
+def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[Terms | None, Index | None, float]:
+    """The terms and the index of the examples, and the share of label 1."""
     sc = docs.sparkSession.sparkContext
-    ids = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").alias("label")).filter(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
-    counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    ids = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    n_of = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
+    share = n_of.get(1, 0) / max(1, sum(n_of.values()))
     chosen = F.broadcast(sampled(ids, "label", how.per_class))  # about 2 * per_class rows
-    got = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow().to_pylist()
-    got = list({r["doc_id"]: r for r in sorted(got, key=lambda r: (r["doc_id"], r["words"], r["counts"]))}.values())
-    n_of = Counter(r["label"] for r in got)
-    if len(n_of) < 2:
-        return None, share
-    uneven = uneven_terms([(r["label"], r["words"]) for r in got], how)
-    terms = {t: i for i, t in enumerate(sorted({p for r in got for w in r["words"] for p in pieces(w, how)}))}
-    uneven = np.isin(np.arange(len(terms)), [terms[t] for t in uneven])
-    memo: dict[str, tuple[int, ...]] = {}
-    for r in got:
-        r["terms"] = sorted(terms_of(dict(zip(r.pop("words"), r.pop("counts"), strict=True)), terms, memo, how).items())
-    none_of = Counter(r["label"] for r in got if not r["terms"])
-    got = [r for r in got if r["terms"]]
-    if not got:
-        return None, share
+    got = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "label", "text").mapInArrow(_examples, "doc_id long, label int, words array<string>, counts array<int>").toArrow()
+    got = got.take(pc.sort_indices(got, [("doc_id", "ascending"), ("label", "ascending")])).combine_chunks()
+    label, doc = np.asarray(got["label"]), np.asarray(got["doc_id"])
+    one = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1 if len(doc) else 0))  # one row of each doc_id: that of the least words
+    if len(one) < len(doc):
+        rows = got.to_pylist()
+        best: dict[int, int] = {}
+        for i in sorted(range(len(rows)), key=lambda i: (sorted(zip(rows[i]["words"], rows[i]["counts"], strict=True)), i)):
+            best.setdefault(rows[i]["doc_id"], i)
+        got = got.take(pa.array(sorted(best.values()))).combine_chunks()
+        label, doc = np.asarray(got["label"]), np.asarray(got["doc_id"])
+    if len(set(label.tolist())) < 2:
+        return None, None, share
+    lists, counts = got["words"].combine_chunks(), got["counts"].combine_chunks()
+    text = np.repeat(np.arange(len(doc)), np.asarray(pc.list_value_length(lists)))
+    coded = pc.dictionary_encode(lists.flatten())
+    terms = Terms(coded.dictionary, how)
+    example, term, count = terms.count(text, np.asarray(coded.indices, dtype=np.int64), np.asarray(counts.flatten(), dtype=np.int64), coded.dictionary)
+    with_term = np.zeros(len(doc), bool)
+    with_term[example] = True
+    y = label[with_term]
+    if not len(y):
+        return None, None, share
     known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-    known = known.join(ids, "doc_id", "left").select("text", "label")  # both grow with the input: not broadcast
-    table = known.mapInArrow(_term_counts(sc.broadcast(terms), how), "t long, df long, m long, a long").groupBy("t").agg(F.sum("df").alias("df"), F.sum("m").alias("m"), F.sum("a").alias("a")).toArrow()  # a row for each term
-    counts = np.zeros((3, len(terms) + 1))  # the last column has the counts of all texts, as t = -1
-    counts[:, np.asarray(table["t"])] = [np.asarray(table[c]) for c in ("df", "m", "a")]
-    (n, n_known, n_known_1), (df, m, a) = counts[:, -1], counts[:, :-1]
+    known = known.join(ids.hint("merge"), "doc_id", "left").select("text", "label")  # both grow with the input: not broadcast
+    shipped = sc.broadcast(terms)
+    table = known.mapInArrow(_term_counts(shipped, how), "t long, df long, m long, a long").groupBy("t").agg(F.sum("df").alias("df"), F.sum("m").alias("m"), F.sum("a").alias("a")).toArrow()  # a row for each term
+    sums = np.zeros((3, len(terms) + 1))  # the last column has the counts of all texts, as t = -1
+    sums[:, np.asarray(table["t"])] = [np.asarray(table[c]) for c in ("df", "m", "a")]
+    (n, n_known, n_known_1), (df, m, a) = sums[:, -1], sums[:, :-1]
     idf = np.maximum(np.log((1 + n) / (1 + df)), 0) ** how.power + 1e-6
     idf *= emphasis(chi_squared(m, a, n_known, n_known_1), how)
-    # Blocks hold examples alike: by the commonest of their uneven terms, then by label.
-    rows = [(np.array([t for t, _ in r["terms"]]), np.array([c for _, c in r["terms"]])) for r in got]
-    common = [int(t[np.argmax(df[t] * uneven[t])]) if uneven[t].any() else -1 for t, _ in rows]
-    order = sorted(range(len(rows)), key=lambda i: (common[i], got[i]["label"], got[i]["doc_id"]))
-    index = Index(terms, idf, [rows[i] for i in order], np.array([got[i]["label"] for i in order]), np.array([got[i]["doc_id"] for i in order]), how)
-    votes = np.array([index.vote(*index.nearest(rows[i][0], index.weights(*rows[i]), without=j)) for j, i in enumerate(order)])
+    place = np.cumsum(with_term) - 1
+    index = Index(idf, place[example], term, count, y, doc[with_term], how)
+    back = np.argsort(index.ids)  # ids are distinct and were in order, so this is where each example is now
+    example = back[place[example]]
+    order = np.lexsort([term, example])
+    votes = index.votes(*index.nearest(example[order], term[order], count[order], len(y), without=np.arange(len(y))))
     y = index.labels
-    mass = np.where(y == 1, share / n_of[1], (1 - share) / n_of[0]) * len(y)  # of all examples, those without a term too
+    all_1, all_0 = (label == 1).sum(), (label == 0).sum()
+    mass = np.where(y == 1, share / all_1, (1 - share) / all_0) * len(y)  # of all examples, those without a term too
     if 0 < y.sum() < len(y):
         index.a, index.b = logistic(votes, y, mass)
     else:  # no example of the other label has a term
         index.b = float(np.log(2 * len(y) + 1)) * (1 if y[0] else -1)
-    none_1, none_0 = share * none_of[1] / n_of[1], (1 - share) * none_of[0] / n_of[0]
+    none = Counter(label[~with_term].tolist())
+    none_1, none_0 = share * none[1] / all_1, (1 - share) * none[0] / all_0
     index.base = none_1 / (none_1 + none_0) if none_1 + none_0 else share
-    return index, share
+    return terms, index, share
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest(), threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (doc_ids of the nearest examples): one row for each row of ``docs``."""
-    index, share = fit(docs, labels, how)
-    shipped = docs.sparkSession.sparkContext.broadcast(index and index.state())  # its size is that of the examples
+    terms, index, share = fit(docs, labels, how)
+    shipped = docs.sparkSession.sparkContext.broadcast((terms, index))  # its size is that of the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shipped.value and Index.of_state(shipped.value, how)
+        terms, index = shipped.value
         for batch in small_batches(batches):
-            scores, evidence = [], []
-            for text in texts(batch.column("text")).to_pylist():
-                terms, weights = index.query(words_of(text)) if index else ((), ())
-                if len(terms):
-                    top, cosines = index.nearest(terms, weights)
-                    scores.append(float(1 / (1 + np.exp(-np.clip(index.a * index.vote(top, cosines) + index.b, -40, 40)))))
-                    evidence.append(index.ids[top[:5]].tolist())
-                else:
-                    scores.append(index.base if index else share)
-                    evidence.append([])
+            n = len(batch)
+            scores, evidence = np.full(n, index.base if index else share), [[]] * n
+            if index:
+                text, term, count = terms.count(*word_counts(batch.column("text")))
+                some, text = np.unique(text, return_inverse=True)
+                top, cosines = index.nearest(text, term, count, len(some))
+                scores[some] = 1 / (1 + np.exp(-np.clip(index.a * index.votes(top, cosines) + index.b, -40, 40)))
+                for i, ids, near in zip(some, index.ids[top[:, :5]].tolist(), (cosines[:, :5] > 0).sum(axis=1), strict=True):
+                    evidence[i] = ids[: max(1, near)]
             held = [is_held_out(i) for i in batch.column("doc_id").to_pylist()]
-            scores = np.array(scores, dtype=np.float64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(held, pa.bool_()), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "held_out", "score", "predicted", "evidence"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out booscore double, predicted int, evidence array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, evidence array<bigint>")

@@ -287,20 +287,58 @@ def test_language_on_held_out_rows(spark):
     assert language_id.identify(none(spark)).count() == 0
 
 
-def test_nearest_are_exact(spark):
+@pytest.mark.parametrize("block,dense", [(8, 2), (8, 99), (200, 1)])
+def test_nearest_are_exact(block, dense):
     rng = np.random.default_rng(2)
-    how = toxicity.Nearest(k=7, block=8, first=1)
+    how = toxicity.Nearest(k=7, block=block, first=1, dense=dense, batch=300)
     rows = [(np.sort(rng.choice(60, 12, replace=False)), rng.integers(1, 4, 12)) for _ in range(100)]
-    ix = toxicity.Index({f"t{i}": i for i in range(60)}, rng.random(60) * 5, rows, rng.integers(0, 2, 100), np.arange(100), how)
-    dense = np.zeros((100, 60))
-    for i, (t, c) in enumerate(rows):
-        dense[i, t] = ix.weights(t, c)
-    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
-    for t, c in rows[:30]:
-        q = np.zeros(60)
-        q[t] = ix.weights(t, c)
-        want = np.sort(dense @ (q / np.linalg.norm(q)))[::-1][:7]
-        assert ix.nearest(t, ix.weights(t, c))[1] == pytest.approx(want, rel=1e-5)
+    example, term, count = np.repeat(np.arange(100), 12), np.concatenate([t for t, _ in rows]), np.concatenate([c for _, c in rows])
+    ix = toxicity.Index(rng.random(60) * 5, example, term, count, rng.integers(0, 2, 100), np.arange(100), how)
+    matrix = np.zeros((100, 60))
+    matrix[example, term] = ix.weights(term, count)
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    cosines = matrix @ matrix.T
+    top, got = ix.nearest(example[:360], term[:360], count[:360], 30)
+    assert got == pytest.approx(-np.sort(-cosines[:30], axis=1)[:, :7], abs=2e-6)
+    assert np.take_along_axis(cosines[:30], ix.ids[top], axis=1) == pytest.approx(got, abs=2e-6)
+    place = np.argsort(ix.ids)
+    _, others = ix.nearest(example, term, count, 100, without=place)
+    np.fill_diagonal(cosines, -1)
+    assert others == pytest.approx(-np.sort(-cosines, axis=1)[:, :7], abs=2e-6)
+
+
+def test_toxicity_query_equals_dense_cosines(spark):
+    docs, known = table(spark, "/root/testdata/sf0.001", "documents"), table(spark, "/root/testdata/sf0.001", "labels")
+    how = toxicity.Nearest()
+    terms, index, _ = toxicity.fit(docs, known, how)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+
+    def vector(text):
+        out = np.zeros(len(terms))
+        for word, n in Counter(re.findall(r"[^\W_]+", text.lower())).items():
+            for j, piece in enumerate([word, *(word[:m] if len(word) > m else None for m in how.stems)]):
+                at = terms.known[j].index(pa.scalar(piece, pa.string())).as_py() if piece is not None else -1
+                if at >= 0:
+                    out[terms.begins[j] + at] += n
+        return np.where(out > 0, (1 + np.log(np.maximum(out, 1))) * index.idf, 0)
+
+    unit = lambda x: x / max(np.linalg.norm(x), 1e-12)
+    matrix = np.array([unit(vector(texts[i])) for i in index.ids])
+    seen = 0
+    for r in toxicity.score_toxicity(docs, known).collect():
+        query = vector(texts[r["doc_id"]])
+        if not query.any():
+            assert r["score"] == index.base and r["evidence"] == []
+            continue
+        cosines = matrix @ unit(query)
+        best = -np.sort(-cosines)[: how.k]
+        votes = np.exp((best - best[0]) / how.width)
+        labels = index.labels[np.argsort(-cosines, kind="stable")[: how.k]]
+        assert sorted(cosines[np.isin(index.ids, r["evidence"])])[::-1] == pytest.approx(best[: len(r["evidence"])], abs=3e-6)
+        if np.diff(-np.sort(-cosines)[: how.k + 1]).max(initial=-1) < -1e-5:  # no ties
+            assert r["score"] == pytest.approx(1 / (1 + np.exp(-(index.a * (votes @ labels) / votes.sum() + index.b))), abs=1e-4)
+            seen += 1
+    assert seen > 50
 
 
 def test_toxicity(spark):
@@ -318,12 +356,10 @@ def test_toxicity(spark):
 
 def test_toxicity_terms(spark):
     how = toxicity.Nearest()
-    assert toxicity.pieces("vilest", how) == ["vilest", "vile-"] and toxicity.pieces("vi", how) == ["vi"]
-    memo = {}
-    assert toxicity.terms_of({"vilest": 2, "vilely": 1, "kind": 1}, {"vile-": 0, "vilely": 1}, memo, how) == {0: 3, 1: 1}
-    assert memo == {"vilest": (0,), "vilely": (1, 0), "kind": ()}
-    rows = [(i % 2, ["same", f"u{i}"] + (["vile"] if i % 2 else [])) for i in range(80)]
-    assert toxicity.uneven_terms(rows, how) == ["vile"]
+    assert [x.to_pylist() for x in toxicity.pieces(pa.array(["vilest", "vi"]), how)] == [["vilest", "vi"], ["vile", None], [None, None]]
+    terms = toxicity.Terms(pa.array(["vilely", "kind"]), how)
+    text, term, count = terms.count(*toxicity.word_counts(pa.array(["Vilest vilest, vilely!", None, "KIND_x a", ""])))
+    assert [(int(t), int(c), [x.to_pylist() for x in terms.known][int(np.searchsorted(terms.begins, n, side="right")) - 1]) for t, n, c in zip(text, term, count)] == [(0, 1, ["kind", "vilely"]), (0, 3, ["vile"]), (2, 1, ["kind", "vilely"])]
     # forms of a known stem that no example has
     docs = [(i, f"w{i} kind words " + (f"vilest{i} " * 3 if i % 3 == 0 else ""), None, None, None, None) for i in range(150)]
     got = toxicity.score_toxicity(spark.createDataFrame(docs, DOC), labels(spark, [(i, 1, int(i % 3 == 0)) for i in range(150)])).filter("held_out").collect()
