@@ -4,15 +4,17 @@ Each source's texts, in a fixed pseudorandom order, are one stream of words, pac
 of ``block`` words (the last one of a source may be shorter). Sources of under ``parts`` such blocks
 have smaller ones, about ``parts`` of them, so that whole blocks come near their targets too. A source
 gets as many slots as blocks of its mean size make its target, rounded by a random offset (the
-expectation is the target). The slots are dealt evenly over the output shards, of about ``shard`` slots
-of ``block`` words; what rounding leaves is carried from shard to shard. A source's slots
+expectation is the target). Source counts of the output shards, of about ``shard`` slots, are drawn as
+multinomials: each source's slots fall on the shards at random, drawn by halves of the shards, so that
+any shard's counts come from a few draws, and all counts of a source add up to its slots. A source's slots
 are numbered over all shards; slot k is
 mapped through the source's pseudorandom permutation of block indexes (swap-or-not, one for each
 pass over the source), and slots and blocks are joined by that index. No block is taken more
 than ``most`` times, so no document is.
 
-Scale: the driver gets one row for each source (its size), nothing else. Streams are laid out by
-sums over small chunks of documents, so a source with a third of all rows is many small groups.
+Scale: the driver gets one row for each source (its size), and sends as much back; the sources must be that few.
+Streams are laid out by sums over small chunks of documents and sums over groups of chunks, so a source with a third of
+all rows is many small groups; slots are made in as many tasks as their number asks for.
 
 Defined cases: a null text has size 0 and takes 0. A null source is a source of its own, last in
 order. Repeated rows are separate documents, each taken for itself. An empty table, or one
@@ -21,9 +23,11 @@ without words, gives targets of 0. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +42,10 @@ class Mix:
     most: int = 3
     block: int = 64
     parts: int = 64  # blocks that a source has about, if it has not words for as many of full size
-    shard: int = 1 << 20
+    shard: int = 1 << 16
     chunk: int = 256
+    chunks: int = 4096  # whose sums are summed together
+    task: int = 1 << 15  # slots that a task makes
     rounds: int = 12
     fine: int = 100  # mixed_rows cuts documents of more than 1/fine of their source's target
     seed: int = 29
@@ -59,6 +65,31 @@ def targets(sizes: list[int], weights: list[float], most: int) -> list[float]:
         capped.update(over)
 
 
+def drawn(totals: np.ndarray, shards: int, first: int, last: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Shards ``first`` to ``last`` - 1 of ``shards``, with each source's slots before and in them: its total falls on the shards at random."""
+    stack = [(0, shards, np.zeros(len(totals), np.int64), np.asarray(totals, np.int64))]
+    while stack:
+        low, high, before, here = stack.pop()
+        if high <= first or low >= last:
+            continue
+        if high - low == 1:
+            yield low, before, here
+            continue
+        middle = (low + high) // 2
+        left = np.random.default_rng([seed, low, high]).binomial(here, (middle - low) / (high - low))
+        stack += [(middle, high, before + left, here - left), (low, middle, before, left)]
+
+
+def _before(sums: DataFrame, order: list[str], value: str, how: Mix) -> DataFrame:
+    """``sums`` (s, ``order``, of which the last is a number, and ``value``), with ``before``: the sum of a source's values before each row, in two levels."""
+    sums = sums.withColumn("group", F.expr(f"{order[-1]} div {how.chunks}"))
+    outer, last = [*order[:-1], "group"], Window.unboundedPreceding
+    groups = sums.groupBy("s", *outer).agg(F.sum(value).alias("sum"))
+    groups = groups.select("s", *outer, F.coalesce(F.sum("sum").over(Window.partitionBy("s").orderBy(*outer).rowsBetween(last, -1)), F.lit(0)).alias("far"))
+    near = F.coalesce(F.sum(value).over(Window.partitionBy("s", *outer).orderBy(order[-1]).rowsBetween(last, -1)), F.lit(0))
+    return sums.withColumn("near", near).join(groups, ["s", *outer]).select("s", *order, (F.col("far") + F.col("near")).alias("before"))
+
+
 def mix(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row for each row of ``docs``."""
     return _mix(docs, how).select("doc_id", "size", "source_size", "target", "taken")
@@ -72,21 +103,19 @@ def _mix(docs: DataFrame, how: Mix) -> DataFrame:
     totals = [(r["source"], r["size"], r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()]
     totals.sort(key=lambda r: (r[0] is None, (r[0] or "").encode("utf-8", "surrogatepass")))
     goals = targets([r[1] for r in totals], [how.weights[i % len(how.weights)] for i in range(len(totals))], how.most)
-    total = sum(r[1] for r in totals)
     block = [max(1, min(how.block, -(-int(r[1]) // how.parts))) for r in totals]
     blocks = [-(-int(r[1]) // b) for r, b in zip(totals, block, strict=True)]
     # Slots by words: never above most * blocks, as no target is above most times its source's size.
     n_slots = np.array([min(g * n / r[1], how.most * n) if r[1] else 0.0 for r, g, n in zip(totals, goals, blocks, strict=True)])
     offset = (np.cumsum(n_slots) - n_slots + np.random.default_rng(how.seed).random()) % 1  # systematic: the slots of all sources add up, too
-    about = [(i, r[0], int(r[1]), float(g), b, n, max(1, -(-int(r[2]) // how.chunk)), float(k), float(u)) for i, (r, g, b, n, k, u) in enumerate(zip(totals, goals, block, blocks, n_slots, offset, strict=True))]
-    sources = spark.createDataFrame(about, "s int, source string, source_size long, target double, block long, blocks long, chunks long, slots double, offset double")
+    about = [(i, r[0], int(r[1]), float(g), b, n, max(1, -(-int(r[2]) // how.chunk))) for i, (r, g, b, n) in enumerate(zip(totals, goals, block, blocks, strict=True))]
+    sources = spark.createDataFrame(about, "s int, source string, source_size long, target double, block long, blocks long, chunks long")
 
     # Streams: where each document begins among its source's words.
     docs_of = sized.join(F.broadcast(sources.withColumnRenamed("source", "of")), F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")  # a row for each source
     docs_of = docs_of.withColumn("chunk", F.pmod(F.xxhash64(F.lit(how.seed), "doc_id"), "chunks"))
     chunks = docs_of.groupBy("s", "chunk").agg(F.sum("size").alias("words"))
-    before = F.sum("words").over(Window.partitionBy("s").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
-    chunks = chunks.select("s", "chunk", F.coalesce(before, F.lit(0)).alias("chunk_start"))
+    chunks = _before(chunks, ["chunk"], "words", how).withColumnRenamed("before", "chunk_start")
     within = F.sum("size").over(Window.partitionBy("s", "chunk").orderBy("doc_id", "th", "size").rowsBetween(Window.unboundedPreceding, -1))
     number = F.row_number().over(Window.partitionBy("s", "chunk").orderBy("doc_id", "th", "size"))
     placed = docs_of.withColumn("start", F.coalesce(within, F.lit(0))).withColumn("nr", number).join(chunks.hint("merge"), ["s", "chunk"])
@@ -96,13 +125,21 @@ def _mix(docs: DataFrame, how: Mix) -> DataFrame:
     words = F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * F.col("block")) - F.greatest(F.col("start"), F.col("index") * F.col("block"))
     pieces = pieces.select("s", "index", "doc_id", "size", "source_size", "target", "chunks", "chunk", "nr", F.when(F.col("index") >= 0, words).otherwise(0).alias("words"))
 
-    # Shards: slots a to b - 1 of each source; the rounded running totals carry what is left of a slot to the next shard.
-    n_shards = max(1, -(-round(total / how.block) // how.shard))
-    drawn = spark.range(n_shards).crossJoin(F.broadcast(sources.select("s", "blocks", "slots", "offset")))  # a row for each source
-    edge = lambda shard: F.floor(F.col("slots") * (shard / float(n_shards)) + F.col("offset"))
-    drawn = drawn.select("s", "blocks", edge(F.col("id")).alias("k0"), edge(F.col("id") + 1).alias("k1")).filter("k0 < k1")
-    runs = drawn.withColumn("a", F.explode(F.sequence(F.col("k0"), F.col("k1") - 1, F.lit(4096).cast("long"))))
-    runs = runs.select("s", "blocks", "a", F.least(F.col("a") + 4096, "k1").alias("b")).repartition(F.col("s"), F.col("a"))
+    # Shards: slots k0 to k1 - 1 of each source.
+    whole = np.floor(n_slots + offset).astype(np.int64)
+    n_shards = max(1, -(-int(whole.sum()) // how.shard))
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column("id"))
+            for _, before, here in drawn(whole, n_shards, int(ids.min()), int(ids.max()) + 1, how.seed) if len(ids) else ():
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(here), dtype=np.int32)), pa.array(before), pa.array(before + here)], ["s", "k0", "k1"])
+
+    parts = spark.range(0, n_shards, 1, max(1, -(-n_shards // 1024))).mapInArrow(counts, "s int, k0 long, k1 long").filter("k0 < k1")
+    runs = parts.withColumn("a", F.explode(F.sequence(F.col("k0"), F.col("k1") - 1, F.lit(4096).cast("long"))))
+    runs = runs.join(F.broadcast(sources.select("s", "blocks")), "s")  # a row for each source
+    # A number of tasks is given: left to itself, the planner sees few bytes before explode and takes one.
+    runs = runs.select("s", "blocks", "a", F.least(F.col("a") + 4096, "k1").alias("b")).repartition(max(1, -(-int(whole.sum()) // how.task)), F.col("s"), F.col("a"))
     slots = runs.select("s", "blocks", F.explode(F.expr("sequence(a, b - 1)")).alias("k"))
     # Swap-or-not: each round pairs i with key - i and swaps by a hash of the pair: a permutation of 0..blocks-1 for any keys.
     permuted = f"""
@@ -134,8 +171,7 @@ def mixed_rows(docs: DataFrame, how: Mix = Mix()) -> DataFrame:
     taken = taken.withColumn("w", F.when(F.col("_long"), 0).otherwise(F.expr(f"_left * {one}L div _size"))).withColumn("class", F.floor(F.log2("_size")))
     taken = cut(taken.withColumn("chunk", F.pmod(F.xxhash64(F.lit(how.seed + 1), "_id"), "chunks")), "taken")
     sums = taken.groupBy("s", "class", "chunk").agg(F.sum("w").alias("sum"))
-    before = F.sum("sum").over(Window.partitionBy("s").orderBy("class", "chunk").rowsBetween(Window.unboundedPreceding, -1))
-    sums = sums.select("s", "class", "chunk", F.coalesce(before, F.lit(0)).alias("before"))
+    sums = _before(sums, ["class", "chunk"], "sum", how)
     within = F.sum("w").over(Window.partitionBy("s", "class", "chunk").orderBy("_size", "_id").rowsBetween(Window.unboundedPreceding, 0))
     taken = taken.withColumn("within", within).join(sums.hint("merge"), ["s", "class", "chunk"])
     taken = taken.withColumn("to", F.col("before") + F.col("within") + F.pmod(F.xxhash64(F.lit(how.seed + 1), "s"), F.lit(one)))

@@ -146,6 +146,71 @@ def test_mix_of_small_sources(spark):
             assert size < 100 or abs(taken[source] - target) < 0.03 * target, source
 
 
+def test_shards_are_drawn_as_multinomials():
+    totals, n = np.array([50_000, 1000, 0, 3]), 37
+    all_ = list(mixing.drawn(totals, n, 0, n, 5))
+    counts = np.array([here for _, _, here in all_])
+    assert [i for i, _, _ in all_] == list(range(n)) and (counts.sum(axis=0) == totals).all()
+    assert all((before == counts[:i].sum(axis=0)).all() for i, before, _ in all_)
+    # any part of the shards is drawn alike, and counts scatter as those of a multinomial do
+    assert [(i, *a, *b) for i, a, b in mixing.drawn(totals, n, 11, 20, 5)] == [(i, *a, *b) for i, a, b in all_[11:20]]
+    scatter = np.mean([np.array([h[:2] for _, _, h in mixing.drawn(totals, n, 0, n, seed)]).var(axis=0) for seed in range(60)], axis=0)
+    assert scatter == pytest.approx(totals[:2] / n * (1 - 1 / n), rel=0.12)
+
+
+def brute_mix(rows, how):
+    """Words taken of each row, slot by slot; the order within a source by the same chunks."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    sizes = Counter()
+    for _, source, n, _ in rows:
+        sizes[source] += n
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goals = mixing.targets([sizes[s] for s in names], [how.weights[i % len(how.weights)] for i in range(len(names))], how.most)
+    block = [max(1, min(how.block, -(-sizes[s] // how.parts))) for s in names]
+    blocks = [-(-sizes[s] // b) for s, b in zip(names, block)]
+    slots = [min(g * n / sizes[s], how.most * n) if sizes[s] else 0 for s, g, n in zip(names, goals, blocks)]
+    offset = (np.cumsum(slots) - slots + np.random.default_rng(how.seed).random()) % 1
+    whole = np.floor(slots + offset).astype(int)
+    taken = Counter()
+    for s, name in enumerate(names):
+        mine = [r for r in rows if r[1] == name]
+        n_chunks = max(1, -(-len(mine) // how.chunk))
+        mine.sort(key=lambda r: (r[3] % n_chunks, r[0]))
+        stream = [r[0] for r in mine for _ in range(r[2])]
+        for k in range(whole[s]):
+            at = permuted(spark, how, s, k // blocks[s], k % blocks[s], blocks[s])
+            for doc in stream[at * block[s] : (at + 1) * block[s]]:
+                taken[doc] += 1
+    return taken, whole
+
+
+def permuted(spark, how, s, turn, i, blocks):
+    cache = permuted.__dict__.setdefault("cache", {})
+    if (s, turn) not in cache:
+        cache[s, turn] = [r[0] % blocks for r in spark.range(1, how.rounds + 1).select(F.xxhash64(F.lit(how.seed), F.lit(s), F.lit(turn).cast("long"), F.col("id").cast("int"))).collect()]
+        pairs = {}
+        rows = spark.range(1, how.rounds + 1).crossJoin(spark.range(blocks).withColumnRenamed("id", "g")).select("id", "g", F.xxhash64(F.lit(how.seed), F.lit(s), F.lit(turn).cast("long"), F.col("id").cast("int"), "g").alias("h")).collect()
+        for r in rows:
+            pairs[r["id"], r["g"]] = r["h"]
+        cache[s, turn, "pairs"] = pairs
+    for r, key in enumerate(cache[s, turn], 1):
+        j = (key - i) % blocks
+        i = i if cache[s, turn, "pairs"][r, max(i, j)] % 2 == 0 else j
+    return i
+
+
+def test_mix_equals_brute_force(spark):
+    how = mixing.Mix(block=8, parts=4, shard=16, chunk=5, chunks=2, task=32)
+    rows = [(i, ["a", "b", None][i % 7 % 3], (i * 5) % 23, None) for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), None, s, None, None) for i, s, n, _ in rows], DOC)
+    hashes = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64(F.lit(how.seed), "doc_id")).collect()}
+    want, whole = brute_mix([(i, s, n, hashes[i]) for i, s, n, _ in rows], how)
+    assert whole.sum() > 2 * how.shard
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs, how).collect()} == {i: want[i] for i, *_ in rows}
+
+
 def test_mixed_rows_near_targets(spark):
     docs = table(spark, SF, "documents")
     goal = {r["source"]: r["target"] for r in mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").select("source", "target").distinct().collect()}
