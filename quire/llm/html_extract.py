@@ -2,17 +2,18 @@
 
 A page is parsed to a tree (with implied end tags; scripts, styles, forms' controls and comments
 never become text). Each element has features of its subtree (text, tags, links, paragraphs), of
-its tag and attribute tokens, of its depth, ancestors and siblings. Boosted trees give the log
-odds that it belongs to the main text. A dynamic programme over the tree then picks the likeliest
+its tag and attribute tokens, of its depth, ancestors and siblings. What a tag or a token of a class, id or role
+says is learned too: its log odds of main text, counted over elements of other training pages than the trees'. Boosted trees give the log
+odds that an element belongs to the main text. A dynamic programme over the tree then picks the likeliest
 labelling in which nothing below a dropped element is kept, so ancestors and descendants never
 contradict each other. Kept text is cut into blocks at block elements and line breaks.
 
-There are no labelled pages, so the trees are trained here, once per call, on pages that
-:func:`sample_pages` composes: layouts of several kinds whose parts are known to be main text or not.
+There are no labelled pages, so all is trained here, once per call, on pages that
+:func:`sample_pages` composes: layouts of several kinds whose parts are known to be main text or not, some without any
+telling class, some with a misleading one.
 
 Defined cases: null and empty html give an empty text; a page of bare text is all main text; a
-tag cut off at the end is dropped. Elements nest at most ``DEPTH`` deep; deeper ones count as
-children of the last. Rows are extracted one by one, so repeated rows give repeated results, and
+tag cut off at the end is dropped. Hidden elements are elements like others. Rows are extracted one by one, so repeated rows give repeated results, and
 other columns are ignored.
 """
 
@@ -22,7 +23,8 @@ import html
 import math
 import random
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,6 @@ from pyspark.sql import DataFrame
 
 from quire.llm._common import small_batches, texts
 
-DEPTH = 200
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)[^>]*(>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -51,41 +52,30 @@ ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "body": ({"head"}, {"html"}),
 }
-GOOD = {"article", "content", "post", "entry", "story", "main", "text", "body", "prose"}
-BAD = {
-    "nav", "navigation", "menu", "navbar", "sidebar", "side", "footer", "header", "masthead", "banner", "ad", "ads", "advert", "adverts", "advertisement", "sponsor", "sponsored", "promo", "promoted",
-    "cookie", "cookies", "consent", "gdpr", "notice", "alert", "comment", "comments", "disqus", "reply", "replies", "respond", "discussion", "share", "sharing", "social", "related", "recommended", "more",
-    "subscribe", "newsletter", "signup", "login", "form", "search", "widget", "breadcrumb", "breadcrumbs", "popup", "modal", "overlay", "toolbar", "pagination", "pager", "tags", "copyright", "legal", "skip", "hidden",
-    "contentinfo", "complementary", "dialog", "top", "bottom",
-}
-BAD_TAGS = {"nav", "footer", "header", "aside", "form", "menu", "dialog", "fieldset"}
-GOOD_TAGS = {"article", "main"}
-
-
 class Node:
-    __slots__ = ("tag", "tokens", "children", "parent", "depth", "chars", "links", "tags", "paras", "stops", "index", "keep", "hidden")
+    __slots__ = ("tag", "tokens", "children", "parent", "depth", "chars", "links", "tags", "paras", "stops", "index", "keep", "spot", "around")
 
-    def __init__(self, tag: str, tokens: tuple[str, ...], parent: Node | None, hidden: bool = False):
-        self.tag, self.tokens, self.parent, self.hidden = tag, tokens, parent, hidden
+    def __init__(self, tag: str, tokens: tuple[str, ...], parent: Node | None):
+        self.tag, self.tokens, self.parent = tag, tokens, parent
         self.children: list[Node | str] = []
         self.depth = parent.depth + 1 if parent else 0
 
 
-def attribute_tokens(source: str) -> tuple[tuple[str, ...], bool]:
-    """Tokens of class, id and role, in lower case; whether the element is hidden."""
-    tokens, hidden = [], False
+def attribute_tokens(source: str) -> tuple[str, ...]:
+    """Tokens of class, id, role and itemprop, in lower case."""
+    tokens = []
     for m in _ATTRIBUTE.finditer(source):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        name = m[1].lower()
         if name in ("class", "id", "role", "itemprop"):
-            tokens += [t.lower() for t in _TOKEN.findall(html.unescape(value))]
+            tokens += [t.lower() for t in _TOKEN.findall(html.unescape(m[2] or m[3] or m[4] or ""))]
         if name == "data-main":
             tokens.append("@main")
-        hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", "").lower()
-    return tuple(tokens), hidden
+    return tuple(tokens)
 
 
 def parse(source: str) -> Node:
     root = here = Node("#root", (), None)
+    open_ = Counter()  # tags around what comes next, so that no search for one that isn't there climbs the tree
     at, n = 0, len(source)
     while at < n:
         lt = source.find("<", at)
@@ -107,23 +97,23 @@ def parse(source: str) -> Node:
         if not tag or m[4] == "" or m[7] == "":
             continue  # a comment, a declaration, or a tag cut off
         if m[1] or m[5]:
-            up = here
+            up = here if open_[tag] > 0 else root
             while up is not root and up.tag != tag:
                 up = up.parent
             if up is not root:
                 # an inline element's end doesn't close blocks around it
                 if tag not in INLINE or all(x.tag in INLINE for x in _between(here, up)):
-                    here = up.parent
+                    here = _leave(here, up.parent, open_)
             elif tag in ("p", "br"):
                 here.children.append(Node("br", (), here))
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_["p"] > 0:
             up = here
             while up is not root and up.tag in INLINE:
                 up = up.parent
             if up.tag == "p":
-                here = up.parent
-        if tag in ENDS:
+                here = _leave(here, up.parent, open_)
+        if tag in ENDS and any(open_[x] > 0 for x in ENDS[tag][0]):
             ends, bound = ENDS[tag]
             up, last = here, None
             while up is not root and up.tag not in bound:
@@ -131,19 +121,25 @@ def parse(source: str) -> Node:
                     last = up
                 up = up.parent
             if last is not None:
-                here = last.parent
+                here = _leave(here, last.parent, open_)
         attributes = m[3] or ""
-        tokens, hidden = attribute_tokens(attributes) if attributes else ((), False)
-        node = Node(tag, tokens, here, hidden)
+        node = Node(tag, attribute_tokens(attributes) if attributes else (), here)
         here.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(source, at)
             at = n if not end else (source.find(">", end.start()) + 1 or n)
-        elif tag not in VOID and not attributes.endswith("/") and node.depth < DEPTH:
+        elif tag not in VOID and not attributes.endswith("/"):
             here = node
+            open_[tag] += 1
     return root
 
 
+def _leave(here: Node, to: Node, open_: Counter) -> Node:
+    for x in _between(here, to):
+        open_[x.tag] -= 1
+    return to
+
+
 def _between(low: Node, high: Node) -> Iterator[Node]:
     while low is not high:
         yield low
@@ -156,7 +152,7 @@ def elements(root: Node) -> list[Node]:
     while stack:
         node = stack.pop()
         out.append(node)
-        stack += [c for c in reversed(node.children) if type(c) is Node and c.tag not in NO_TEXT and not c.hidden]
+        stack += [c for c in reversed(node.children) if type(c) is Node and c.tag not in NO_TEXT]
     for node in out:
         node.chars = node.links = node.tags = node.paras = node.stops = 0
     for node in reversed(out):
@@ -176,31 +172,40 @@ def elements(root: Node) -> list[Node]:
     return out
 
 
-def features(nodes: list[Node]) -> np.ndarray:
+def known_tokens(pages: Iterable[Node], prior: float = 4.0) -> dict[str, float]:
+    """Log odds of main text of the elements with a tag (``<tag``) or an attribute token, shrunk towards 0."""
+    main, other = Counter(), Counter()
+    for root in pages:
+        for node in elements(root)[1:]:
+            (main if is_main(node) else other).update({"<" + node.tag, *node.tokens} - {"@main"})
+    share = main.total() / max(1, main.total() + other.total())
+    return {t: math.log((main[t] / max(share, 1e-9) + prior) / (other[t] / max(1 - share, 1e-9) + prior)) for t in {*main, *other}}
+
+
+def features(nodes: list[Node], known: dict[str, float]) -> np.ndarray:
     total = max(1, nodes[0].chars)
     most = max((n.chars for n in nodes if n.tag in ("article", "main")), default=0)
-    rows, around = [], {}
+    nodes[0].spot, siblings = 0, {None: (1, {nodes[0].tag: 1}, nodes[0].chars)}
+    rows = []
     for node in nodes:
         p = node.parent
-        bad = sum(t in BAD for t in node.tokens) + 2 * (node.tag in BAD_TAGS)
-        good = sum(t in GOOD for t in node.tokens) + 2 * (node.tag in GOOD_TAGS)
-        up_bad, up_good = around.get(id(p), (0, 0))
-        around[id(node)] = (up_bad + (bad > good), up_good + (good > bad))
-        kids = [c for c in p.children if type(c) is Node] if p else [node]
-        spot = around.setdefault(("at", id(p)), {id(c): i for i, c in enumerate(kids)})
-        stats = around.get(("sum", id(p)))
-        if stats is None:
-            tags = {}
-            for c in kids:
-                tags[c.tag] = tags.get(c.tag, 0) + 1
-            stats = around[("sum", id(p))] = (tags, max((getattr(c, "chars", 0) for c in kids), default=0))
-        tags, largest = stats
+        kids = [c for c in node.children if type(c) is Node]
+        tags: dict[str, int] = {}
+        for i, c in enumerate(kids):
+            c.spot = i
+            tags[c.tag] = tags.get(c.tag, 0) + 1
+        siblings[node] = (len(kids), tags, max((c.chars for c in kids if c.tag not in NO_TEXT), default=0))
+        said, of_tag = [known.get(t, 0.0) for t in node.tokens if t != "@main"], known.get("<" + node.tag, 0.0)
+        low, high = min(said, default=0.0), max(said, default=0.0)
+        up_low, up_high, up_tag_low, up_tag_high = p.around if p else (0.0, 0.0, 0.0, 0.0)
+        node.around = (min(up_low, low), max(up_high, high), min(up_tag_low, of_tag), max(up_tag_high, of_tag))
+        n_kids, tags, largest = siblings[p]
         chars = node.chars
         rows.append((
-            math.log1p(chars), chars / (1 + node.tags), node.links / max(1, chars), chars / total, min(node.depth, 30), spot.get(id(node), 0) / max(1, len(kids)),
-            math.log1p(len(kids)), tags.get(node.tag, 1) / max(1, len(kids)), math.log1p(node.paras), node.stops / max(1, chars), bad, good, min(up_bad, 3), min(up_good, 3),
+            math.log1p(chars), chars / (1 + node.tags), node.links / max(1, chars), chars / total, min(node.depth, 30), node.spot / n_kids,
+            math.log1p(n_kids), tags[node.tag] / n_kids, math.log1p(node.paras), node.stops / max(1, chars), low, high, len(said), of_tag, up_low, up_high, up_tag_low, up_tag_high,
             chars / max(1, largest), node.tag in ("ul", "ol", "li", "dl"), node.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "table", "tr", "td", "th"), node.tag in ("div", "section", "span"),
-            most / total, node.tag in INLINE, p.chars / total if p else 1.0, (p.links / max(1, p.chars)) if p else 0.0,
+            most / total, node.tag in INLINE, p.chars / total if p else 1.0, (p.links / max(1, p.chars)) if p else 0.0, n_kids - 1 - node.spot, math.log1p(p.paras) if p else 0.0,
         ))
     return np.array(rows, dtype=np.float32)
 
@@ -291,7 +296,7 @@ def blocks(root: Node, all_text: bool = False) -> list[str]:
             run.append(x)
         elif x.tag in ("br", "hr"):
             close()
-        elif x.tag not in NO_TEXT and not x.hidden and (all_text or x.keep):
+        elif x.tag not in NO_TEXT and (all_text or x.keep):
             inline = x.tag in INLINE
             if not inline:
                 close()
@@ -303,12 +308,13 @@ def blocks(root: Node, all_text: bool = False) -> list[str]:
     return out
 
 
-def main_text(source: str | None, trees: Trees) -> str:
+def main_text(source: str | None, model: tuple[dict[str, float], Trees]) -> str:
     if not source:
         return ""
+    known, trees = model
     root = parse(source)
     nodes = elements(root)
-    decode(nodes, trees.predict(features(nodes)))
+    decode(nodes, trees.predict(features(nodes, known)))
     return "\n".join(blocks(root))
 
 
@@ -341,6 +347,12 @@ def sample_pages(n: int, seed: int = 53) -> Iterator[Node]:
             body = " | ".join(words(1, 1) for _ in range(rng.randint(3, 30)))
         return body
 
+    telling = ["more", "top", "legal", "notice", "header", "side", "menu", "share", "tags", "search", "bottom", "ad", "lead", "intro", "note", "first", "post", "text", "wide", "box", "row", "related", "comment"]
+
+    def odd() -> str:
+        """A class that says nothing, or the wrong thing."""
+        return f' class="{rng.choice([rng.choice(telling), words(1, 1), words(1, 1) + "-" + rng.choice(telling)])}"' if rng.random() < 0.12 else ""
+
     def main(rich: bool) -> str:
         out = []
         if rng.random() < 0.8:
@@ -349,19 +361,19 @@ def sample_pages(n: int, seed: int = 53) -> Iterator[Node]:
             kind = rng.random() if rich else 0
             if kind < 0.72:
                 open_b = "<b>" if rng.random() < 0.15 else ""
-                out.append(f"<p data-main>{open_b}{paragraph()}{rng.choice(['', '<br>']) if open_b else ''}" + rng.choice(["</p>", "</p>", "</p>", ""]))
-            elif kind < 0.78:
-                out.append(f"<h2 data-main>{words(1, 7)}</h2>")
+                out.append(f"<p data-main{odd()}>{open_b}{paragraph()}{rng.choice(['', '<br>']) if open_b else ''}" + rng.choice(["</p>", "</p>", "</p>", ""]))
+            elif kind < 0.78 or not out and rich and kind < 0.8:
+                out.append(f"<h2 data-main{odd()}>{words(1, 7)}</h2>")
             elif kind < 0.84:
-                out.append(f"<ul data-main>{''.join(f'<li data-main>{sentence(1, 12)}</li>' for _ in range(rng.randint(1, 6)))}</ul>")
+                out.append(f"<ul data-main{odd()}>{''.join(f'<li data-main>{sentence(1, 12)}</li>' for _ in range(rng.randint(1, 6)))}</ul>")
             elif kind < 0.88:
                 out.append(f"<blockquote data-main><p data-main>{paragraph()}</p></blockquote>")
             elif kind < 0.91:
-                out.append(f"<table data-main>{''.join(f'<tr data-main><td data-main>{words(1, 3)}</td><td data-main>{words(1, 3)}</td></tr>' for _ in range(rng.randint(1, 5)))}</table>")
+                out.append(f"<table data-main{odd()}>{''.join(f'<tr data-main><td data-main>{words(1, 3)}</td><td data-main>{words(1, 3)}</td></tr>' for _ in range(rng.randint(1, 5)))}</table>")
             elif kind < 0.93:
                 out.append(f"<pre data-main>{words(3, 30)}</pre>")
             elif kind < 0.95:
-                out.append(f"<div data-main><p data-main>{paragraph()}</p></div>")
+                out.append(f"<div data-main{odd()}><p data-main>{paragraph()}</p>{f'<p data-main>{paragraph()}</p>' * rng.randint(0, 1)}</div>")
             else:
                 out.append(inner())
         return "".join(out)
@@ -386,6 +398,9 @@ def sample_pages(n: int, seed: int = 53) -> Iterator[Node]:
             lambda: f'<div class="{rng.choice(["sidebar", "side-bar", "right-sidebar widget"])}"><h3>{words(1, 3)}</h3><ul>{links(rng.randint(2, 8))}</ul><p>{sentence(3, 20)}</p></div>',
             lambda: f'<div {rng.choice(["id", "class"])}="{rng.choice(["cookie", "cookie-notice", "consent", "gdpr-banner", "notice", "alert"])}"><p>{" ".join(sentence(4, 16) for _ in range(rng.randint(1, 3)))}</p></div>',
             lambda: f'<form action="/s"><label>{words(1, 3)}</label><p>{sentence(2, 9)}</p></form>',
+            lambda: f'<div{rng.choice(["", "", odd()])}>{" ".join(f"<a href=/{i}>{words(1, 2)}</a>" for i in range(rng.randint(2, 8)))}</div>',
+            lambda: f'<div{odd()}><ul>{links(rng.randint(2, 8))}</ul></div>',
+            lambda: f'<ul{odd()}>{links(rng.randint(2, 8))}</ul>',
             lambda: f'<div class="{rng.choice(["search", "login-form", "newsletter"])}"><form><label>{words(1, 3)}</label></form><p>{sentence(2, 9)}</p></div>',
         ])()
 
@@ -399,6 +414,7 @@ def sample_pages(n: int, seed: int = 53) -> Iterator[Node]:
             lambda: f"<footer{rng.choice(['', ' class=site-footer'])}>&copy; {words(1, 2)} &middot; {sentence(2, 16)}</footer>",
             lambda: f'<div class="{rng.choice(["footer", "copyright", "site-footer legal"])}"><p>{sentence(2, 16)}</p><ul>{links(rng.randint(0, 4))}</ul></div>',
             lambda: f"<footer><ul>{links(rng.randint(1, 6))}</ul><p>&copy; {words(1, 3)}</p></footer>",
+            lambda: f"<div{odd()}><p>{rng.choice(['Copyright', '&copy;', words(1, 1)])} {rng.randint(1990, 2030)} {words(1, 3)}</p></div>",
         ])()
 
     for _ in range(n):
@@ -416,28 +432,30 @@ def sample_pages(n: int, seed: int = 53) -> Iterator[Node]:
         yield root
 
 
-def trained(n_pages: int = 500, seed: int = 53) -> Trees:
+def is_main(node: Node) -> bool:
+    """Whether a composed page's element is main text: marked, or inline in one that is."""
+    while node.parent and node.tag in INLINE and "@main" not in node.tokens:
+        node = node.parent
+    return node.tag in ("#root", "html") or "@main" in node.tokens
+
+
+def trained(n_pages: int = 500, seed: int = 53) -> tuple[dict[str, float], Trees]:
+    known = known_tokens(sample_pages(n_pages, seed + 1))
     x, y = [], []
     for root in sample_pages(n_pages, seed):
         nodes = elements(root)
-        x.append(features(nodes))
-        y += [n.tag in ("#root", "html") or "@main" in n.tokens or n.tag in INLINE and _marked_above(n) for n in nodes]
-    return Trees().fit(np.concatenate(x), np.array(y, dtype=np.float64))
-
-
-def _marked_above(node: Node) -> bool:
-    while node.parent and node.tag in INLINE:
-        node = node.parent
-    return "@main" in node.tokens
+        x.append(features(nodes, known))
+        y += [is_main(n) for n in nodes]
+    return known, Trees().fit(np.concatenate(x), np.array(y, dtype=np.float64))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row for each row of ``pages``."""
-    trees = trained()
+    model = trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html"):
-            out = [main_text(x, trees) for x in texts(batch.column("html")).to_pylist()]
+            out = [main_text(x, model) for x in texts(batch.column("html")).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("page_id").cast(pa.int64()), batch.column("url"), pa.array(out, pa.string()), pa.array([len(x) for x in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")

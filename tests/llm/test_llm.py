@@ -1,4 +1,5 @@
 import hashlib
+import html
 import re
 import zlib
 from collections import Counter
@@ -30,8 +31,8 @@ def labels(spark, rows=()):
 
 
 def test_html_cases():
-    trees = html_extract.trained()
-    get = lambda x: html_extract.main_text(x, trees)
+    model = html_extract.trained()
+    get = lambda x: html_extract.main_text(x, model)
     body = "".join(f"<p>A plain paragraph number {i}, with words enough to be read.</p>" for i in range(4))
     shell = "<html><head><title>t</title><style>p{{}}</style></head><body><nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>{}<footer>&copy; me</footer></body></html>"
     want = "\n".join(f"A plain paragraph number {i}, with words enough to be read." for i in range(4))
@@ -44,19 +45,61 @@ def test_html_cases():
     assert get("<div>" * 3000 + "deep") == "deep"
 
 
+def test_html_gold_pages():
+    model = html_extract.trained()
+    lines = [f"A plain paragraph number {i}, with words enough to be read." for i in range(6)]
+    body, nav, foot = "".join(f"<p>{x}</p>" for x in lines), "<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav>", "<footer>&copy; me</footer>"
+    more, table_ = "One more paragraph of the story, told to its end.", "<table><tr><td>Year</td><td>Rain</td></tr><tr><td>1990</td><td>12 mm</td></tr></table>"
+    pages = [(f"<body>{nav}<article>{body}<p class={c}>{more}</p></article>{foot}", [*lines, more]) for c in ("more", "top", "legal")]
+    pages += [
+        (f"<body>{nav}<article>{body}<div class=more>{more}</div></article>{foot}", [*lines, more]),
+        (f"<body>{nav}<article>{body}<p hidden>{more}</p></article>{foot}", [*lines, more]),
+        (f"<body><div><a href=/a>Home</a> <a href=/b>News</a></div><article>{body}</article><div><p>Copyright 2020 Me</p></div>", lines),
+        (f"<body><div><a href=/a>Home</a> <a href=/b>News</a></div><div>{body}</div><div><p>Copyright 2020 Me</p></div>", lines),
+        (f"<body>{nav}<article><p>It rained a lot.</p>{table_}</article>{foot}", ["It rained a lot.", "Year", "Rain", "1990", "12 mm"]),
+        (f"<body>{nav}<article>{body}{table_}<ul><li>First thing to do.</li></ul></article>{foot}", [*lines, "Year", "Rain", "1990", "12 mm", "First thing to do."]),
+        (f"<body>{nav}<article>{body}<div class=comments><div class=comment><p>I agree with this, well said indeed.</p></div></div></article>{foot}", lines),
+        (f"<body><div id=cookie-notice><p>We use cookies to make this page better.</p></div><header><h1>The Site</h1></header>{nav}<main>{body}<aside><p>Related matter here.</p></aside></main><div class=sidebar><p>Some side text is here.</p></div><form><p>Search the page</p></form>{foot}", lines),
+        ("<article>" + "<p>some words here</p>" * 20_000 + "</article>", ["some words here"] * 20_000),
+    ]
+    for page, want in pages:
+        assert html_extract.main_text(page, model).split("\n") == want, page[:300]
+
+
 def test_html_tree_is_consistent():
-    trees = html_extract.trained(120)
+    known, trees = html_extract.trained(120)
     for root in html_extract.sample_pages(40, seed=5):
         nodes = html_extract.elements(root)
-        html_extract.decode(nodes, trees.predict(html_extract.features(nodes)))
+        html_extract.decode(nodes, trees.predict(html_extract.features(nodes, known)))
         assert all(n.parent.keep for n in nodes[1:] if n.keep)
 
 
+def test_html_composed_pages_of_another_seed():
+    known, trees = html_extract.trained()
+    equal = 0
+    for root in html_extract.sample_pages(300, seed=991):
+        nodes = html_extract.elements(root)
+        for x in nodes:
+            x.keep = html_extract.is_main(x) and (x.parent is None or x.parent.keep)
+        want = html_extract.blocks(root)
+        html_extract.decode(nodes, trees.predict(html_extract.features(nodes, known)))
+        equal += html_extract.blocks(root) == want
+    assert equal >= 285
+
+
 def test_html_query_on_pages(spark):
     pages = table(spark, SF, "pages")
-    got = html_extract.extract(pages).collect()
-    assert len(got) == pages.count() and all(r["n_chars"] == len(r["text"]) for r in got)
-    assert html_extract.extract(spark.createDataFrame([(1, None, None)], "page_id long, url string, html string")).first()["text"] == ""
+    got = {r["page_id"]: r for r in html_extract.extract(pages.withColumn("text", F.lit(1))).collect()}
+    assert len(got) == pages.count() and all(r["n_chars"] == len(r["text"]) for r in got.values())
+    for r in pages.collect():  # the tables' pages have one article each
+        article = re.search("<article>(.*)</article>", r["html"], re.DOTALL)[1]
+        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:h1|p|br)[^>]*>", article))
+        assert got[r["page_id"]]["text"] == "\n".join(x for x in blocks if x)
+    columns = "page_id long, url string, html string"
+    assert html_extract.extract(spark.createDataFrame([(1, None, None)], columns)).first()["text"] == ""
+    assert html_extract.extract(spark.createDataFrame([], columns)).count() == 0
+    same = html_extract.extract(spark.createDataFrame([(1, "u", "<p>a b</p>")] * 2, columns)).collect()
+    assert len(same) == 2 and same[0] == same[1]
 
 
 def test_line_rules_on_odd_rows(spark):
