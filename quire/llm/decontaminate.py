@@ -6,12 +6,12 @@ finds where benchmark shingles stand; their counts over the whole corpus order a
 shingles by rarity. As containment must be full, the necessary prefix of a window is its rarest
 shingle alone: only that is joined with the texts' shingles. The shingle's offset gives the one
 possible start (positional bound), which must leave room for the window (length bound), and the
-window is then verified by its first and last shingle at their exact places. These two cover all
-words of a window of up to twice the shingle's length, and longer windows check every
-``shingle``-th one; equality rests on two or more independent 64-bit hashes of the words.
+window's words are then compared with the text's words at that place.
 
-What is made of the benchmark is broadcast only if a count shows at most ``broadcast_rows`` of its
-windows and their shingles together; beyond that, the same joins shuffle. Documents are never collected per key.
+A text is split once, and of its shingles only those pass on that a fixed-size Bloom filter of the benchmark's shingles
+lets through (2 ** ``bits`` bits, two probes), with the words around them. So what is shuffled is in proportion to the
+benchmark words in the texts, and nothing is broadcast but what the planner finds small. A benchmark of more shingles than
+about a fifth of the bits wants more of them.
 
 Defined cases: a null text has no words. Rows are matched by doc_id and text hash, so repeated
 rows each get the same result. Items with a null id hit words but are not named. Items without
@@ -27,8 +27,6 @@ from quire.llm._common import ascii_lower, cut
 
 #: What separates words, after A-Z are in lower case.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_NONE = -1
-
 
 def words_of(text: Column) -> Column:
     lower = ascii_lower(F.coalesce(text, F.lit("")))
@@ -41,56 +39,60 @@ def _hashes(k: int) -> Column:
     return F.expr(f"CASE WHEN size(words) < {k} THEN array() ELSE transform(sequence(0, size(words) - {k}), i -> xxhash64({k}, {parts})) END")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5, broadcast_rows: int = 1_000_000) -> DataFrame:
+def _probes(bits: int) -> list[Column]:
+    """Two places in the filter for the hash ``h``."""
+    mask = F.lit((1 << bits) - 1)
+    return [F.col("h").bitwiseAND(mask), F.shiftrightunsigned(F.col("h"), bits).bitwiseAND(mask)]
+
+
+def _filter_of(hashes: DataFrame, bits: int) -> DataFrame:
+    """One row: an array of ``2 ** bits / 64`` longs, with the bits of the hashes set."""
+    spots = hashes.select(F.explode(F.array(*_probes(bits))).alias("at"))
+    some = spots.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("v"))
+    every = hashes.sparkSession.range(1 << (bits - 6)).withColumnRenamed("id", "i").join(some, F.col("i") == F.col("w"), "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("v", F.lit(0)).alias("v")))).alias("l")).select(F.col("l.v").alias("bits"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5, bits: int = 22) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each row of ``docs``."""
-    items = cut(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("words")).filter(F.size("words") > 0), "items")
-    lengths = [r[0] for r in items.select(F.least(F.size("words"), F.lit(shingle)).alias("k")).distinct().collect()]  # at most ``shingle`` values
-
-    windows = items.select("item_id", F.least(F.size("words"), F.lit(window)).alias("len"), "words").withColumn("start", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("len"))))
-    windows = windows.select("item_id", "len", F.slice("words", F.col("start") + 1, F.col("len")).alias("words"))
-    by_k = None
-    for k in sorted(lengths):
-        part = windows.filter(F.least("len", F.lit(shingle)) == k).select("item_id", "len", F.lit(k).alias("k"), _hashes(k).alias("hs"))
-        by_k = part if by_k is None else by_k.unionByName(part)
-    if by_k is None:
-        by_k = windows.select("item_id", "len", F.lit(0).alias("k"), F.array().cast("array<bigint>").alias("hs"))
-    by_k = cut(by_k, "windows")
-    # What verifies a window: its shingles every k words, and the last one.
-    checks = F.array_distinct(F.expr("transform(concat(sequence(0, greatest(len - k, 0), greatest(k, 1)), array(len - k)), o -> named_struct('o', o, 'h', get(hs, o)))"))
-    wid = F.sha2(F.concat_ws(",", F.col("len"), F.expr("transform(hs, h -> cast(h as string))")), 256)
-    named = by_k.select(wid.alias("wid"), "item_id").distinct()
-    distinct = by_k.select(wid.alias("wid"), "len", "hs", checks.alias("checks")).dropDuplicates(["wid"])
-    tokens = cut(distinct.select("wid", "len", "checks", F.posexplode("hs").alias("offset", "h")), "tokens")
-    known = tokens.select("h").distinct()
-    small = tokens.count() + by_k.count() <= broadcast_rows  # these bound all that is made of the benchmark
-    hint = F.broadcast if small else lambda df: df
-
-    # One pass over the texts: benchmark shingles where they stand, and a row of each text at position -1.
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words"))
-    every = None
-    for k in sorted(set(lengths) | {shingle}):
-        first = [F.array(F.lit(_NONE).cast("bigint"))] if k == shingle else []
-        part = rows.select("doc_id", "th", F.size("words").alias("n"), F.posexplode(F.concat(*first, _hashes(k))).alias("pos", "h"))
-        part = part.withColumn("pos", F.col("pos") - len(first))
-        every = part if every is None else every.unionByName(part)
-    sentinel = known.sparkSession.range(1).select(F.lit(_NONE).cast("bigint").alias("h"))
-    found = cut(every.join(hint(known.unionByName(sentinel).distinct()), "h"), "found")
-    bare = found.filter(F.col("pos") == -1).select("doc_id", "th", "n")
-    found = found.filter(F.col("pos") >= 0).distinct()
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    windows = items.withColumn("len", F.least(F.size("words"), F.lit(window)))
+    windows = windows.withColumn("start", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("len")))).select("item_id", "len", F.slice("words", F.col("start") + 1, F.col("len")).alias("words"))
+    windows = cut(windows.withColumn("wid", F.array_join("words", " ")), "windows")  # words have no spaces: the text is the window
+    lengths = sorted(r[0] for r in windows.select(F.least("len", F.lit(shingle)).alias("k")).distinct().collect())  # at most ``shingle`` values
+    hashes = F.array().cast("array<bigint>")
+    for k in lengths:
+        hashes = F.when(F.least("len", F.lit(shingle)) == k, _hashes(k)).otherwise(hashes)
+    tokens = cut(windows.dropDuplicates(["wid"]).select("wid", "len", F.posexplode(hashes).alias("offset", "h")), "tokens")
+    passing = cut(_filter_of(tokens.select("h").distinct(), bits), "filter")
+
+    # One pass over the texts: a row of each at place -1, and its shingles of all lengths that may be the benchmark's.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), words_of(F.col("text")).alias("words")).withColumn("n", F.size("words"))
+    every = rows.select("doc_id", "th", "words", "n", F.posexplode(F.concat(F.array(F.lit(None).cast("bigint")), *[_hashes(k) for k in lengths])).alias("i", "h"))
+    pos, before = F.col("i") - 1, F.lit(0)
+    for k in lengths[:-1]:
+        before = before + F.greatest(F.col("n") - k + 1, F.lit(0))
+        pos = F.when(F.col("i") > before, F.col("i") - 1 - before).otherwise(pos)
+    words = passing.scalar()
+    may = None
+    for at in _probes(bits):
+        bit = F.call_function("shiftrightunsigned", F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+        may = bit if may is None else may & bit
+    every = every.filter(F.col("h").isNull() | may)
+    base = F.greatest(pos - (window - 1), F.lit(0))
+    found = every.select("doc_id", "th", "n", pos.alias("pos"), "h", base.alias("base"), F.when(F.col("h").isNotNull(), F.slice("words", base + 1, 2 * window - 1)).alias("near"))
+    found = cut(found, "found")
+    bare, found = found.filter("h is null").select("doc_id", "th", "n"), found.filter("h is not null")
 
     # Rarity over the corpus, and each window's prefix: its rarest shingle. A window with an absent shingle stands nowhere.
     counts = found.groupBy("h").agg(F.count("*").alias("df"))
-    prefix = tokens.join(hint(counts), "h", "left").groupBy("wid", "len", "checks").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "h")).alias("p"))
-    prefix = prefix.filter(F.col("p.df") > 0).select("wid", "len", "checks", F.col("p.offset").alias("offset"), F.col("p.h").alias("h"))
-    near = found.join(hint(prefix), "h").withColumn("start", F.col("pos") - F.col("offset")).filter((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n")))
-    near = near.select("doc_id", "th", "start", "wid", "len", F.explode("checks").alias("c")).select("doc_id", "th", "start", "wid", "len", (F.col("start") + F.col("c.o")).alias("pos"), F.col("c.h").alias("h"), F.lit(1).alias("want"))
-    near = near.distinct()
-    at = found.select(F.col("doc_id").alias("f_doc"), F.col("th").alias("f_th"), F.col("pos").alias("f_pos"), F.col("h").alias("f_h"))
-    on = near["doc_id"].eqNullSafe(at["f_doc"]) & near["th"].eqNullSafe(at["f_th"]) & (near["pos"] == at["f_pos"]) & (near["h"] == at["f_h"])
-    held = near.join(at, on, "left").groupBy("doc_id", "th", "start", "wid", "len").agg(F.sum("want").alias("want"), F.count("f_pos").alias("got"))
-    held = held.filter(F.col("want") == F.col("got")).select("doc_id", "th", "start", "wid", "len")
-
-    hits = held.join(hint(named), "wid").groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "len")).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("ids"))
+    prefix = tokens.join(counts, "h", "left").groupBy("wid", "len").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "h")).alias("p"))
+    prefix = prefix.filter(F.col("p.df") > 0).select("wid", "len", F.col("p.offset").alias("offset"), F.col("p.h").alias("h"))
+    held = found.join(prefix, "h").withColumn("start", F.col("pos") - F.col("offset")).filter((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n")))
+    held = held.filter(F.array_join(F.slice("near", F.col("start") - F.col("base") + 1, F.col("len")), " ") == F.col("wid")).select("doc_id", "th", "start", "wid", "len")
+
+    named = windows.select("wid", "item_id").distinct()
+    hits = held.join(named, "wid").groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "len")).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("ids"))
     covered = F.size(F.array_distinct(F.expr("flatten(transform(spans, s -> sequence(s.start, s.start + s.len - 1)))")))
     hits = hits.select(F.col("doc_id").alias("h_doc"), F.col("th").alias("h_th"), covered.cast("long").alias("n_hit"), "ids")
     out = bare.join(hits, bare["doc_id"].eqNullSafe(hits["h_doc"]) & bare["th"].eqNullSafe(hits["h_th"]), "left")

@@ -138,8 +138,8 @@ def test_decontamination_equals_brute_force(spark):
     items = [(1, long), (10, "one two"), (2, "alpha"), (3, None), (4, ""), (5, "Q W E R T Y U"), (6, long), (7, " ".join(f"b{i}" for i in range(4, 16)))]
     texts = [long.upper() + " z", " ".join(f"b{i}" for i in range(9)), "x one two one two", "ALPHA, alpha", None, "", "q w e r t y u q w", "É one  two", long + " " + long]
     docs = spark.createDataFrame([(i, t, "en", "s", None, None) for i, t in enumerate(texts)] + [(0, texts[0], "en", "s", None, None), (None, "alpha", None, None, None, None)], DOC)
-    for limit in (1_000_000, 0):  # with and without broadcasts
-        got = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), broadcast_rows=limit).collect()
+    for bits in (22, 6):  # a filter that lets few others through, and one that lets nearly all
+        got = decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), bits=bits).collect()
         assert len(got) == docs.count()
         for r in got:
             text = "alpha" if r["doc_id"] is None else texts[r["doc_id"]]
@@ -149,6 +149,14 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.decontaminate(none(spark), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_decontamination_compares_words(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "_hashes", lambda k: F.expr(f"CASE WHEN size(words) < {k} THEN array() ELSE transform(sequence(0, size(words) - {k}), i -> 7L) END"))  # all hashes clash
+    items = [(1, "a b c d e f g h i j k l"), (2, "x y")]
+    texts = ["a b c d e f g h i j", "a b c d e f g h i z", "x z y", "q x y q", "b c d e f g h i j k l"]
+    got = decontaminate.decontaminate(spark.createDataFrame([(i, t, None, None, None, None) for i, t in enumerate(texts)], DOC), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in got.collect()} == {i: brute_hits(t, items) for i, t in enumerate(texts)}
+
+
 def test_targets_stop_at_three_sizes():
     assert mixing.targets([100, 100, 100], [1, 2, 3], 3) == pytest.approx([50, 100, 150])
     got = mixing.targets([10, 1000, 10], [1, 2, 3], 3)
