@@ -53,9 +53,17 @@ def special_share(text: Column | str) -> Column:
 
 def is_quality(text: Column | str, confidence: Column | str) -> Column:
     """Enough confidence (an unknown one, NaN, passes), letters and length. Special characters never decide beyond that."""
+    faults = quality_faults(text, confidence)
+    return ~(faults["confidence"] | faults["length"] | faults["letters"] | faults["special"])
+
+
+def quality_faults(text: Column | str, confidence: Column | str) -> dict[str, Column]:
+    """Each rule of :func:`is_quality` by name, as whether a line breaks it."""
     text, confidence = _col(text), _col(confidence)
-    unsure = (confidence < MIN_CONFIDENCE) & ~F.isnan(confidence)
-    return ~unsure & (F.length(stripped(text)) >= MIN_LENGTH) & (letter_share(text) >= MIN_LETTERS) & (special_share(text) <= MAX_SPECIAL)
+    return {
+        "confidence": (confidence < MIN_CONFIDENCE) & ~F.isnan(confidence), "length": F.length(stripped(text)) < MIN_LENGTH,
+        "letters": letter_share(text) < MIN_LETTERS, "special": special_share(text) > MAX_SPECIAL,
+    }
 
 
 def line_class(text: Column | str, height: Column | str, y: Column | str) -> Column:
@@ -74,6 +82,12 @@ def line_class(text: Column | str, height: Column | str, y: Column | str) -> Col
     )
 
 
+def line_report(number: Column | str, kind: Column | str, text: Column | str, height: Column | str, y: Column | str, confidence: Column | str) -> Column:
+    """A line of fixed widths: number, class, the text's first 50 characters, height, top and confidence."""
+    cut = F.rpad(F.substring(_col(text), 1, 50), 50, " ")
+    return F.format_string("%2d. [%s] %s (h:%3d, y:%3d, conf:%.2f)", _col(number), F.rpad(_col(kind), 10, " "), cut, _col(height), _col(y), _col(confidence))
+
+
 def label_colour(label: Column | str) -> Column:
     """The display colour of a block label, red, green, blue; grey for others."""
     # Fixed values.

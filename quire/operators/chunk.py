@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import cleaned, is_quality, token_count
+from quire.functions.text import cleaned, is_quality, quality_faults, token_count
 from quire.modes import BREAKS, HEADINGS, MAX_TOKENS, MIN_TOKENS, Mode
 from quire.operators.match import match, reading_order
 
@@ -95,6 +95,17 @@ def chunks(lines: DataFrame, blocks: DataFrame, mode: Mode = Mode(), hierarchy:
     return semantic_chunks(elements, mode) if hierarchy else flat_chunks(elements)
 
 
+def filter_counts(lines: DataFrame) -> DataFrame:
+    """One row: how many lines there are, how many the quality filter keeps, and how many break each of its rules (a line can break several)."""
+    faults = quality_faults("content", "ocr_confidence")
+    return lines.agg(F.count("*").alias("lines"), F.count_if(is_quality("content", "ocr_confidence")).alias("kept"), *[F.count_if(broken).alias(f"bad_{name}") for name, broken in faults.items()])
+
+
+def preview(chunks: DataFrame, most: int = 3) -> DataFrame:
+    """The first chunks, by item, page and place."""
+    return chunks.orderBy("item_id", "page", "chunk_no").limit(most)
+
+
 def summary(rows: DataFrame) -> DataFrame:
     """type, total_chunks, total_tokens, total_elements."""
     return rows.groupBy(F.col("metadata.type").alias("type")).agg(F.count("*").alias("total_chunks"), F.sum("metadata.token_count").alias("total_tokens"), F.sum("metadata.elements_count").alias("total_elements"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.text import label_colour
+
 
 def chunk_json(chunks: DataFrame) -> DataFrame:
     """item_id, page, chunk_no, json: nulls are written, other scripts aren't escaped."""
@@ -25,6 +27,13 @@ def write_pages(rows: DataFrame, path: str) -> None:
     rows.write.partitionBy("page").json(path)
 
 
+def structure_boxes(blocks: DataFrame) -> DataFrame:
+    """What is drawn for each block: its box, a caption of label and confidence, and the colour of its label."""
+    caption = F.format_string("%s (%.2f)", F.col("label"), F.col("confidence"))
+    rgb = label_colour("label")
+    return blocks.select("item_id", "page", "block_idx", "x1", "y1", "x2", "y2", caption.alias("caption"), *[F.get(rgb, F.lit(i)).alias(c) for i, c in enumerate(("red", "green", "blue"))])
+
+
 def markdown(tree: DataFrame) -> DataFrame:
     """item_id, page, markdown: headings by level, other elements as paragraphs, in reading order."""
     line = F.when(F.col("level") < 5, F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), "content")).otherwise(F.col("content"))

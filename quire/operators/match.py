@@ -8,14 +8,7 @@ from pyspark.sql import functions as F
 from quire.modes import DEEPEST, LEVELS, OVERLAP, Mode
 
 
-def overlaps(box: str, other: str, threshold: float = OVERLAP) -> Column:
-    """Whether two boxes (prefixes of x1, y1, x2, y2 columns) share more than ``threshold`` of the smaller one."""
-    a, b = ({k: F.col(f"{p}{k}").cast("double") for k in ("x1", "y1", "x2", "y2")} for p in (box, other))
-    w, h = F.least(a["x2"], b["x2"]) - F.greatest(a["x1"], b["x1"]), F.least(a["y2"], b["y2"]) - F.greatest(a["y1"], b["y1"])
-    area = F.least((a["x2"] - a["x1"]) * (a["y2"] - a["y1"]), (b["x2"] - b["x1"]) * (b["y2"] - b["y1"]))
-    return (w > 0) & (h > 0) & F.when(area > 0, w * h > threshold * area).otherwise(False)
-
-
+#: Whether a line and a block share more than a part of the smaller of them.
 _INSIDE = f"""
 least(x2, b.x2) > greatest(x1, b.x1) AND least(y2, b.y2) > greatest(y1, b.y1)
 AND (double(least(x2, b.x2) - greatest(x1, b.x1)) * double(least(y2, b.y2) - greatest(y1, b.y1)))

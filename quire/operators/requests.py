@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -23,6 +26,15 @@ def in_range(rows: DataFrame, ranges: DataFrame) -> DataFrame:
     return rows.join(asked, "item_id").filter(F.col("page").between(F.col("first"), F.col("last"))).select(*rows.columns)
 
 
+def answered(item_id: str | None, action: Callable[[], DataFrame], spark: SparkSession) -> DataFrame:
+    """item_id, status, body of ``action``'s envelopes; status 500 with the error's text where it fails."""
+    try:
+        rows = action().select("item_id", "status", "body")
+        return spark.createDataFrame(rows.collect(), rows.schema)  # one request's answers; they are made here, where an error shows
+    except Exception as error:  # whatever fails is the request's answer
+        return spark.createDataFrame([(item_id, 500, json.dumps({"error": str(error)}, ensure_ascii=False))], "item_id string, status int, body string")
+
+
 def envelopes(ranges: DataFrame, chunks: DataFrame) -> DataFrame:
     """item_id, status, body: the answer to each request as JSON; a request's chunks are in page order."""
     chunk = F.struct("page", "chunk_no", F.struct("fragment_id", "content", "metadata").alias("c"))

@@ -11,6 +11,7 @@ from quire.functions import text as text_functions
 from quire.modes import ENHANCED, LAMBDA, Mode
 from quire.operators import chunk, export, index, match, requests, search
 from quire.plans.oracle import ORACLES
+from quire.sources import pages
 from quire.sources.pages import page_blocks, page_lines, table
 
 GRID = Mode(grid=True)
@@ -242,11 +243,86 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.markdown(match.heading_tree(_elements(spark, sf_dir)))
 
 
+def _stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of recognition results for each document: texts, scores and boxes of unequal numbers, and some pages without texts."""
+    xs = F.split("text", "\n")
+    n = F.size(xs)
+    rows = table(spark, sf_dir, "documents").filter(F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("string").alias("item_id"), (F.col("doc_id") % 4).cast("int").alias("page"), F.when(F.col("doc_id") % 9 != 0, xs).alias("rec_texts"),
+        F.transform(F.sequence(F.lit(1), n), lambda i: (80 + i % 20).cast("double") / 100).alias("s"), F.transform(F.sequence(F.lit(1), n), lambda i: F.array(F.lit(50), 20 * i, F.lit(400), 20 * i + 14)).alias("b"), "doc_id",
+    )
+    short = F.greatest(F.size("s") - (F.col("doc_id") % 3).cast("int"), F.lit(0))
+    return rows.select("item_id", "page", "rec_texts", F.slice("s", F.lit(1), short).alias("rec_scores"), "b").withColumnRenamed("b", "rec_boxes")
+
+
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.ocr_lines(_stored_pages(spark, sf_dir))
+
+
+def stored_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of which some lack a box, a label, a content or a confidence."""
+    rows = _blocks(spark, sf_dir)
+    k = F.col("item_id").cast("long") + F.col("block_idx")
+    lacking = {"x1": k % 7 == 0, "label": k % 11 == 0, "content": k % 5 == 0, "confidence": k % 3 == 0}
+    return pages.usable_blocks(rows.select(*[F.when(~lacking[c], F.col(c)).alias(c) if c in lacking else F.col(c) for c in rows.columns]))
+
+
+def filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk.filter_counts(_lines(spark, sf_dir))
+
+
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(chunk.preview(_chunks(spark, sf_dir, LAMBDA)))
+
+
+def line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    height = F.col("y2") - F.col("y1")
+    kind = text_functions.line_class("content", height, "y1")
+    return _lines(spark, sf_dir).select("item_id", "page", "ocr_seq", text_functions.line_report("ocr_seq", kind, "content", height, "y1", "ocr_confidence").alias("report"))
+
+
+def structure_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.structure_boxes(_blocks(spark, sf_dir))
+
+
+def _embedded(rows: DataFrame) -> DataFrame:
+    """A stand-in for a model: vectors of three numbers made from the text."""
+    return rows.withColumn("embeddings", F.array(F.length("content"), F.lit(1), F.lit(0)).cast("array<float>"))
+
+
+def insert_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = document_index(spark, sf_dir)
+    new = base.select(F.concat(F.lit("copy_"), "fragment_id").alias("fragment_id"), "content", "metadata")
+    return _state(index.insert_with_vectors(base, new, _embedded))
+
+
+def bulk_add_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state(index.bulk_add_vectors(document_index(spark, sf_dir), _embedded))
+
+
+def chunks_json_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks that the JSON of chunks_json holds."""
+    rows = chunks_json(spark, sf_dir)
+    kind = _chunks(spark, sf_dir, LAMBDA).select("fragment_id", "content", "metadata").schema
+    return _flat(rows.select("item_id", "page", "chunk_no", F.from_json("json", kind).alias("c")).select("item_id", "page", "chunk_no", "c.*"))
+
+
+def envelopes_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the JSON of envelopes says: the pages and number of chunks, the chunks' ids in order, and errors."""
+    body = F.from_json("body", "processed_pages string, total_chunks int, chunks array<struct<fragment_id:string,content:string>>, error string")
+    rows = envelopes(spark, sf_dir).select("item_id", "status", body.alias("b"))
+    none = F.lit("-")
+    return rows.select(
+        "item_id", "status", F.coalesce("b.processed_pages", none).alias("processed_pages"), F.coalesce("b.total_chunks", F.lit(-1)).alias("total_chunks"), F.coalesce(F.array_join("b.chunks.fragment_id", ","), none).alias("fragments"),
+        F.coalesce(F.md5(F.array_join("b.chunks.content", "|")), none).alias("contents_md5"), F.coalesce("b.error", none).alias("error"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         clean_text, clean_text_lambda, token_counts, quality_filter, classify_lines, reading_order, tree_children, semantic_chunks_enhanced, semantic_chunks_grid, semantic_chunks_lambda, flat_chunks, chunk_summary, page_range,
         invocation_status, semantic_search, filtered_search, text_search, hybrid_search, fetch_one, fetch_content, multi_get, pending_vectors, pending_count, bulk_upsert, add_vectors, update_content, delete_by_id, delete_by_page,
-        delete_pending, chunks_json, envelopes, markdown,
+        delete_pending, chunks_json, envelopes, markdown, stored_lines, stored_blocks, filter_counts, preview, line_report, structure_boxes, insert_with_vectors, bulk_add_vectors, chunks_json_read, envelopes_read,
     )
     return {f.__name__: f for f in plain} | {
         "spatial_match": _matched(ENHANCED), "spatial_match_grid": _matched(GRID), "heading_tree_enhanced": _tree(ENHANCED), "heading_tree_lambda": _tree(LAMBDA),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.modes import CORRECTIONS, SHORT_CORRECTIONS
+from quire.modes import CORRECTIONS, MAX_SPECIAL, SHORT_CORRECTIONS
 
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 
@@ -141,14 +141,16 @@ def _bm25(name: str, field: str, words: list[str]) -> str:
 
 _STATE = "fragment_id, md5(content) AS content_md5, coalesce(len(v), -1)::INTEGER AS dims, page"
 
+_CLASS = """CASE WHEN y2 - y1 > 25 AND length(content) < 100 THEN 'TITLE' WHEN y2 - y1 > 20 AND y1 < 200 THEN 'HEADER'
+      WHEN left(trim(content), 1) IN ('•', '-', '◦', '▪') OR left(trim(content), 2) IN ('1.', '2.', '3.', '4.', '5.') THEN 'LIST_ITEM'
+      WHEN position('chapter' IN lower(content)) > 0 OR position('section' IN lower(content)) > 0 OR position('figure' IN lower(content)) > 0 THEN 'SECTION' WHEN length(content) < 50 THEN 'CAPTION' ELSE 'PARAGRAPH' END"""
+
 ORACLES: dict[str, str] = {
     "clean_text": f"WITH {_LINES} SELECT item_id, page, ocr_seq, {_cleaned(CORRECTIONS)} AS content FROM lines",
     "clean_text_lambda": f"WITH {_LINES} SELECT item_id, page, ocr_seq, {_cleaned(SHORT_CORRECTIONS)} AS content FROM lines",
     "token_counts": f"WITH {_LINES} SELECT item_id, page, ocr_seq, {_tokens()} AS tokens FROM lines",
     "quality_filter": f"WITH {_LINES} SELECT item_id, page, ocr_seq, round({_LETTERS}, 6) AS letters, round({_SPECIAL}, 6) AS special FROM lines WHERE length(content) > 0 AND {_GOOD}",
-    "classify_lines": f"""WITH {_LINES} SELECT item_id, page, ocr_seq, CASE WHEN y2 - y1 > 25 AND length(content) < 100 THEN 'TITLE' WHEN y2 - y1 > 20 AND y1 < 200 THEN 'HEADER'
-      WHEN left(trim(content), 1) IN ('•', '-', '◦', '▪') OR left(trim(content), 2) IN ('1.', '2.', '3.', '4.', '5.') THEN 'LIST_ITEM'
-      WHEN position('chapter' IN lower(content)) > 0 OR position('section' IN lower(content)) > 0 OR position('figure' IN lower(content)) > 0 THEN 'SECTION' WHEN length(content) < 50 THEN 'CAPTION' ELSE 'PARAGRAPH' END AS line_class FROM lines""",
+    "classify_lines": f"""WITH {_LINES} SELECT item_id, page, ocr_seq, {_CLASS} AS line_class FROM lines""",
     "spatial_match": _match(False),
     "spatial_match_grid": _match(True),
     "reading_order": f"WITH {_LINES}, {_BLOCKS}, {_elements()} SELECT item_id, page, ocr_seq, id, level FROM ord",
@@ -181,4 +183,29 @@ ORACLES: dict[str, str] = {
     "delete_by_page": f"WITH {_INDEX} SELECT {_STATE} FROM ix WHERE page <> 3",
     "delete_pending": f"WITH {_INDEX} SELECT {_STATE} FROM ix WHERE v IS NOT NULL",
     "markdown": f"""WITH {_LINES}, {_BLOCKS}, {_elements()} SELECT item_id, page, string_agg(CASE WHEN level < 5 THEN repeat('#', level) || ' ' || content ELSE content END, chr(10) || chr(10) ORDER BY id) AS markdown FROM ord GROUP BY item_id, page""",
+    "stored_lines": """WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS xs FROM documents WHERE text IS NOT NULL AND doc_id % 9 <> 0),
+      l AS (SELECT doc_id, xs, unnest(generate_series(1, greatest(len(xs) - doc_id % 3, 0)))::INTEGER AS i FROM p)
+      SELECT doc_id::VARCHAR AS item_id, (doc_id % 4)::INTEGER AS page, i - 1 AS ocr_seq, xs[i] AS content, (80 + i % 20)::DOUBLE / 100 AS ocr_confidence, 50 AS x1, 20 * i AS y1, 400 AS x2, 20 * i + 14 AS y2 FROM l""",
+    "stored_blocks": f"""WITH {_LINES}, {_BLOCKS} SELECT item_id, page, block_idx, label, '' AS content, CASE WHEN (item_id::BIGINT + block_idx) % 3 = 0 THEN 0.0 ELSE 0.9 END::DOUBLE AS confidence, x1, y1, x2, y2
+      FROM blocks WHERE (item_id::BIGINT + block_idx) % 7 <> 0 AND (item_id::BIGINT + block_idx) % 11 <> 0""",
+    "filter_counts": f"""WITH {_LINES}, q AS (SELECT ocr_confidence < 0.85::DOUBLE AS c, length(regexp_replace(content, '^{_WS}|{_WS}$', '', 'g')) < 2 AS n,
+        CASE WHEN content = '' THEN true ELSE {_LETTERS} < 0.5::DOUBLE END AS l, CASE WHEN content = '' THEN false ELSE {_SPECIAL} > {MAX_SPECIAL}::DOUBLE END AS s FROM lines)
+      SELECT count(*) AS lines, count(*) FILTER (NOT (c OR n OR l OR s)) AS kept, count(*) FILTER (c) AS bad_confidence, count(*) FILTER (n) AS bad_length, count(*) FILTER (l) AS bad_letters, count(*) FILTER (s) AS bad_special FROM q""",
+    "preview": f"SELECT * FROM ({_SEMANTIC_LAMBDA}) ORDER BY item_id, page, chunk_no LIMIT 3",
+    "line_report": f"""WITH {_LINES}, r AS (SELECT *, {_CLASS} AS kind FROM lines)
+      SELECT item_id, page, ocr_seq, lpad(ocr_seq::VARCHAR, 2, ' ') || '. [' || rpad(kind, 10, ' ') || '] ' || rpad(substring(content, 1, 50), 50, ' ') || ' (h:' || lpad((y2 - y1)::VARCHAR, 3, ' ') || ', y:' || lpad(y1::VARCHAR, 3, ' ')
+        || ', conf:' || printf('%.2f', ocr_confidence) || ')' AS report FROM r""",
+    "structure_boxes": f"""WITH {_LINES}, {_BLOCKS} SELECT item_id, page, block_idx, x1, y1, x2, y2, label || ' (0.90)' AS caption,
+        CASE label WHEN 'title' THEN 255 WHEN 'text' THEN 0 WHEN 'header' THEN 0 WHEN 'figure' THEN 255 WHEN 'table' THEN 255 WHEN 'footer' THEN 128 ELSE 128 END AS red,
+        CASE label WHEN 'title' THEN 0 WHEN 'text' THEN 255 WHEN 'header' THEN 0 WHEN 'figure' THEN 255 WHEN 'table' THEN 0 ELSE 128 END AS green,
+        CASE label WHEN 'title' THEN 0 WHEN 'text' THEN 0 WHEN 'header' THEN 255 WHEN 'figure' THEN 0 WHEN 'table' THEN 255 ELSE 128 END AS blue FROM blocks""",
+    "insert_with_vectors": f"WITH {_INDEX} SELECT {_STATE} FROM ix UNION ALL SELECT 'copy_' || fragment_id, md5(content), 3, page FROM ix",
+    "bulk_add_vectors": f"WITH {_INDEX} SELECT fragment_id, md5(content) AS content_md5, coalesce(len(v), 3)::INTEGER AS dims, page FROM ix",
+    "chunks_json_read": _SEMANTIC_LAMBDA,
+    "envelopes_read": f"""WITH r AS (SELECT row_number() OVER () AS nr, * FROM (WITH {_ASKED} SELECT item_id, status, a, z FROM res)), c AS (SELECT * FROM ({_SEMANTIC_LAMBDA})),
+      g AS (SELECT r.nr, count(c.item_id)::INTEGER AS n, coalesce(string_agg(c.fragment_id, ',' ORDER BY c.page, c.chunk_no), '') AS ids, md5(coalesce(string_agg(c.content, '|' ORDER BY c.page, c.chunk_no), '')) AS texts
+            FROM r LEFT JOIN c ON c.item_id = r.item_id AND c.page BETWEEN r.a AND r.z WHERE r.status = 200 GROUP BY r.nr)
+      SELECT r.item_id, r.status::INTEGER AS status, CASE WHEN r.status = 200 THEN a || '-' || z ELSE '-' END AS processed_pages, coalesce(g.n, -1) AS total_chunks, coalesce(ids, '-') AS fragments, coalesce(texts, '-') AS contents_md5,
+        CASE r.status WHEN 200 THEN '-' WHEN 400 THEN 'item_id is required' ELSE 'Document ' || r.item_id || ' not found' END AS error
+      FROM r LEFT JOIN g USING (nr)""",
 }

@@ -36,25 +36,30 @@ def page_chunks(pages: DataFrame, mode: Mode = ENHANCED) -> DataFrame:
 
 
 class VersionedIndex:
-    """The newest version of an index under a path."""
+    """The newest version of an index under a path; what it is stands in the path alone, so a restart goes on from it."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.version = spark, path, None
+        self.spark, self.path = spark, path
+
+    @property
+    def version(self) -> str | None:
+        return index_ops.newest(self.spark, self.path)
 
     def frame(self) -> DataFrame:
-        return index_ops.load(self.spark, self.version) if self.version else index_ops.empty(self.spark)
+        version = self.version
+        return index_ops.load(self.spark, version) if version else index_ops.empty(self.spark)
 
     def change(self, how: Callable[[DataFrame], DataFrame]) -> None:
-        self.version = index_ops.save(how(self.frame()), self.path)
+        index_ops.save(how(self.frame()), self.path)
 
 
 def ingest(spark: SparkSession, source: str, target: VersionedIndex, mode: Mode = ENHANCED, checkpoint: str | None = None) -> StreamingQuery:
-    """Takes every page file that ``source`` has or gets, and puts its chunks into the index."""
+    """Takes every page file that ``source`` has or gets, and puts its chunks into the index. A batch that comes again changes nothing."""
     stream = spark.readStream.schema(PAGES).parquet(source)
 
     def put(batch: DataFrame, _: int) -> None:
-        rows = page_chunks(batch, mode).select("fragment_id", "content", "metadata")
-        target.change(lambda index: index_ops.upsert(index, rows.dropDuplicates(["fragment_id"])))
+        rows = page_chunks(batch, mode).withColumn("place", F.struct("item_id", "page", "chunk_no")).select("fragment_id", "content", "metadata", "place")
+        target.change(lambda index: index_ops.upsert(index, rows, "place"))  # of chunks of one id the last by place
 
     writer = stream.writeStream.foreachBatch(put).trigger(availableNow=True)
     return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()

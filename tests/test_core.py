@@ -186,3 +186,87 @@ def test_stream_into_index_and_files(spark, tmp_path):
     tree = match.heading_tree(match.match(lines, blocks))
     assert export.markdown(tree).first()["markdown"] == "## Hello\n\nworld"
     assert index.drop(spark, str(tmp_path / "index"))
+
+
+def test_a_restarted_stream_goes_on_from_the_index_on_disk(spark, tmp_path):
+    where = {k: str(tmp_path / k) for k in ("in", "index", "cp")}
+    for item, word in (("a", "one"), ("b", "two"), ("b", "two")):  # the last file holds what is there already
+        rows = [line(0, word, (50, 60, 200, 80), item=item)]
+        ingest.page_rows(spark.createDataFrame(rows, LINE), spark.createDataFrame([], BLOCK)).write.mode("append").parquet(where["in"])
+        target = ingest.VersionedIndex(spark, where["index"])
+        ingest.ingest(spark, where["in"], target, mode=LAMBDA, checkpoint=where["cp"]).awaitTermination(60)
+    assert sorted(r["content"] for r in ingest.VersionedIndex(spark, where["index"]).frame().collect()) == ["one", "two"]
+    assert index.newest(spark, str(tmp_path / "none")) is None
+    index.empty(spark).write.parquet(f"{where['index']}/v-000000000099-cut-off")  # a version without its mark
+    assert len(ids(ingest.VersionedIndex(spark, where["index"]).frame())) == 2
+
+
+def test_repeated_ids_never_multiply_rows(spark):
+    ix = small_index(spark)
+    twice = spark.createDataFrame([("c", "x", [1.0], 1), ("c", "y", [2.0], 2), ("c", "y", [2.0], 2)], "fragment_id string, content string, embeddings array<float>, v int")
+    for changed in (index.add_vectors(ix, twice, "v"), index.update_content(ix, twice, "v"), index.add_vectors(ix, twice), index.update_content(ix, twice)):
+        assert sorted(ids(changed)) == ["a", "b", "c", "d"]
+    assert index.fetch(index.update_content(ix, twice, "v"), "c").first()["content"] == "y"
+    rows = twice.withColumn("metadata", F.lit(None).cast(ix.schema["metadata"].dataType)).drop("v")
+    assert sorted(ids(index.upsert(ix, rows))) == ["a", "b", "c", "d"]
+
+
+def test_vectors_for_all(spark):
+    ix = small_index(spark)
+    embed = lambda rows: rows.withColumn("embeddings", F.array(F.length("content").cast("float")))
+    assert index.pending_count(index.bulk_add_vectors(ix, embed)).first()["pending"] == 0
+    new = ix.filter("fragment_id = 'c'").select(F.lit("e").alias("fragment_id"), "content", "metadata")
+    assert index.fetch(index.insert_with_vectors(ix, new, embed), "e").first()["embeddings"] == [6.0]
+    assert index.fetch_existing(ix, "a").count() == 1
+    with pytest.raises(KeyError):
+        index.fetch_existing(ix, "none")
+
+
+def test_failures_are_answers(spark):
+    asked = spark.createDataFrame([("a", (0, 0)), ("", None), ("zz", None)], "item_id string, page_range struct<start:int,end:int>")
+    ranges = requests.page_ranges(asked, spark.createDataFrame([("a", 1)], "item_id string, pages int"))
+    made = chunk.chunks(spark.createDataFrame([line(0, 'say "x" é', (50, 60, 200, 80))], LINE), spark.createDataFrame([], BLOCK))
+    got = {r["item_id"]: r for r in requests.answered("a", lambda: requests.envelopes(ranges, made), spark).collect()}
+    assert got["a"]["status"] == 200 and '"processed_pages":"0-0","total_chunks":1' in got["a"]["body"] and 'say \\"x\\" é' in got["a"]["body"]
+    assert (got[""]["body"], got["zz"]["body"]) == ('{"error":"item_id is required"}', '{"error":"Document zz not found"}')
+    broken = lambda: requests.envelopes(ranges, made.withColumn("page", F.expr("raise_error('no pages')").cast("int")))
+    row = requests.answered("a", broken, spark).first()
+    assert row["status"] == 500 and "no pages" in row["body"]
+
+
+def test_stored_results(spark, tmp_path):
+    (tmp_path / "ocr.json").write_text('{"item_id": "a", "page": 0, "rec_texts": ["x", "y"], "rec_scores": [0.9], "rec_boxes": [[1, 2, 3, 4], [5, 6, 7, 8]]}\n{"item_id": "b", "page": 1}\n')
+    got = pages.ocr_lines(pages.read_ocr(spark, str(tmp_path / "ocr.json"))).collect()
+    assert [tuple(r) for r in got] == [("a", 0, 0, "x", 0.9, 1, 2, 3, 4)]
+    (tmp_path / "blocks.json").write_text('{"item_id": "a", "page": 0, "block_idx": 0, "label": "title", "x1": 1, "y1": 2, "x2": 3, "y2": 4}\n{"item_id": "a", "page": 0, "block_idx": 1, "label": "text"}\n')
+    got = pages.read_blocks(spark, str(tmp_path / "blocks.json")).collect()
+    assert [(r["label"], r["content"], r["confidence"]) for r in got] == [("title", "", 0.0)]
+    export.write_pages(spark.createDataFrame([("a", 0), ("b", 3)], "item_id string, page int"), str(tmp_path / "pages"))
+    assert {p.name for p in (tmp_path / "pages").iterdir() if p.is_dir()} == {"page=0", "page=3"}
+
+
+@pytest.mark.parametrize("w, h, want", [(600, 800, (1200, 1600)), (1200, 1200, (1200, 1200)), (3000, 2400, (2400, 1920)), (5000, 1000, (6000, 1200)), (2400, 1300, (2400, 1300))])
+def test_image_sizes(spark, w, h, want):
+    from quire.sources.recognition import size_factor
+
+    got = spark.createDataFrame([(w, h)], "w int, h int").select(text.image_scale("w", "h").alias("s")).first()["s"]
+    assert (got["width"], got["height"]) == want
+    factor = size_factor(h, w, 1200, 2400)
+    assert (int(w * factor), int(h * factor)) == want
+
+
+def test_display(spark):
+    assert one(spark, "TABLE", text.label_colour("t")) == [255, 0, 255] and one(spark, "other", text.label_colour("t")) == [128, 128, 128]
+    report = text.line_report(F.lit(3), F.lit("TITLE"), "t", F.lit(14), F.lit(60), F.lit(0.876))
+    assert one(spark, "x" * 60, report) == " 3. [TITLE     ] " + "x" * 50 + " (h: 14, y: 60, conf:0.88)"
+
+
+def test_hybrid_boost(spark):
+    ix = small_index(spark)
+    score = lambda **how: {r["fragment_id"]: r["score"] for r in search.hybrid_search(ix, [1.0, 0.0], "bird", **how).collect()}["c"]
+    assert score(boost_mode="multiply") == pytest.approx(score() ** 2 / 0.3)
+
+
+def test_filter_counts(spark):
+    rows = [line(0, "good text", (0, 0, 9, 9)), line(1, "x", (0, 0, 9, 9), 0.5), line(2, "12 34", (0, 0, 9, 9)), line(3, "", (0, 0, 9, 9))]
+    assert chunk.filter_counts(spark.createDataFrame(rows, LINE)).first().asDict() == {"lines": 4, "kept": 1, "bad_confidence": 1, "bad_length": 2, "bad_letters": 2, "bad_special": 0}
