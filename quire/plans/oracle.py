@@ -176,7 +176,7 @@ ORACLES: dict[str, str] = {
     "multi_get": "SELECT position::INTEGER AS position, 'doc_' || k AS fragment_id, coalesce(length(text), -1)::INTEGER AS length FROM (VALUES (0, '5'), (1, 'none'), (2, '3'), (3, '5')) q(position, k) LEFT JOIN documents ON doc_id::VARCHAR = k",
     "pending_vectors": "SELECT 'doc_' || doc_id AS fragment_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings) ORDER BY 1 LIMIT 1000",
     "pending_count": "SELECT count(*) FILTER (doc_id NOT IN (SELECT vec_id FROM embeddings)) AS pending, count(*) AS total FROM documents",
-    "bulk_upsert": f"""WITH {_INDEX}, after_ AS (SELECT fragment_id, content, v, page FROM ix WHERE doc_id % 3 <> 0 UNION ALL SELECT fragment_id, 'new ' || fragment_id, NULL, page FROM ix WHERE doc_id % 3 = 0 UNION ALL SELECT 'doc_new', content, NULL, page FROM ix WHERE doc_id = 1) SELECT {_STATE} FROM after_""",
+    "bulk_upsert": f"""WITH {_INDEX}, after_ AS (SELECT fragment_id, content, v, page FROM ix WHERE v IS NOT NULL UNION ALL SELECT fragment_id, 'new ' || fragment_id, NULL, page FROM ix WHERE v IS NULL UNION ALL SELECT 'doc_new', content, NULL, page FROM ix WHERE doc_id = 1) SELECT {_STATE} FROM after_""",
     "add_vectors": f"WITH {_INDEX} SELECT fragment_id, md5(content) AS content_md5, coalesce(len(v), 2)::INTEGER AS dims, page FROM ix",
     "update_content": f"WITH {_INDEX} SELECT fragment_id, md5('changed ' || fragment_id) AS content_md5, 1 AS dims, page FROM ix",
     "delete_by_id": f"WITH {_INDEX} SELECT {_STATE} FROM ix WHERE doc_id <> 7",
