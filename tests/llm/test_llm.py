@@ -503,6 +503,67 @@ def test_quote_threads(spark):
     assert (by[1, 2]["text"], by[1, 2]["thread_root"], by[2, 0]["n_quotes"], by[2, 0]["n_linked"], by[2, 0]["text"]) == ("Thanks", 0, 1, 0, "foo")
 
 
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def quoting_chat():
+    """Conversations of random messages that quote earlier ones: whole, in part, wrapped anew, nested, repeated."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for conv in range(40):
+        texts = []
+        for turn in range(8):
+            own = "\n\n".join("\n".join(" ".join(f"w{rng.integers(0, 400)}" for _ in range(rng.integers(2, 7))) + rng.choice([".", "?", "", ". Yes."]) for _ in range(rng.integers(1, 4))) for _ in range(rng.integers(1, 3)))
+            parts = []
+            for _ in range(rng.integers(0, 3) if turn else 0):
+                source = texts[rng.integers(0, turn)]
+                lines = source.split("\n")
+                kind = rng.integers(0, 6)
+                if kind == 1:
+                    lines = [lines[rng.integers(0, len(lines))]]
+                elif kind == 2:
+                    lines = source.split("\n\n")[0].replace("\n", " ").split("  ")
+                elif kind == 3:
+                    lines = [source.replace("\n", " ").split(". ")[0] + "."]
+                elif kind == 4:
+                    lines = ["never said"]
+                elif kind == 5:
+                    words = source.split("\n\n")[0].split()
+                    lines = [" ".join(words[i : i + 3]).upper() for i in range(0, len(words), 3)]
+                parts += ["> " * int(rng.integers(1, 3)) + x for x in lines] + rng.choice(["", "ok then", "\n"]).split("|")
+            texts.append("\n".join([*parts, own]))
+            rows.append((conv, turn, "u", texts[-1]))
+    return rows
+
+
+def test_quote_threads_equal_sql(spark):
+    import duckdb
+
+    rows = quoting_chat() + [(99, 0, "u", None), (99, 1, "u", "")]
+    got = quote_threads.quote_threads(spark.createDataFrame(rows, CHAT)).toPandas()
+    conversations = spark.createDataFrame(rows, CHAT).toPandas()  # noqa: F841  read by the SQL
+    want = duckdb.sql(quote_threads.ORACLE_SQL).df()
+    assert (got["n_linked"] > 0).sum() > 60 and ((got["n_quotes"] > got["n_linked"]) & (got["n_linked"] > 0)).any() and got["depth"].max() > 2
+    key = lambda frame: sorted(map(str, frame[sorted(want.columns)].astype(object).itertuples(index=False, name=None)))
+    assert key(got) == key(want)
+
+
+def test_quotes_in_part(spark):
+    rows = [
+        (1, 0, "u", "One two three four. Five six seven eight nine. Ten."), (1, 1, "a", "Short line\nand more words of mine\n\nnext part here"),
+        (1, 2, "u", "> Five six\n> seven eight nine.\nA sentence, wrapped anew."), (1, 3, "u", "> short line and\n> more words of mine\nA paragraph, wrapped anew."),
+        (1, 4, "u", "> next part here\nok\n> Ten.\nMore words of one than of the other."), (2, 0, "u", "> Ten.\nAnother conversation."),
+    ]
+    by = {(r["conv_id"], r["turn"]): r for r in quote_threads.quote_threads(spark.createDataFrame(rows, CHAT).withColumn("run", F.lit(1)).withColumn("h", F.lit(2))).collect()}
+    assert [by[1, t]["parent_turn"] for t in (2, 3, 4)] == [0, 1, 1] and by[1, 4]["n_linked"] == 2 and by[2, 0]["n_linked"] == 0
+    # a passage that is found counts once, not again by its lines
+    rows = [(1, 0, "u", "zero"), (1, 1, "u", "a b c d e f"), (1, 2, "u", "> a b c d e f\nthen\n> zero")]
+    assert {r["turn"]: r["parent_turn"] for r in quote_threads.quote_threads(spark.createDataFrame(rows, CHAT)).collect()}[2] == 1
+    assert quote_threads.quote_threads(spark.createDataFrame([], CHAT)).count() == 0
+    long = [(1, 0, "u", "\n".join(f"line {i}" for i in range(20_000))), (1, 1, "u", "\n".join(f"> line {i}\nyes" for i in range(20_000)))]
+    assert quote_threads.quote_threads(spark.createDataFrame(long, CHAT)).filter("turn = 1").first()["n_linked"] == 20_000
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
