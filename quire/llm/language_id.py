@@ -14,6 +14,7 @@ there is nothing to learn from. Repeated rows are predicted each; other columns
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,13 +43,19 @@ class Language:
     seed: int = 43
 
 
+@functools.cache
+def _letters() -> np.ndarray:
+    """For each code point, whether it is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+
+
 def counts_of(text: str, how: Language) -> np.ndarray:
     """How often each hashed n-gram stands in the text; a long text is counted in parts."""
     out = np.zeros(1 << how.bits, np.int64)
     for at in range(0, len(text), 1 << 20):
         part = text[at : at + (1 << 20) + how.most - 1].lower()
         c = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
-        letter = (c >= 128) | ((c >= 97) & (c <= 122))
+        letter = _letters()[c]
         c = np.where(letter, c, 32)
         c = c[letter | np.concatenate([[True], letter[:-1]])]
         h = np.zeros(len(c), np.uint32)
@@ -138,7 +145,8 @@ def fit(docs: DataFrame, how: Language = Language()):
     y = np.array([classes.index(x) for x in langs])
     at, x = got["at"].combine_chunks(), got["x"].combine_chunks()
     rows = [(at[i].values.to_numpy().astype(np.int64), x[i].values.to_numpy().astype(np.float64)) for i in range(len(y))]
-    order = np.lexsort([y, ids])
+    # rows come in any order: by id, language, and what else tells texts apart
+    order = np.lexsort([[float(r[1].sum()) for r in rows], [len(r[0]) for r in rows], y, ids])
     hold = [i for k, i in enumerate(order) if k % how.hold == 0]
     learn = [i for k, i in enumerate(order) if k % how.hold] or hold
     w = ftrl([rows[i] for i in learn], y[learn], len(classes), how)
@@ -168,4 +176,4 @@ def identify(docs: DataFrame, how: Language = Language()) -> DataFrame:
             held = [is_held_out(i) for i in batch.column("doc_id").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(held, pa.bool_()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")

@@ -9,7 +9,7 @@ The tokenizer drops white space and never joins over it, so a text's ids are tho
 between ASCII white space, one after the other; a worker keeps the ids of a bounded number of words.
 
 Defined cases: a null or empty text has the end id alone. Repeated rows are encoded each; among
-equal doc_ids the texts' order decides; null ids come first. Other columns are ignored; an empty
+equal doc_ids a hash of the text decides; null ids come first. Other columns are ignored; an empty
 table gives empty files and an empty result.
 """
 

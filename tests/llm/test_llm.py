@@ -279,6 +279,7 @@ def test_quality_on_held_out_rows(spark):
     odd_rows = quality_ranker.rank_quality(odd(spark), known).collect()
     assert len(odd_rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in odd_rows)
     assert {r["score"] for r in quality_ranker.rank_quality(odd(spark), labels(spark)).collect()} == {0.5}
+    assert quality_ranker.rank_quality(none(spark), labels(spark)).count() == 0 and quality_ranker.rank_quality(none(spark), known).count() == 0
     kept = quality_ranker.good_rows(odd(spark), labels(spark))
     assert kept.columns == odd(spark).columns and kept.count() == len(ODD)
 
@@ -302,6 +303,33 @@ def test_tokens_round_trip(spark, tmp_path):
     assert token_store.store_tokens(none(spark)).count() == 0
 
 
+def test_token_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    docs = table(spark, SF, "documents").select("doc_id", "text", "source", F.lit(1).alias("row"), F.lit("x").alias("file"), F.lit(2).alias("ids"))
+    path = tmp_path / "tokens"
+    how = token_store.Store(row_group=1 << 20, page=64 << 10)
+    rows = token_store.store_tokens(docs, how, path=f"file://{path}").count()
+    files = sorted(path.glob("*.parquet"))
+    assert rows == docs.count() == sum(pq.read_metadata(f).num_rows for f in files)
+    assert [pq.read_schema(f).names for f in files] == [["doc_id", "n_tokens", "ids"]] * len(files)
+    last, groups = None, 0
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            groups += 1
+            doc, _, ids = (meta.row_group(g).column(i) for i in range(3))
+            assert meta.row_group(g).total_byte_size < 4 * how.row_group
+            assert "RLE_DICTIONARY" in ids.encodings and doc.has_column_index and doc.has_offset_index and ids.has_offset_index
+            assert {"DELTA_BINARY_PACKED", "RLE_DICTIONARY"} & set(doc.encodings)
+            assert last is None or last < doc.statistics.min
+            last = doc.statistics.max
+    assert groups >= len(files)
+    some = token_store.read_tokens(spark, f"file://{path}", 10, 20, ("doc_id", "n_tokens"))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(doc_id,10)" in plan and "ReadSchema: struct<doc_id:bigint,n_tokens:bigint>" in plan and some.count() == docs.filter("doc_id between 10 and 20").count()
+
+
 def brute_components(texts, k, percent=80):
     sets = {}
     for i, t in texts.items():
@@ -575,6 +603,46 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def folder(tmp_path, spark, docs):
+    import os
+
+    for name in ("labels", "benchmark"):
+        os.symlink(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    some = table(spark, SF, "documents").limit(60).select("doc_id", "text", "lang", "source", "n_chars")
+    odd_rows = odd(spark).select(F.col("doc_id") - 100, "text", "lang", "source", F.length("text").cast("long")).toDF(*some.columns)
+    where = folder(tmp_path, spark, some.unionByName(odd_rows))
+    first, again = (sorted(map(tuple, corpus_pipeline.run(spark, where).collect()), key=str) for _ in range(2))
+    assert first and first == again
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    assert corpus_pipeline.run(spark, folder(tmp_path, spark, table(spark, SF, "documents").limit(0))).count() == 0
+
+
+def test_filtering_stages_equal_brute_force(spark):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs, items = table(spark, SF, "documents"), [tuple(r) for r in table(spark, SF, "benchmark").collect()]
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    scores = {r["doc_id"]: r["score"] for r in quality_ranker.rank_quality(docs, table(spark, SF, "labels")).collect()}
+    assert {r["doc_id"] for r in stages["quality_classifier"](spark, docs, SF).collect()} == {i for i, s in scores.items() if s >= 0.3}
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
+    windows = {tuple(w[i : i + 10]) for w in (words(t) for _, t in items) for i in range(max(1, len(w) - 9)) if w}
+    lengths = {len(w) for w in windows}
+    dirty = {i for i, t in rows.items() for w in [words(t)] if any(tuple(w[a : a + n]) in windows for n in lengths for a in range(len(w) - n + 1))}
+    assert {r["doc_id"] for r in stages["benchmark_decontamination"](spark, docs, SF).collect()} == set(rows) - dirty and dirty
+
+
 def test_sliced_arrays_keep_their_words():
     column = pa.array(["é a", None, "b c d", ""] * 5)
     whole = list(near_dedup.shingle_sets(column, 2))
