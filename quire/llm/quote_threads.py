@@ -60,7 +60,8 @@ def quote_threads(messages: DataFrame) -> DataFrame:
     pieces = known.select("conv_id", "turn", F.posexplode("runs").alias("run", "r")).select("conv_id", "turn", "run", F.col("r.level").alias("level"), F.col("r.lines").alias("lines"))
     quoted = _units(pieces.filter("level > 0")).groupBy("conv_id", "turn", "run", "level", "kind", "h").agg(F.sum("words").alias("words"))
     quoted = cut(quoted, "quoted")
-    own = _units(pieces.filter("level = 0")).groupBy("conv_id", "h").agg(F.min("turn").alias("origin"))
+    quoting = quoted.select("conv_id").distinct()  # other conversations' texts are not hashed
+    own = _units(pieces.filter("level = 0").join(quoting, "conv_id", "left_semi")).groupBy("conv_id", "h").agg(F.min("turn").alias("origin"))
     linked = quoted.join(own, ["conv_id", "h"]).filter(F.col("origin") < F.col("turn"))
     coarsest = F.min("kind").over(Window.partitionBy("conv_id", "turn", "run"))  # of one passage
     linked = cut(linked.withColumn("first", coarsest).filter("kind = first").select("conv_id", "turn", "run", "level", "origin", "words"), "linked")
