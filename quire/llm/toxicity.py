@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts
+from quire.llm._common import held_out, is_held_out, release, sampled, small_batches, texts
 
 
 @dataclass(frozen=True)
@@ -151,7 +151,7 @@ class Index:
         self._lay_out(example, term, count, labels, ids)
         if n > 2 * how.block:
             order = self._alike(example, term, count, n)
-            place = np.empty(n, np.int64)
+            place = np.empty(n, np.int32)
             place[order] = np.arange(n)
             self._lay_out(place[example], term, count, labels[order], ids[order])
         self.a = self.b = self.base = 0.0
@@ -163,7 +163,7 @@ class Index:
         order = np.lexsort([example, term])
         example, term, weight = example[order], term[order], weight[order]
         block = example // how.block
-        begin = np.flatnonzero(np.diff(term * self.n_blocks + block, prepend=-1))
+        begin = np.flatnonzero(np.diff(term.astype(np.int64) * self.n_blocks + block, prepend=-1))
         size = np.diff(np.append(begin, len(term)))
         entry = np.repeat(np.arange(len(begin)), size)
         full = size >= how.dense
@@ -338,6 +338,9 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[T
     coded = pc.dictionary_encode(lists.flatten())
     terms = Terms(coded.dictionary, how)
     example, term, count = terms.count(text, np.asarray(coded.indices, dtype=np.int64), np.asarray(counts.flatten(), dtype=np.int64), coded.dictionary)
+    example, term, count = example.astype(np.int32), term.astype(np.int32), count.astype(np.int32)
+    del got, lists, counts, text, coded  # the driver keeps numbers alone
+    release()
     with_term = np.zeros(len(doc), bool)
     with_term[example] = True
     y = label[with_term]
@@ -352,9 +355,9 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[T
     (n, n_known, n_known_1), (df, m, a) = sums[:, -1], sums[:, :-1]
     idf = np.maximum(np.log((1 + n) / (1 + df)), 0) ** how.power + 1e-6
     idf *= emphasis(chi_squared(m, a, n_known, n_known_1), how)
-    place = np.cumsum(with_term) - 1
+    place = (np.cumsum(with_term) - 1).astype(np.int32)
     index = Index(idf, place[example], term, count, y, doc[with_term], how)
-    back = np.argsort(index.ids)  # ids are distinct and were in order, so this is where each example is now
+    back = np.argsort(index.ids).astype(np.int32)  # ids are distinct and were in order, so this is where each example is now
     example = back[place[example]]
     order = np.lexsort([term, example])
     votes = index.votes(*index.nearest(example[order], term[order], count[order], len(y), without=np.arange(len(y))))
@@ -368,6 +371,8 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[T
     none = Counter(label[~with_term].tolist())
     none_1, none_0 = share * none[1] / all_1, (1 - share) * none[0] / all_0
     index.base = none_1 / (none_1 + none_0) if none_1 + none_0 else share
+    del example, term, count, order, votes
+    release()
     return terms, index, share
 
 
