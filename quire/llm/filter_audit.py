@@ -23,7 +23,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import space_words
+from quire.llm._common import cut, space_words
 
 FILTERS = "ABCDE"
 _ALL = (1 << len(FILTERS)) - 1
@@ -53,7 +53,8 @@ def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     is_good, is_toxic = F.coalesce(F.col("quality") == 1, F.lit(False)), F.coalesce(F.col("toxic") == 1, F.lit(False))
     # doc_ids of one text are distinct within a kind, so min_by has all rows of the smallest one of it
     kinds = rows.groupBy("same", "part", "mask", is_good.alias("is_good"), is_toxic.alias("is_toxic")).agg(F.sum("n").alias("n"), F.min("doc_id").alias("first"), F.min_by("n", "doc_id").alias("n_first"))
-    least = kinds.filter("same is not null").groupBy(F.col("same").alias("_same")).agg(F.min("first").alias("least"), F.count("*").alias("kinds"), F.sum("n").alias("rows"))
+    kinds = cut(kinds, "kinds")  # read twice from here on
+    least = kinds.filter("same is not null").groupBy(F.col("same").alias("_same")).agg(F.min("first").alias("least"))
     kinds = kinds.join(least, F.col("same") == F.col("_same"), "left")
     own = F.when(F.col("least").isNull(), F.col("n")).when(F.col("first") == F.col("least"), F.col("n_first")).otherwise(0)
     either = F.explode(F.array(F.struct(F.col("mask").alias("mask"), own.alias("n")), F.struct((F.col("mask") + _E).alias("mask"), (F.col("n") - own).alias("n"))))
