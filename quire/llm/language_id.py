@@ -8,14 +8,12 @@ about ``per_class`` texts of each language; a part of these is kept for the temp
 calibrates the probabilities.
 
 Learning uses no document of the held-out fold, and no null language. All texts are predicted
-whole. Defined cases: ``und`` with score 0 for a null text or one without letters, and for all if
+whole. Defined cases: ``und`` with score 0 for a null text or one without letters (what ``str.isalpha`` says is one), and for all if
 there is nothing to learn from. Repeated rows are predicted each; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import functools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,9 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts
-
-_LETTER = re.compile(r"[^\W\d_]")
+from quire.llm._common import held_out, is_held_out, sampled, small_batches, texts, worker_cache
 
 
 @dataclass(frozen=True)
@@ -43,10 +39,12 @@ class Language:
     seed: int = 43
 
 
-@functools.cache
 def _letters() -> np.ndarray:
     """For each code point, whether it is a letter."""
-    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    cache = worker_cache()
+    if "letters" not in cache:
+        cache["letters"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    return cache["letters"]
 
 
 def counts_of(text: str, how: Language) -> np.ndarray:
@@ -162,7 +160,7 @@ def identify(docs: DataFrame, how: Language = Language()) -> DataFrame:
         for batch in small_batches(batches):
             names, scores = [], []
             for text in texts(batch.column("text")).to_pylist():
-                if model is None or not _LETTER.search(text):
+                if model is None or not any(c.isalpha() for c in text):
                     names.append("und")
                     scores.append(0.0)
                     continue

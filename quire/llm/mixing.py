@@ -3,18 +3,18 @@
 Each source's texts, in a fixed pseudorandom order, are one stream of words, packed into blocks
 of ``block`` words (the last one of a source may be shorter). Sources of under ``parts`` such blocks
 have smaller ones, about ``parts`` of them, so that whole blocks come near their targets too. A source
-gets as many slots as blocks of its mean size make its target, rounded by a random offset (the
-expectation is the target). Source counts of the output shards, of about ``shard`` slots, are drawn as
-multinomials: each source's slots fall on the shards at random, drawn by halves of the shards, so that
-any shard's counts come from a few draws, and all counts of a source add up to its slots. A source's slots
-are numbered over all shards; slot k is
+has a goal of as many slots as blocks of its mean size make its target, over groups of ``group`` output shards
+of ``shard`` slots each. The source counts of a shard are drawn as a multinomial over the sources; each source's chance is what it
+lacks, by then, of its part of the goal (so what one shard draws too little or too much, the next ones make up).
+Draws that would take a source above ``most`` times its blocks are drawn again over the others. The counts drawn, and nothing
+else, say what is taken. A source's slots are numbered over all shards by sums of the counts; slot k is
 mapped through the source's pseudorandom permutation of block indexes (swap-or-not, one for each
 pass over the source), and slots and blocks are joined by that index. No block is taken more
 than ``most`` times, so no document is.
 
 Scale: the driver gets one row for each source (its size), and sends as much back; the sources must be that few.
 Streams are laid out by sums over small chunks of documents and sums over groups of chunks, so a source with a third of
-all rows is many small groups; slots are made in as many tasks as their number asks for.
+all rows is many small groups; groups of shards are drawn, and slots made, in as many tasks as their number asks for.
 
 Defined cases: a null text has size 0 and takes 0. A null source is a source of its own, last in
 order. Repeated rows are separate documents, each taken for itself. An empty table, or one
@@ -41,8 +41,9 @@ class Mix:
     weights: tuple[float, ...] = (1, 2, 3)
     most: int = 3
     block: int = 64
-    parts: int = 64  # blocks that a source has about, if it has not words for as many of full size
-    shard: int = 1 << 16
+    parts: int = 256  # blocks that a source has about, if it has not words for as many of full size
+    shard: int = 32  # slots
+    group: int = 512  # shards that make up for each other
     chunk: int = 256
     chunks: int = 4096  # whose sums are summed together
     task: int = 1 << 15  # slots that a task makes
@@ -65,19 +66,30 @@ def targets(sizes: list[int], weights: list[float], most: int) -> list[float]:
         capped.update(over)
 
 
-def drawn(totals: np.ndarray, shards: int, first: int, last: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Shards ``first`` to ``last`` - 1 of ``shards``, with each source's slots before and in them: its total falls on the shards at random."""
-    stack = [(0, shards, np.zeros(len(totals), np.int64), np.asarray(totals, np.int64))]
-    while stack:
-        low, high, before, here = stack.pop()
-        if high <= first or low >= last:
-            continue
-        if high - low == 1:
-            yield low, before, here
-            continue
-        middle = (low + high) // 2
-        left = np.random.default_rng([seed, low, high]).binomial(here, (middle - low) / (high - low))
-        stack += [(middle, high, before + left, here - left), (low, middle, before, left)]
+def groups_of(n_slots: np.ndarray, how: Mix) -> int:
+    return max(1, round(float(n_slots.sum()) / (how.shard * how.group)))
+
+
+def drawn(n_slots: np.ndarray, caps: np.ndarray, groups: int, group: int, how: Mix) -> Iterator[np.ndarray]:
+    """Each source's slots in each shard of a group. n_slots: goals over all groups; caps: the most that a source may get, over all groups."""
+    rng = np.random.default_rng([how.seed, group])
+    goal = n_slots / groups
+    room = (caps * (group + 1)) // groups - (caps * group) // groups
+    ends = np.floor(n_slots.sum() * np.array([group, group + 1]) / groups + 1e-6).astype(np.int64)
+    size = min(int(ends[1] - ends[0]), int(room.sum()))
+    taken, shards = np.zeros(len(goal), np.int64), -(-size // how.shard)
+    for j in range(shards):
+        here, left = np.zeros(len(goal), np.int64), min(how.shard, size - j * how.shard)
+        lacks = np.maximum(goal * min(1.0, (j + 1) * how.shard / size) - taken, 0)
+        while left:
+            free = room - taken - here
+            chance = np.where(free > 0, lacks, 0)
+            if not chance.sum():
+                chance = np.maximum(free, 0)
+            got = np.minimum(rng.multinomial(left, chance / chance.sum()), free)
+            here, left = here + got, left - int(got.sum())
+        taken += here
+        yield here
 
 
 def _before(sums: DataFrame, order: list[str], value: str, how: Mix) -> DataFrame:
@@ -107,7 +119,7 @@ def _mix(docs: DataFrame, how: Mix) -> DataFrame:
     blocks = [-(-int(r[1]) // b) for r, b in zip(totals, block, strict=True)]
     # Slots by words: never above most * blocks, as no target is above most times its source's size.
     n_slots = np.array([min(g * n / r[1], how.most * n) if r[1] else 0.0 for r, g, n in zip(totals, goals, blocks, strict=True)])
-    offset = (np.cumsum(n_slots) - n_slots + np.random.default_rng(how.seed).random()) % 1  # systematic: the slots of all sources add up, too
+    caps = np.array([how.most * n for n in blocks], dtype=np.int64)
     about = [(i, r[0], int(r[1]), float(g), b, n, max(1, -(-int(r[2]) // how.chunk))) for i, (r, g, b, n) in enumerate(zip(totals, goals, block, blocks, strict=True))]
     sources = spark.createDataFrame(about, "s int, source string, source_size long, target double, block long, blocks long, chunks long")
 
@@ -125,22 +137,23 @@ def _mix(docs: DataFrame, how: Mix) -> DataFrame:
     words = F.least(F.col("start") + F.col("size"), (F.col("index") + 1) * F.col("block")) - F.greatest(F.col("start"), F.col("index") * F.col("block"))
     pieces = pieces.select("s", "index", "doc_id", "size", "source_size", "target", "chunks", "chunk", "nr", F.when(F.col("index") >= 0, words).otherwise(0).alias("words"))
 
-    # Shards: slots k0 to k1 - 1 of each source.
-    whole = np.floor(n_slots + offset).astype(np.int64)
-    n_shards = max(1, -(-int(whole.sum()) // how.shard))
+    # Shards: each source's slots, numbered on from those of earlier shards.
+    groups = groups_of(n_slots, how)
+    size = int(n_slots.sum())
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column("id"))
-            for _, before, here in drawn(whole, n_shards, int(ids.min()), int(ids.max()) + 1, how.seed) if len(ids) else ():
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(here), dtype=np.int32)), pa.array(before), pa.array(before + here)], ["s", "k0", "k1"])
+            for group in batch.column("id").to_pylist():
+                for j, here in enumerate(drawn(n_slots, caps, groups, group, how)):
+                    some = np.flatnonzero(here)
+                    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), group * (2 * how.group + 2) + j)), pa.array(here[some])], ["s", "shard", "n"])
 
-    parts = spark.range(0, n_shards, 1, max(1, -(-n_shards // 1024))).mapInArrow(counts, "s int, k0 long, k1 long").filter("k0 < k1")
-    runs = parts.withColumn("a", F.explode(F.sequence(F.col("k0"), F.col("k1") - 1, F.lit(4096).cast("long"))))
+    shards = cut(spark.range(0, groups if size else 0, 1, max(1, min(groups, -(-size // how.task)))).mapInArrow(counts, "s int, shard long, n long"), "shards")
+    runs = shards.join(_before(shards, ["shard"], "n", how), ["s", "shard"])
     runs = runs.join(F.broadcast(sources.select("s", "blocks")), "s")  # a row for each source
     # A number of tasks is given: left to itself, the planner sees few bytes before explode and takes one.
-    runs = runs.select("s", "blocks", "a", F.least(F.col("a") + 4096, "k1").alias("b")).repartition(max(1, -(-int(whole.sum()) // how.task)), F.col("s"), F.col("a"))
-    slots = runs.select("s", "blocks", F.explode(F.expr("sequence(a, b - 1)")).alias("k"))
+    runs = runs.select("s", "blocks", "before", "n").repartition(max(1, -(-size // how.task)), F.col("s"), F.col("before"))
+    slots = runs.select("s", "blocks", F.explode(F.expr("sequence(before, before + n - 1)")).alias("k"))
     # Swap-or-not: each round pairs i with key - i and swaps by a hash of the pair: a permutation of 0..blocks-1 for any keys.
     permuted = f"""
         aggregate(sequence(1, {how.rounds}), k % blocks, (i, r) ->

@@ -138,6 +138,18 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int32)
 
 
+def plain(x: Terms | Index) -> dict:
+    """What ``x`` has, without classes of this package: a broadcast is unpickled by name, where the package need not be installed."""
+    return {k: v for k, v in vars(x).items() if k != "how"}
+
+
+def restored(kind: type, state: dict, how: Nearest):
+    """The object that :func:`plain` took apart."""
+    x = object.__new__(kind)
+    vars(x).update(state, how=how)
+    return x
+
+
 def _normal(text: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """The weights, each text's scaled to length 1."""
     return (weight / np.sqrt(np.maximum(np.bincount(text, weight * weight, n), 1e-24))[text]).astype(np.float32)
@@ -292,7 +304,7 @@ def _term_counts(terms, how: Nearest):
     """t, df, m, a: texts with term t, labelled ones among them, those of label 1. t = -1 has the counts of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = terms.value
+        known = restored(Terms, terms.value, how)
         counts, all_ = np.zeros((3, len(known)), np.int64), np.zeros(3, np.int64)
         for batch in small_batches(batches):
             label = np.asarray(pc.fill_null(batch.column("label").cast(pa.int32()), -1))
@@ -348,7 +360,7 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[T
         return None, None, share
     known = docs.select("doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
     known = known.join(ids.hint("merge"), "doc_id", "left").select("text", "label")  # both grow with the input: not broadcast
-    shipped = sc.broadcast(terms)
+    shipped = sc.broadcast(plain(terms))
     table = known.mapInArrow(_term_counts(shipped, how), "t long, df long, m long, a long").groupBy("t").agg(F.sum("df").alias("df"), F.sum("m").alias("m"), F.sum("a").alias("a")).toArrow()  # a row for each term
     sums = np.zeros((3, len(terms) + 1))  # the last column has the counts of all texts, as t = -1
     sums[:, np.asarray(table["t"])] = [np.asarray(table[c]) for c in ("df", "m", "a")]
@@ -379,13 +391,15 @@ def fit(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest()) -> tuple[T
 def score_toxicity(docs: DataFrame, labels: DataFrame, how: Nearest = Nearest(), threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (doc_ids of the nearest examples): one row for each row of ``docs``."""
     terms, index, share = fit(docs, labels, how)
-    shipped = docs.sparkSession.sparkContext.broadcast((terms, index))  # its size is that of the examples
+    shipped = docs.sparkSession.sparkContext.broadcast((plain(terms), plain(index)) if index else None)  # its size is that of the examples
+    base = index.base if index else share
+    del terms, index
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, index = shipped.value
+        terms, index = (restored(kind, state, how) for kind, state in zip((Terms, Index), shipped.value, strict=True)) if shipped.value else (None, None)
         for batch in small_batches(batches):
             n = len(batch)
-            scores, evidence = np.full(n, index.base if index else share), [[]] * n
+            scores, evidence = np.full(n, base), [[]] * n
             if index:
                 text, term, count = terms.count(*word_counts(batch.column("text")))
                 some, text = np.unique(text, return_inverse=True)

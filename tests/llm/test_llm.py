@@ -133,6 +133,25 @@ def brute_hits(text, items):
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
 
+def test_line_rules_on_repeated_rows(spark):
+    import duckdb
+
+    common = "\n".join(f"this line stands in many documents {i}" for i in range(3))
+    own = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{own} {i}\n{common}\n{common if i % 2 else ''}", "en", "host", 1) for i in range(30)]
+    rows += [rows[3], rows[4], rows[4], (5, f"{own} of its own\n{common}", "en", "host", 1), (5, own, "en", None, 1)]
+    rows += [(None, f"{own}\n{common}", "en", "host", 1)] * 2 + [(None, common, "en", "host", 1), (None, None, None, None, None), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = line_quality.line_quality(docs)
+    alone = {r["doc_id"]: r for r in line_quality.line_quality(docs.filter("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
+    found = [r for r in got.collect() if r["doc_id"] == 4]
+    assert len(found) == 3 and set(found) == {alone[4]} and alone[4]["n_words_removed"] == 21
+    db = duckdb.connect()
+    db.register("documents", docs.toArrow())
+    want = db.sql(line_quality.ORACLE_SQL).to_arrow_table().select(got.columns).to_pylist()
+    assert sorted(map(str, want)) == sorted(str(r.asDict()) for r in got.collect())
+
+
 def test_decontamination_equals_brute_force(spark):
     long = " ".join(f"b{i}" for i in range(14))
     items = [(1, long), (10, "one two"), (2, "alpha"), (3, None), (4, ""), (5, "Q W E R T Y U"), (6, long), (7, " ".join(f"b{i}" for i in range(4, 16)))]
@@ -171,7 +190,7 @@ def test_mix(spark):
     for r in rows:
         taken[r["source"]] += r["taken"]
         target[r["source"]] = r["target"]
-    assert all(abs(taken[s] - t) < 0.02 * t for s, t in target.items())
+    assert all(abs(taken[s] - t) < 0.04 * t for s, t in target.items())  # the last shards scatter
     assert sorted(mixing.mix(odd(spark)).select("doc_id", "taken").collect(), key=str) == sorted(mixing.mix(odd(spark)).select("doc_id", "taken").collect(), key=str)
     assert mixing.mix(odd(spark)).count() == len(ODD) and mixing.mix(none(spark)).count() == 0
     copies = mixing.mixed_rows(odd(spark))
@@ -192,21 +211,37 @@ def test_mix_of_small_sources(spark):
             of[r["source"]] = (r["source_size"], r["target"])
         assert any(0 < target < 2 * size for size, target in of.values() if size < 1000) == (len(weights) > 3)
         for source, (size, target) in of.items():
-            block = min(64, -(-size // 64))
-            assert abs(taken[source] - target) <= 2 * block, source  # a slot rounded, and a short block drawn or not
-            assert size < 100 or abs(taken[source] - target) < 0.03 * target, source
+            block = min(64, -(-size // 256))
+            assert abs(taken[source] - target) <= max(6 * block, 0.01 * target), source  # of the last shards' draws, and a short block drawn or not
+            assert size < 100 or abs(taken[source] - target) < 0.06 * target, source
+
+
+def shares_drawn(how, n_slots, caps):
+    return np.array([here for g in range(mixing.groups_of(n_slots, how)) for here in mixing.drawn(n_slots, caps, mixing.groups_of(n_slots, how), g, how)])
 
 
 def test_shards_are_drawn_as_multinomials():
-    totals, n = np.array([50_000, 1000, 0, 3]), 37
-    all_ = list(mixing.drawn(totals, n, 0, n, 5))
-    counts = np.array([here for _, _, here in all_])
-    assert [i for i, _, _ in all_] == list(range(n)) and (counts.sum(axis=0) == totals).all()
-    assert all((before == counts[:i].sum(axis=0)).all() for i, before, _ in all_)
-    # any part of the shards is drawn alike, and counts scatter as those of a multinomial do
-    assert [(i, *a, *b) for i, a, b in mixing.drawn(totals, n, 11, 20, 5)] == [(i, *a, *b) for i, a, b in all_[11:20]]
-    scatter = np.mean([np.array([h[:2] for _, _, h in mixing.drawn(totals, n, 0, n, seed)]).var(axis=0) for seed in range(60)], axis=0)
-    assert scatter == pytest.approx(totals[:2] / n * (1 - 1 / n), rel=0.12)
+    n_slots, caps = np.array([5000.0, 1000.5, 0, 3.2, 300]), np.array([9000, 3000, 0, 30, 300])
+    every = np.array([shares_drawn(mixing.Mix(seed=seed, group=32), n_slots, caps) for seed in range(60)])
+    sums = every.sum(axis=1)
+    assert (every.sum(axis=2) == 32).mean() > 0.96 and (sums.sum(axis=1) == int(n_slots.sum())).all()
+    assert (sums <= caps).all() and len({tuple(x) for x in sums}) > 30  # bounds hold, and the totals are drawn
+    assert sums.mean(axis=0) == pytest.approx(n_slots, rel=0.02, abs=0.4) and np.abs(sums[:, :2] - n_slots[:2]).max() < 0.03 * 5000
+    first = every[:, 0]  # the first shard of all is a plain multinomial
+    p = n_slots / n_slots.sum()
+    assert first.mean(axis=0) == pytest.approx(32 * p, rel=0.15, abs=0.3) and first[:, 0].var() == pytest.approx(32 * p[0] * (1 - p[0]), rel=0.6)
+
+
+def test_mix_follows_the_draws(spark):
+    docs = table(spark, SF, "documents")
+
+    def sums(how):
+        rows = mixing.mix(docs, how).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+        assert all(abs(r["taken"] - r["target"]) < 0.06 * r["target"] for r in rows)
+        return {r["source"]: r["taken"] for r in rows}
+
+    plain = sums(mixing.Mix())
+    assert plain == sums(mixing.Mix()) != sums(mixing.Mix(shard=256)) and plain != sums(mixing.Mix(seed=3))
 
 
 def brute_mix(rows, how):
@@ -222,8 +257,7 @@ def brute_mix(rows, how):
     block = [max(1, min(how.block, -(-sizes[s] // how.parts))) for s in names]
     blocks = [-(-sizes[s] // b) for s, b in zip(names, block)]
     slots = [min(g * n / sizes[s], how.most * n) if sizes[s] else 0 for s, g, n in zip(names, goals, blocks)]
-    offset = (np.cumsum(slots) - slots + np.random.default_rng(how.seed).random()) % 1
-    whole = np.floor(slots + offset).astype(int)
+    whole = shares_drawn(how, np.array(slots, dtype=float), np.array([how.most * n for n in blocks])).sum(axis=0)
     taken = Counter()
     for s, name in enumerate(names):
         mine = [r for r in rows if r[1] == name]
@@ -253,7 +287,7 @@ def permuted(spark, how, s, turn, i, blocks):
 
 
 def test_mix_equals_brute_force(spark):
-    how = mixing.Mix(block=8, parts=4, shard=16, chunk=5, chunks=2, task=32)
+    how = mixing.Mix(block=8, parts=4, shard=16, group=2, chunk=5, chunks=2, task=32)
     rows = [(i, ["a", "b", None][i % 7 % 3], (i * 5) % 23, None) for i in range(60)]
     docs = spark.createDataFrame([(i, " ".join(["w"] * n), None, s, None, None) for i, s, n, _ in rows], DOC)
     hashes = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64(F.lit(how.seed), "doc_id")).collect()}
@@ -269,7 +303,7 @@ def test_mixed_rows_near_targets(spark):
     for r in mixing.mixed_rows(docs).collect():
         got[r["source"]] += len(WORD.findall(r["text"]))
         assert r["text"] in rows[r["doc_id"]]["text"] and r["n_chars"] == len(r["text"])
-    assert all(abs(got[s] - t) < 0.025 * t for s, t in goal.items())
+    assert all(abs(got[s] - t) < 0.045 * t for s, t in goal.items())
 
 
 def test_quality_on_held_out_rows(spark):
@@ -422,6 +456,12 @@ def test_components_of_a_chain(spark):
     assert got == {i: 0 if i < 20 else 20 for i in range(n)}
 
 
+def test_texts_without_letters(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang").union(spark.createDataFrame([(-1 - i, t, "en") for i, t in enumerate(("½ ² ³", "① 5", "Ⅷ", "٣", "5x"))], "doc_id long, text string, lang string"))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"] > 0) for r in language_id.identify(docs).filter("doc_id < 0").collect()}
+    assert [got[-1 - i] for i in range(4)] == [("und", False)] * 4 and got[-5][1]
+
+
 def test_language_on_held_out_rows(spark):
     docs = table(spark, SF, "documents")
     got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
