@@ -264,19 +264,64 @@ class Trees:
         return self.base + self.leaf[trees, at].sum(axis=1)
 
 
+def _flows(nodes: list[Node]) -> set[Node]:
+    """Inline elements without block elements in them: parts of a run of text."""
+    holds_block = set()
+    for node in reversed(nodes):
+        if node.parent and (node.tag not in INLINE or node in holds_block):
+            holds_block.add(node.parent)
+    return {n for n in nodes if n.tag in INLINE and n not in holds_block}
+
+
+def _own(node: Node) -> int:
+    return sum(len(c) for c in node.children if type(c) is str and not c.isspace())
+
+
+def _runs(node: Node, flows: set[Node]) -> Iterator[list[Node | str]]:
+    """What stands between two block elements or breaks, of an element's children."""
+    run: list[Node | str] = []
+    for c in node.children:
+        if type(c) is str or c in flows:
+            run.append(c)
+        elif c.tag not in NO_TEXT or c.tag not in INLINE:
+            yield run
+            run = []
+    yield run
+
+
 def decode(nodes: list[Node], odds: np.ndarray) -> None:
-    """Marks the elements that are kept, each only if all around it are. Odds count by the text an element has itself, in part."""
-    for node in nodes:
-        node.index = 0.0  # gain of the best labelling below, if the node is kept
+    """Marks the elements that are kept, each only if all around it are. Odds count by the text an element has itself, in part.
+
+    Inline elements share a decision: that of their block, if it has text of its own beside them or no blocks in it; else all inline
+    elements that stand together between two blocks are kept, or none.
+    """
+    flows = _flows(nodes)
+    own: dict[Node, int] = {}
+    gain: dict[Node, float] = {}
     for node, o in zip(reversed(nodes), odds[::-1], strict=True):
-        own = sum(len(c) for c in node.children if type(c) is str and not c.isspace())
-        node.index += float(o) * (1 + math.log1p(own))
+        own[node] = _own(node) + sum(own[c] for c in node.children if c in flows)
+        gain[node] = float(o) * (1 + math.log1p(own[node]))
+        if node in flows:  # the sum over what is inline in it
+            gain[node] += sum(gain[c] for c in node.children if c in flows)
+        node.index = 0.0  # gain of the best labelling below, if the node is kept
+    below: dict[Node, float] = {}
+    for node in reversed(nodes):
+        if node in flows:
+            continue
+        node.index += gain[node]
+        if any(type(c) is Node and c not in flows and c.tag not in VOID and c.tag not in NO_TEXT for c in node.children):
+            for run in _runs(node, flows):
+                apart = [c for c in run if type(c) is Node]
+                if apart and all(type(c) is Node or c.isspace() for c in run):
+                    together = sum(gain[c] for c in apart)
+                    below.update((c, together) for c in apart)
+                    node.index += max(0.0, together)
         node.keep = node.index > 0
         if node.parent and node.keep:
             node.parent.index += node.index
     nodes[0].keep = True
     for node in nodes[1:]:
-        node.keep = node.keep and node.parent.keep
+        node.keep = node.parent.keep and (below.get(node, 1.0) > 0 if node in flows else node.keep)
 
 
 def blocks(root: Node, all_text: bool = False) -> list[str]:
@@ -363,7 +408,8 @@ def sample_pages(n: int, seed: int = 53) -> Iterator[Node]:
                 open_b = "<b>" if rng.random() < 0.15 else ""
                 out.append(f"<p data-main{odd()}>{open_b}{paragraph()}{rng.choice(['', '<br>']) if open_b else ''}" + rng.choice(["</p>", "</p>", "</p>", ""]))
             elif kind < 0.78 or not out and rich and kind < 0.8:
-                out.append(f"<h2 data-main{odd()}>{words(1, 7)}</h2>")
+                level = rng.choice([2, 2, 3, 3, 4, 5, 6])
+                out.append(f"<h{level} data-main{odd()}>{words(1, 7)}</h{level}>")
             elif kind < 0.84:
                 out.append(f"<ul data-main{odd()}>{''.join(f'<li data-main>{sentence(1, 12)}</li>' for _ in range(rng.randint(1, 6)))}</ul>")
             elif kind < 0.88:

@@ -60,6 +60,11 @@ def test_html_gold_pages():
         (f"<body>{nav}<article>{body}{table_}<ul><li>First thing to do.</li></ul></article>{foot}", [*lines, "Year", "Rain", "1990", "12 mm", "First thing to do."]),
         (f"<body>{nav}<article>{body}<div class=comments><div class=comment><p>I agree with this, well said indeed.</p></div></div></article>{foot}", lines),
         (f"<body><div id=cookie-notice><p>We use cookies to make this page better.</p></div><header><h1>The Site</h1></header>{nav}<main>{body}<aside><p>Related matter here.</p></aside></main><div class=sidebar><p>Some side text is here.</p></div><form><p>Search the page</p></form>{foot}", lines),
+        (f"<body>{nav}<div>" + "".join(f"<p>The town of <a href=/{i}>Abc{i}</a> near <a>river{i}</a> it and <a>hill{i}</a> was here for long years, they say.</p>" for i in range(8)) + f"</div>{foot}", [f"The town of Abc{i} near river{i} it and hill{i} was here for long years, they say." for i in range(8)]),
+        (f"<body>{nav}<div id=bodyContent>" + "".join(f"<p>Six <a>links</a> are <a>in</a> each <a>of</a> these <a>long</a> and <a>full</a> paragraphs <a>here</a> number {i}.</p>" for i in range(6)) + f"</div>{foot}", [f"Six links are in each of these long and full paragraphs here number {i}." for i in range(6)]),
+        (f"<body>{nav}<article>{body}<p><span>One</span> <span>two</span> <span>three</span> words.</p></article>{foot}", [*lines, "One two three words."]),
+        (f"<body><a href=#main>Skip to content</a><div class=content><h1>Title</h1>{body}</div>{foot}", ["Title", *lines]),
+        (f"<body>{nav}<article>{body}<h4>A heading</h4><p>{more}</p></article>{foot}", [*lines, "A heading", more]),
         ("<article>" + "<p>some words here</p>" * 20_000 + "</article>", ["some words here"] * 20_000),
     ]
     for page, want in pages:
