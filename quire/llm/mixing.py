@@ -3,7 +3,7 @@
 Each source's texts, in a fixed pseudorandom order, are one stream of words, packed into blocks
 of ``block`` words (the last one of a source may be shorter). Sources of under ``parts`` such blocks
 have smaller ones, about ``parts`` of them, so that whole blocks come near their targets too. A source
-has a goal of as many slots as blocks of its mean size make its target, over groups of ``group`` output shards
+has a goal of as many slots as blocks of its mean size make its target, in whole numbers (rounded by a random offset) over groups of ``group`` output shards
 of ``shard`` slots each. The source counts of a shard are drawn as a multinomial over the sources; each source's chance is what it
 lacks, by then, of its part of the goal (so what one shard draws too little or too much, the next ones make up).
 Draws that would take a source above ``most`` times its blocks are drawn again over the others. The counts drawn, and nothing
@@ -73,10 +73,10 @@ def groups_of(n_slots: np.ndarray, how: Mix) -> int:
 def drawn(n_slots: np.ndarray, caps: np.ndarray, groups: int, group: int, how: Mix) -> Iterator[np.ndarray]:
     """Each source's slots in each shard of a group. n_slots: goals over all groups; caps: the most that a source may get, over all groups."""
     rng = np.random.default_rng([how.seed, group])
-    goal = n_slots / groups
     room = (caps * (group + 1)) // groups - (caps * group) // groups
-    ends = np.floor(n_slots.sum() * np.array([group, group + 1]) / groups + 1e-6).astype(np.int64)
-    size = min(int(ends[1] - ends[0]), int(room.sum()))
+    offset = (np.cumsum(n_slots) - n_slots + np.random.default_rng(how.seed).random()) % 1  # goals are whole numbers in a group, rounded so that those of all groups add up
+    goal = np.minimum(np.floor(n_slots * (group + 1) / groups + offset) - np.floor(n_slots * group / groups + offset), room).astype(np.int64)
+    size = int(goal.sum())
     taken, shards = np.zeros(len(goal), np.int64), -(-size // how.shard)
     for j in range(shards):
         here, left = np.zeros(len(goal), np.int64), min(how.shard, size - j * how.shard)

@@ -229,9 +229,9 @@ def test_shards_are_drawn_as_multinomials():
     n_slots, caps = np.array([5000.0, 1000.5, 0, 3.2, 300]), np.array([9000, 3000, 0, 30, 300])
     every = np.array([shares_drawn(mixing.Mix(seed=seed, group=32), n_slots, caps) for seed in range(60)])
     sums = every.sum(axis=1)
-    assert (every.sum(axis=2) == 32).mean() > 0.96 and (sums.sum(axis=1) == int(n_slots.sum())).all()
+    assert (every.sum(axis=2) == 32).mean() > 0.96 and (np.abs(sums.sum(axis=1) - n_slots.sum()) <= 1).all()
     assert (sums <= caps).all() and len({tuple(x) for x in sums}) > 30  # bounds hold, and the totals are drawn
-    assert sums.mean(axis=0) == pytest.approx(n_slots, rel=0.02, abs=0.4) and np.abs(sums[:, :2] - n_slots[:2]).max() < 0.03 * 5000
+    assert sums.mean(axis=0) == pytest.approx(n_slots, rel=0.02, abs=0.5) and np.abs(sums[:, :2] - n_slots[:2]).max() < 0.03 * 5000
     first = every[:, 0]  # the first shard of all is a plain multinomial
     p = n_slots / n_slots.sum()
     assert first.mean(axis=0) == pytest.approx(32 * p, rel=0.15, abs=0.3) and first[:, 0].var() == pytest.approx(32 * p[0] * (1 - p[0]), rel=0.6)
