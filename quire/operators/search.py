@@ -51,7 +51,7 @@ def filtered_search(index: DataFrame, query, min_confidence: float = MIN_CONFIDE
 def text_scores(index: DataFrame, query: str, field: Column | str = "content", k1_factor: bool = True) -> DataFrame:
     """fragment_id, score: BM25 of rows with any term of the query. Only rows' lengths and query terms' counts are shuffled."""
     field = F.col(field) if isinstance(field, str) else field
-    wanted = sorted({t for t in _terms_of(query)})
+    wanted = sorted({t for t in terms_of(query)})
     rows = index.select("fragment_id", terms(F.coalesce(field, F.lit(""))).alias("ts"))  # no filter here: it would split every text again
     counts = [(F.size("ts") - F.size(F.array_remove("ts", t))).alias(f"tf{i}") for i, t in enumerate(wanted)]
     rows = rows.select("fragment_id", F.size("ts").alias("len"), *counts)
@@ -66,7 +66,7 @@ def text_scores(index: DataFrame, query: str, field: Column | str = "content", k
     return rows.withColumn("score", score).filter("score > 0").select("fragment_id", "score")
 
 
-def _terms_of(query: str) -> list[str]:
+def terms_of(query: str) -> list[str]:
     out, word = [], []
     for c in query.lower() + " ":
         if c.isalnum():
@@ -79,7 +79,7 @@ def _terms_of(query: str) -> list[str]:
 
 def highlighted(text: Column | str, query: str) -> Column:
     """The text with the query's terms in <em> marks."""
-    wanted = _terms_of(query)
+    wanted = terms_of(query)
     text = F.col(text) if isinstance(text, str) else text
     return F.regexp_replace(text, rf"(?iu)(?<![\p{{L}}\p{{N}}])({'|'.join(wanted)})(?![\p{{L}}\p{{N}}])", "<em>$1</em>") if wanted else text
 

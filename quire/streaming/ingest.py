@@ -1,11 +1,12 @@
 """Pages that arrive over time: an addition of this engine, beside the batch operators.
 
 A page arrives whole, as one row of lines and blocks, so chunks need no state across batches;
-each batch is chunked and put into the index as a new version.
+each batch is chunked and put into the index: into the buckets of a store that it touches, or as a new version of a whole index.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quire.modes import ENHANCED, Mode
 from quire.operators import index as index_ops
 from quire.operators.chunk import chunks
+from quire.operators.store import Store
 
 LINE = "struct<ocr_seq:int,content:string,ocr_confidence:double,x1:int,y1:int,x2:int,y2:int>"
 BLOCK = "struct<block_idx:int,label:string,content:string,confidence:double,x1:int,y1:int,x2:int,y2:int>"
@@ -52,14 +54,27 @@ class VersionedIndex:
     def change(self, how: Callable[[DataFrame], DataFrame]) -> None:
         index_ops.save(how(self.frame()), self.path)
 
+    def put(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None) -> bool:
+        """Upserts rows; a batch that comes again makes an equal version."""
+        self.change(lambda index: index_ops.upsert(index, rows, order))
+        return True
 
-def ingest(spark: SparkSession, source: str, target: VersionedIndex, mode: Mode = ENHANCED, checkpoint: str | None = None) -> StreamingQuery:
+
+def _query_id(spark: SparkSession, checkpoint: str | None) -> str | None:
+    """The id that a stream keeps in its checkpoint."""
+    if not checkpoint:
+        return None
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def ingest(spark: SparkSession, source: str, target: VersionedIndex | Store, mode: Mode = ENHANCED, checkpoint: str | None = None) -> StreamingQuery:
     """Takes every page file that ``source`` has or gets, and puts its chunks into the index. A batch that comes again changes nothing."""
     stream = spark.readStream.schema(PAGES).parquet(source)
 
-    def put(batch: DataFrame, _: int) -> None:
+    def put(batch: DataFrame, number: int) -> None:
         rows = page_chunks(batch, mode).withColumn("place", F.struct("item_id", "page", "chunk_no")).select("fragment_id", "content", "metadata", "place")
-        target.change(lambda index: index_ops.upsert(index, rows, "place"))  # of chunks of one id the last by place
+        name = _query_id(spark, checkpoint)
+        target.put(rows, "place", (name, number) if name else None)  # of chunks of one id the last by place
 
     writer = stream.writeStream.foreachBatch(put).trigger(availableNow=True)
     return (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
