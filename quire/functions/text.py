@@ -109,3 +109,12 @@ def image_scale(width: Column | str, height: Column | str) -> Column:
     up, down = F.greatest(1200 / h, 1200 / w), F.least(2400 / h, 2400 / w)
     scale = F.when((h < 1200) | (w < 1200), up).when((h > 2400) | (w > 2400), down).otherwise(F.lit(1.0))
     return F.struct((w * scale).cast("int").alias("width"), (h * scale).cast("int").alias("height"))
+
+
+def ascii_json(json: Column | str) -> Column:
+    """JSON text with a space after each comma and colon between values, and other scripts as \\uXXXX (surrogate pairs for what needs them)."""
+    # \G: from comma to comma, so that no match begins within a string
+    spaced = F.regexp_replace(_col(json), r'\G((?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^",:]++)*+)([,:])', "$1$2 ")
+    runs = F.regexp_extract_all(spaced, F.lit(r"[\x00-\x7E]+|[^\x00-\x7E]+"), F.lit(0))
+    escaped = F.transform(runs, lambda x: F.when(x.rlike(r"^[\x00-\x7E]"), x).otherwise(F.regexp_replace(F.lower(F.hex(F.encode(x, "UTF-16BE"))), "(.{4})", r"\\u$1")))
+    return F.when(spaced.rlike(r"[^\x00-\x7E]"), F.array_join(escaped, "")).otherwise(spaced)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.text import token_count
 from quire.modes import DEEPEST, LEVELS, OVERLAP, Mode
 
 
@@ -76,3 +77,27 @@ def children(tree: DataFrame) -> DataFrame:
     below = tree.filter(F.col("parent_id").isNotNull()).groupBy("item_id", "page", F.col("parent_id").alias("_of")).agg(F.array_sort(F.collect_list(tree["id"])).alias("children"))
     below = below.withColumnRenamed("_of", "id")
     return tree.join(below, ["item_id", "page", "id"], "left").withColumn("children", F.coalesce("children", F.array().cast("array<int>")))
+
+
+def subtrees(tree: DataFrame, mode: Mode = Mode()) -> DataFrame:
+    """A tree of :func:`heading_tree` with ``begin`` and ``end``: what is below an element has the ids from begin + 1 to end - 1.
+
+    With them come ``elements`` and ``tokens`` below it. Headings nest, so their ranges do, and sums below are differences of
+    running sums: no step is taken from parent to child.
+    """
+    by_page = Window.partitionBy("item_id", "page").orderBy("id")
+    so_far, after = by_page.rowsBetween(Window.unboundedPreceding, 0), by_page.rowsBetween(1, Window.unboundedFollowing)
+    everything = Window.partitionBy("item_id", "page").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = tree.withColumn("_tokens", token_count("content"))
+    rows = rows.withColumn("_sum", F.sum("_tokens").over(so_far)).withColumn("_high", F.min(F.when(F.col("level") <= 2, F.col("id"))).over(everything))
+    rows = rows.withColumn("_last", F.struct((F.max("id").over(everything) + 1).alias("id"), F.max("_sum").over(everything).alias("before")))
+    place = F.struct("id", (F.col("_sum") - F.col("_tokens")).alias("before"))
+    ends = {k: F.coalesce(F.min(F.when(F.col("level") <= k, place)).over(after), F.col("_last")) for k in range(1, DEEPEST)}
+    end = F.struct((F.col("id") + 1).alias("id"), F.col("_sum").alias("before"))
+    for k in range(1, DEEPEST):
+        own = ends[k]
+        if k == 2:  # the page's first heading of level 2 has later ones below it
+            own = F.when((F.col("id") == F.col("_high")) & F.lit(mode.page_parent), ends[1]).otherwise(ends[2])
+        end = F.when(F.col("level") == k, own).otherwise(end)
+    rows = rows.withColumn("_end", end)
+    return rows.select(*tree.columns, F.col("id").alias("begin"), F.col("_end.id").alias("end"), (F.col("_end.id") - F.col("id") - 1).alias("elements"), (F.col("_end.before") - F.col("_sum")).alias("tokens"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import terms
@@ -41,6 +44,59 @@ def semantic_search(index: DataFrame, query, top_k: int = 5) -> DataFrame:
     return top(vector_scores(index, query), top_k)
 
 
+def _nearest(ids: list[str], vectors: np.ndarray, top_k: int, dim: int):
+    """For each task, the ``top_k`` rows of greatest cosine for each of the queries ``ids``: no more leave it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, scores = [np.zeros(0, object)] * len(ids), [np.zeros(0)] * len(ids)
+        for batch in batches:
+            flat = batch.column("embeddings").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            rows = flat.reshape(-1, dim)
+            length = np.sqrt((rows * rows).sum(axis=1))
+            found = np.round(vectors @ (rows / np.where(length > 0, length, 1)[:, None]).T, 9)
+            found[:, ~(length > 0)] = np.nan  # a vector without length has no cosine, as one with nulls
+            own = np.array(batch.column("fragment_id").to_pylist(), object)
+            for q in range(len(ids)):
+                some = np.flatnonzero(~np.isnan(found[q]))
+                if len(some) > top_k:  # all that reach the k-th score, ties too
+                    some = some[found[q, some] >= np.partition(found[q, some], len(some) - top_k)[len(some) - top_k]]
+                all_names, all_scores = np.append(names[q], own[some]), np.append(scores[q], found[q, some])
+                best = sorted(range(len(all_names)), key=lambda i: (-all_scores[i], all_names[i].encode()))[:top_k]  # noqa: B023
+                names[q], scores[q] = all_names[best], all_scores[best]
+        if any(len(x) for x in names):
+            query = [i for i, x in zip(ids, names, strict=True) for _ in x]
+            yield pa.RecordBatch.from_arrays([pa.array(query, pa.string()), pa.array(np.concatenate(names), pa.string()), pa.array(np.concatenate(scores) + 1.0)], ["query_id", "fragment_id", "score"])
+
+    return run
+
+
+def batch_search(index: DataFrame, queries: DataFrame, top_k: int = 5, block: int = 1024) -> DataFrame:
+    """query_id, fragment_id, score, rank: the ``top_k`` nearest rows of every query of ``queries`` (query_id string, query), as :func:`semantic_search` for each.
+
+    Queries go in blocks of about ``block``, each in one pass over the index: their vectors are sent to the tasks, which multiply whole batches of rows
+    with them and return ``top_k`` rows a query at most, so that what is shuffled doesn't grow with the index's rows but with its tasks.
+    Scores count to nine digits; ties go by id. Rows and queries without a vector, or without length, are left out; rows meet queries of their own
+    vector length alone.
+    """
+    queries = queries.filter(F.col("query").isNotNull() & (F.size("query") > 0)).withColumn("dim", F.size("query"))
+    rows = index.filter(F.col("fragment_id").isNotNull() & F.col("embeddings").isNotNull()).select("fragment_id", "embeddings")
+    empty = index.select(F.lit("").alias("query_id"), "fragment_id", F.lit(0.0).alias("score")).filter("false")
+    found = [empty]
+    for dim, n in sorted((r["dim"], r["count"]) for r in queries.groupBy("dim").count().collect()):  # few lengths
+        passes = -(-n // block)
+        for k in range(passes):
+            some = queries.filter((F.col("dim") == dim) & (F.pmod(F.xxhash64("query_id"), F.lit(passes)) == k)).select("query_id", "query").collect()  # about ``block``
+            vectors = np.array([r["query"] for r in some], dtype=np.float64).reshape(len(some), dim)
+            length = np.sqrt((vectors * vectors).sum(axis=1))
+            some = [r["query_id"] for r, n in zip(some, length, strict=True) if n > 0]
+            vectors = vectors[length > 0] / length[length > 0, None]
+            if some:
+                own = rows.filter((F.size("embeddings") == dim) & ~F.exists("embeddings", F.isnull))
+                found.append(own.mapInArrow(_nearest(some, vectors, top_k, dim), "query_id string, fragment_id string, score double"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "fragment_id")
+    return reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top_k)
+
+
 def filtered_search(index: DataFrame, query, min_confidence: float = MIN_CONFIDENCE, page: int | None = None, top_k: int = 5) -> DataFrame:
     rows = index.filter(F.col("metadata.ocr_confidence") >= min_confidence)
     if page is not None:

@@ -204,7 +204,8 @@ class Store:
         found = found.join(F.broadcast(df), "term")
         idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
         score = idf * F.col("tf") * (search.K1 + 1) / (F.col("tf") + search.K1 * (1 - search.B + search.B * F.col("len") / (words / n)))
-        return found.groupBy("fragment_id").agg(F.sum(score).alias("score"))
+        parts = found.groupBy("fragment_id").agg(F.array_sort(F.collect_list(F.struct("term", score.alias("x")))).alias("xs"))  # one for each term of the query
+        return parts.select("fragment_id", F.aggregate("xs", F.lit(0.0), lambda a, x: a + x["x"]).alias("score"))  # in the terms' order, so that equal rows have equal scores
 
     def text_search(self, query: str, section: str | None = None, size: int = 10) -> DataFrame:
         """fragment_id, content, score, highlight of the best ``size``: as :func:`search.text_search`; contents are read from the results' buckets alone."""

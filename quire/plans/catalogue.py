@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as text_functions
 from quire.modes import ENHANCED, LAMBDA, Mode
-from quire.operators import chunk, export, index, match, requests, search
+from quire.operators import chunk, export, index, match, requests, search, store
 from quire.plans.oracle import ORACLES
-from quire.sources import pages
+from quire.sources import pages, recognition
+from quire.sources.files import scratch
 from quire.sources.pages import page_blocks, page_lines, table
 
 GRID = Mode(grid=True)
@@ -303,10 +304,10 @@ def chunks_json_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(rows.select("item_id", "page", "chunk_no", F.from_json("json", kind).alias("c")).select("item_id", "page", "chunk_no", "c.*"))
 
 
-def envelopes_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _answers(rows: DataFrame) -> DataFrame:
     """What the JSON of envelopes says: the pages and number of chunks, the chunks' ids in order, and errors."""
     body = F.from_json("body", "processed_pages string, total_chunks int, chunks array<struct<fragment_id:string,content:string>>, error string")
-    rows = envelopes(spark, sf_dir).select("item_id", "status", body.alias("b"))
+    rows = rows.select("item_id", "status", body.alias("b"))
     none = F.lit("-")
     return rows.select(
         "item_id", "status", F.coalesce("b.processed_pages", none).alias("processed_pages"), F.coalesce("b.total_chunks", F.lit(-1)).alias("total_chunks"), F.coalesce(F.array_join("b.chunks.fragment_id", ","), none).alias("fragments"),
@@ -314,11 +315,95 @@ def envelopes_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def envelopes_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _answers(envelopes(spark, sf_dir))
+
+
+def envelope_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the answers itself."""
+    return envelopes(spark, sf_dir).select("item_id", "status", F.length("body").alias("length"), F.md5("body").alias("body_md5"))
+
+
+def _page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stand-in for page images: bytes that say what a model finds on a page. One page in 13 can't be read."""
+    lines, blocks = _lines(spark, sf_dir), _blocks(spark, sf_dir)
+    box = F.array("x1", "y1", "x2", "y2")
+    texts = lines.groupBy("item_id", "page").agg(F.array_sort(F.collect_list(F.struct("ocr_seq", "content", "ocr_confidence", box.alias("box")))).alias("l"))
+    found = blocks.groupBy("item_id", "page").agg(F.array_sort(F.collect_list(F.struct("block_idx", "label", "content", "confidence", box.alias("bbox")))).alias("blocks"))
+    broken = (F.col("item_id").cast("long") * 7 + F.col("page")) % 13 == 5
+    says = F.struct(broken.alias("broken"), F.col("l.content").alias("rec_texts"), F.col("l.ocr_confidence").alias("rec_scores"), F.col("l.box").alias("rec_boxes"), "blocks")
+    return texts.join(found, ["item_id", "page"], "left").select("item_id", "page", F.encode(F.to_json(says), "UTF-8").alias("png"))
+
+
+def _stand_in():
+    """Loads a model that reads what :func:`_page_images` wrote."""
+
+    def load():
+        import json
+
+        def predict(png: bytes) -> dict:
+            found = json.loads(png)
+            if found["broken"]:
+                raise ValueError("unreadable page")
+            return found
+
+        return predict
+
+    return load
+
+
+def _stand_in_layout():
+    load = _stand_in()
+    return lambda: lambda png: load()(png)["blocks"]
+
+
+def failed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers where models fail on some pages: status 500 for requests that ask for such a page, nothing of them in between, and whole results for all others."""
+    images = _page_images(spark, sf_dir)
+    read, laid = recognition.recognise(images, _stand_in()), recognition.analyse_layout(images, _stand_in_layout())
+    made = chunk.chunks(pages.ocr_lines(recognition.unfailed(read)), recognition.unfailed(laid), LAMBDA)
+    asked = requests.with_failures(requests.page_ranges(*_requests(spark, sf_dir)), recognition.failures(read, laid))
+    return _answers(requests.envelopes(asked, made))
+
+
+def subtree_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements and tokens below each heading."""
+    rows = match.subtrees(match.heading_tree(_elements(spark, sf_dir))).filter("level < 5")
+    return rows.select("item_id", "page", "id", "level", "elements", F.col("tokens").cast("long").alias("tokens"))
+
+
+def batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest documents of every fiftieth vector."""
+    asked = table(spark, sf_dir, "embeddings").filter("vec_id % 50 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.col("embedding").alias("query"))
+    return search.batch_search(document_index(spark, sf_dir), asked).select("query_id", "fragment_id", F.round("score", 6).alias("score"), "rank")
+
+
+def _changed_store(spark: SparkSession, sf_dir: str) -> store.Store:
+    """All documents in a store; then those without a vector come again with another text, and a page and a row go."""
+    kept, base = store.Store(spark, scratch(spark, "store"), 8, 8), document_index(spark, sf_dir)
+    kept.upsert(base)
+    kept.upsert(base.filter(index.lacks_vector()).select("fragment_id", F.concat(F.lit("New text of the "), "fragment_id").alias("content"), "metadata"))
+    kept.delete_page(3)
+    kept.delete("doc_7")
+    return kept
+
+
+def stored_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state(_changed_store(spark, sf_dir).frame())
+
+
+def stored_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text search by the postings of a store that was changed."""
+    found = _changed_store(spark, sf_dir).text_search(QUERY, SECTION)
+    return found.select("fragment_id", F.round("score", 6).alias("score"), F.length("highlight").alias("highlight_length"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         clean_text, clean_text_lambda, token_counts, quality_filter, classify_lines, reading_order, tree_children, semantic_chunks_enhanced, semantic_chunks_grid, semantic_chunks_lambda, flat_chunks, chunk_summary, page_range,
         invocation_status, semantic_search, filtered_search, text_search, hybrid_search, fetch_one, fetch_content, multi_get, pending_vectors, pending_count, bulk_upsert, add_vectors, update_content, delete_by_id, delete_by_page,
         delete_pending, chunks_json, envelopes, markdown, stored_lines, stored_blocks, filter_counts, preview, line_report, structure_boxes, insert_with_vectors, bulk_add_vectors, chunks_json_read, envelopes_read,
+        envelope_bodies, failed_items, subtree_totals, batch_search, stored_changes, stored_text_search,
     )
     return {f.__name__: f for f in plain} | {
         "spatial_match": _matched(ENHANCED), "spatial_match_grid": _matched(GRID), "heading_tree_enhanced": _tree(ENHANCED), "heading_tree_lambda": _tree(LAMBDA),

@@ -145,6 +145,39 @@ _CLASS = """CASE WHEN y2 - y1 > 25 AND length(content) < 100 THEN 'TITLE' WHEN y
       WHEN left(trim(content), 1) IN ('•', '-', '◦', '▪') OR left(trim(content), 2) IN ('1.', '2.', '3.', '4.', '5.') THEN 'LIST_ITEM'
       WHEN position('chapter' IN lower(content)) > 0 OR position('section' IN lower(content)) > 0 OR position('figure' IN lower(content)) > 0 THEN 'SECTION' WHEN length(content) < 50 THEN 'CAPTION' ELSE 'PARAGRAPH' END"""
 
+_CHANGED = _INDEX.replace("ix AS (", "ix0 AS (") + """,
+ix AS (SELECT fragment_id, CASE WHEN v IS NULL THEN 'New text of the ' || fragment_id ELSE content END AS content, page, primary_section, v FROM ix0 WHERE page <> 3 AND fragment_id <> 'doc_7')"""
+
+_FAILING = "CASE WHEN status = 200 AND EXISTS (SELECT 1 FROM lines l WHERE l.item_id = res.item_id AND l.page BETWEEN a AND z AND (l.item_id::BIGINT * 7 + l.page) % 13 = 5) THEN 500 ELSE status END"
+
+
+def _answered(status: str) -> str:
+    return f"""WITH r AS (SELECT row_number() OVER () AS nr, * FROM (WITH {_ASKED} SELECT item_id, {status} AS status, a, z FROM res)), c AS (SELECT * FROM ({_SEMANTIC_LAMBDA})),
+      g AS (SELECT r.nr, count(c.item_id)::INTEGER AS n, coalesce(string_agg(c.fragment_id, ',' ORDER BY c.page, c.chunk_no), '') AS ids, md5(coalesce(string_agg(c.content, '|' ORDER BY c.page, c.chunk_no), '')) AS texts
+            FROM r LEFT JOIN c ON c.item_id = r.item_id AND c.page BETWEEN r.a AND r.z WHERE r.status = 200 GROUP BY r.nr)
+      SELECT r.item_id, r.status::INTEGER AS status, CASE WHEN r.status = 200 THEN a || '-' || z ELSE '-' END AS processed_pages, coalesce(g.n, -1) AS total_chunks, coalesce(ids, '-') AS fragments, coalesce(texts, '-') AS contents_md5,
+        CASE r.status WHEN 200 THEN '-' WHEN 400 THEN 'item_id is required' WHEN 500 THEN 'unreadable page' ELSE 'Document ' || r.item_id || ' not found' END AS error
+      FROM r LEFT JOIN g USING (nr)"""
+
+
+def _json(text: str) -> str:
+    """A string as JSON in ASCII, a character at a time."""
+    one = "CASE WHEN unicode(x) < 127 THEN x WHEN unicode(x) < 65536 THEN printf('\\u%04x', unicode(x)) ELSE printf('\\u%04x', 55296 + (unicode(x) - 65536) // 1024) || printf('\\u%04x', 56320 + (unicode(x) - 65536) % 1024) END"
+    return f"array_to_string(list_transform(string_split(to_json({text})::VARCHAR, ''), lambda x: {one}), '')"
+
+
+#: Answers written by hand from the chunks' columns; numbers as the chunks have them before rounding.
+_BODIES = f"""WITH r AS (SELECT row_number() OVER () AS nr, * FROM (WITH {_ASKED} SELECT item_id, status, a, z FROM res)), c AS (SELECT * FROM ({_SEMANTIC_LAMBDA.replace("round(avg(ocr_confidence), 6) AS ocr_confidence", "list_reduce(list_prepend(0::DOUBLE, list(ocr_confidence ORDER BY nr)), lambda p, q: p + q) / count(*) AS ocr_confidence")})),
+  j AS (SELECT item_id, page, chunk_no, '{{"fragment_id": ' || {_json("fragment_id")} || ', "content": ' || {_json("content")} || ', "metadata": {{"item_id": ' || {_json("item_id")} || ', "page": ' || page || ', "type": "semantic_chunk", "section_titles": ['
+          || CASE WHEN section_titles = '' AND primary_section = '-' THEN '' ELSE array_to_string(list_transform(string_split(section_titles, chr(1)), lambda t: {_json("t")}), ', ') END || '], "primary_section": '
+          || CASE WHEN primary_section = '-' THEN 'null' ELSE {_json("primary_section")} END || ', "context_hierarchy": ' || CASE WHEN context_hierarchy = '-' THEN 'null' ELSE {_json("context_hierarchy")} END
+          || ', "bbox": [' || replace(bbox, ',', ', ') || '], "ocr_confidence": ' || ocr_confidence::VARCHAR || ', "elements_count": ' || elements_count || ', "token_count": ' || token_count
+          || ', "hierarchy_levels": [' || replace(hierarchy_levels, ',', ', ') || ']}}}}' AS t FROM c),
+  g AS (SELECT r.nr, count(j.item_id) AS n, coalesce(string_agg(t, ', ' ORDER BY j.page, j.chunk_no), '') AS ts FROM r LEFT JOIN j ON j.item_id = r.item_id AND j.page BETWEEN r.a AND r.z WHERE r.status = 200 GROUP BY r.nr),
+  b AS (SELECT r.item_id, r.status, CASE r.status WHEN 200 THEN '{{"item_id": ' || {_json("r.item_id")} || ', "processed_pages": "' || a || '-' || z || '", "total_chunks": ' || n || ', "chunks": [' || ts || ']}}'
+          WHEN 400 THEN '{{"error": "item_id is required"}}' ELSE '{{"error": ' || {_json("'Document ' || r.item_id || ' not found'")} || '}}' END AS body FROM r LEFT JOIN g USING (nr))
+SELECT item_id, status::INTEGER AS status, length(body)::INTEGER AS length, md5(body) AS body_md5 FROM b"""
+
 ORACLES: dict[str, str] = {
     "clean_text": f"WITH {_LINES} SELECT item_id, page, ocr_seq, {_cleaned(CORRECTIONS)} AS content FROM lines",
     "clean_text_lambda": f"WITH {_LINES} SELECT item_id, page, ocr_seq, {_cleaned(SHORT_CORRECTIONS)} AS content FROM lines",
@@ -202,10 +235,20 @@ ORACLES: dict[str, str] = {
     "insert_with_vectors": f"WITH {_INDEX} SELECT {_STATE} FROM ix UNION ALL SELECT 'copy_' || fragment_id, md5(content), 3, page FROM ix",
     "bulk_add_vectors": f"WITH {_INDEX} SELECT fragment_id, md5(content) AS content_md5, coalesce(len(v), 3)::INTEGER AS dims, page FROM ix",
     "chunks_json_read": _SEMANTIC_LAMBDA,
-    "envelopes_read": f"""WITH r AS (SELECT row_number() OVER () AS nr, * FROM (WITH {_ASKED} SELECT item_id, status, a, z FROM res)), c AS (SELECT * FROM ({_SEMANTIC_LAMBDA})),
-      g AS (SELECT r.nr, count(c.item_id)::INTEGER AS n, coalesce(string_agg(c.fragment_id, ',' ORDER BY c.page, c.chunk_no), '') AS ids, md5(coalesce(string_agg(c.content, '|' ORDER BY c.page, c.chunk_no), '')) AS texts
-            FROM r LEFT JOIN c ON c.item_id = r.item_id AND c.page BETWEEN r.a AND r.z WHERE r.status = 200 GROUP BY r.nr)
-      SELECT r.item_id, r.status::INTEGER AS status, CASE WHEN r.status = 200 THEN a || '-' || z ELSE '-' END AS processed_pages, coalesce(g.n, -1) AS total_chunks, coalesce(ids, '-') AS fragments, coalesce(texts, '-') AS contents_md5,
-        CASE r.status WHEN 200 THEN '-' WHEN 400 THEN 'item_id is required' ELSE 'Document ' || r.item_id || ' not found' END AS error
-      FROM r LEFT JOIN g USING (nr)""",
+    "envelopes_read": _answered("status"),
+    "failed_items": _answered(_FAILING),
+    "envelope_bodies": _BODIES,
+    "subtree_totals": f"""WITH RECURSIVE {_LINES}, {_BLOCKS}, {_elements()}, t AS ({_tree(True)}),
+      el2 AS (SELECT t.item_id, t.page, t.id, t.parent_id, {_tokens()} AS tokens FROM t JOIN ord o ON o.item_id = t.item_id AND o.page = t.page AND o.id = t.id),
+      up AS (SELECT item_id, page, id, tokens, parent_id AS of_id FROM el2
+             UNION ALL SELECT up.item_id, up.page, up.id, up.tokens, p.parent_id FROM up JOIN el2 p ON p.item_id = up.item_id AND p.page = up.page AND p.id = up.of_id),
+      sums AS (SELECT item_id, page, of_id AS id, count(*) AS elements, sum(tokens) AS tokens FROM up WHERE of_id >= 0 GROUP BY ALL)
+      SELECT t.item_id, t.page, t.id, t.level, coalesce(s.elements, 0)::INTEGER AS elements, coalesce(s.tokens, 0)::BIGINT AS tokens FROM t LEFT JOIN sums s ON s.item_id = t.item_id AND s.page = t.page AND s.id = t.id WHERE t.level < 5""",
+    "batch_search": f"""WITH {_INDEX}, q AS (SELECT vec_id::VARCHAR AS query_id, embedding::DOUBLE[] AS u FROM embeddings WHERE vec_id % 50 = 0),
+      s AS (SELECT query_id, fragment_id, round(list_cosine_similarity(u, v), 9) + 1 AS score FROM q, ix WHERE v IS NOT NULL)
+      SELECT query_id, fragment_id, round(score, 6) AS score, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, fragment_id))::INTEGER AS rank FROM s QUALIFY rank <= 5""",
+    "stored_changes": f"WITH {_CHANGED} SELECT {_STATE} FROM ix",
+    "stored_text_search": rf"""WITH {_CHANGED}, {_bm25("c", "content", ["the", "of", "and"])}, {_bm25("s", "primary_section", ["the"])}
+      SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter(regexp_split_to_array(lower(content), '[^\p{{L}}\p{{N}}]+'), lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
+      FROM c JOIN s USING (fragment_id) JOIN ix USING (fragment_id) ORDER BY round(c.score + s.score, 9) DESC, fragment_id LIMIT 10""",
 }
