@@ -167,7 +167,7 @@ def _json(text: str) -> str:
 
 
 #: Answers written by hand from the chunks' columns; numbers as the chunks have them before rounding.
-_BODIES = f"""WITH r AS (SELECT row_number() OVER () AS nr, * FROM (WITH {_ASKED} SELECT item_id, status, a, z FROM res)), c AS (SELECT * FROM ({_SEMANTIC_LAMBDA.replace("round(avg(ocr_confidence), 6) AS ocr_confidence", "list_reduce(list_prepend(0::DOUBLE, list(ocr_confidence ORDER BY nr)), lambda p, q: p + q) / count(*) AS ocr_confidence")})),
+_BODIES = f"""WITH r AS (SELECT row_number() OVER () AS nr, * FROM (WITH {_ASKED} SELECT item_id, status, a, z FROM res)), c AS (SELECT * FROM ({_SEMANTIC_LAMBDA.replace("round(avg(ocr_confidence), 6) AS ocr_confidence", "list_reduce(list_prepend(0::DOUBLE, list(ocr_confidence ORDER BY nr)), lambda p, q: p + q) / count(*) AS ocr_confidence").replace("'|' ORDER BY nr", "chr(1) ORDER BY nr")})),
   j AS (SELECT item_id, page, chunk_no, '{{"fragment_id": ' || {_json("fragment_id")} || ', "content": ' || {_json("content")} || ', "metadata": {{"item_id": ' || {_json("item_id")} || ', "page": ' || page || ', "type": "semantic_chunk", "section_titles": ['
           || CASE WHEN section_titles = '' AND primary_section = '-' THEN '' ELSE array_to_string(list_transform(string_split(section_titles, chr(1)), lambda t: {_json("t")}), ', ') END || '], "primary_section": '
           || CASE WHEN primary_section = '-' THEN 'null' ELSE {_json("primary_section")} END || ', "context_hierarchy": ' || CASE WHEN context_hierarchy = '-' THEN 'null' ELSE {_json("context_hierarchy")} END
