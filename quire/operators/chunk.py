@@ -91,8 +91,7 @@ def flat_chunks(elements: DataFrame) -> DataFrame:
 def chunks(lines: DataFrame, blocks: DataFrame, mode: Mode = Mode(), hierarchy: bool = True) -> DataFrame:
     """From recognised lines and layout blocks to chunks."""
     lines = lines.withColumn("content", cleaned("content", mode.corrections))
-    elements = match(lines, blocks, mode)
-    return semantic_chunks(elements, mode) if hierarchy else flat_chunks(elements)
+    return semantic_chunks(match(lines, blocks, mode), mode) if hierarchy else flat_chunks(lines)  # flat chunks say nothing of blocks
 
 
 def filter_counts(lines: DataFrame) -> DataFrame:

@@ -247,6 +247,9 @@ ORACLES: dict[str, str] = {
     "batch_search": f"""WITH {_INDEX}, q AS (SELECT vec_id::VARCHAR AS query_id, embedding::DOUBLE[] AS u FROM embeddings WHERE vec_id % 50 = 0),
       s AS (SELECT query_id, fragment_id, round(list_cosine_similarity(u, v), 9) + 1 AS score FROM q, ix WHERE v IS NOT NULL)
       SELECT query_id, fragment_id, round(score, 6) AS score, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, fragment_id))::INTEGER AS rank FROM s QUALIFY rank <= 5""",
+    "chunks_by_place": f"""WITH c AS (SELECT item_id, page, chunk_no, fragment_id, string_split(bbox, ',')::INTEGER[] AS b FROM ({_semantic(CORRECTIONS)})),
+      asked(box, ax1, ay1, ax2, ay2) AS (VALUES ('top', 0, 0, 600, 100), ('left column', 0, 300, 75, 420), ('foot', 100, 700, 560, 760), ('beside', 565, 0, 700, 800))
+      SELECT box, item_id, page, chunk_no, fragment_id, b[1] AS x1, b[2] AS y1, b[3] AS x2, b[4] AS y2 FROM c, asked WHERE least(b[3], ax2) > greatest(b[1], ax1) AND least(b[4], ay2) > greatest(b[2], ay1)""",
     "stored_changes": f"WITH {_CHANGED} SELECT {_STATE} FROM ix",
     "stored_text_search": rf"""WITH {_CHANGED}, {_bm25("c", "content", ["the", "of", "and"])}, {_bm25("s", "primary_section", ["the"])}
       SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter(regexp_split_to_array(lower(content), '[^\p{{L}}\p{{N}}]+'), lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
