@@ -152,8 +152,13 @@ def text_search(index: DataFrame, query: str, section: str | None = None, size:
 
 def hybrid_search(index: DataFrame, query_vector, query: str, alpha: float = 0.7, size: int = 10, boost_mode: str = "sum") -> DataFrame:
     """fragment_id, score: alpha * (cosine + 1) plus (1 - alpha) * BM25, a missing side adding 0. boost_mode "multiply": the text side squared."""
-    text = text_scores(index, query).withColumnRenamed("score", "text_score")
-    vectors = vector_scores(index, query_vector).select("fragment_id", F.col("score").alias("vector_score"))
+    return hybrid_of(vector_scores(index, query_vector), text_scores(index, query), alpha, size, boost_mode)
+
+
+def hybrid_of(vectors: DataFrame, text: DataFrame, alpha: float = 0.7, size: int = 10, boost_mode: str = "sum") -> DataFrame:
+    """:func:`hybrid_search` of the scores of both sides (fragment_id, score)."""
+    text = text.withColumnRenamed("score", "text_score")
+    vectors = vectors.select("fragment_id", F.col("score").alias("vector_score"))
     by_text = (1 - alpha) * F.coalesce("text_score", F.lit(0.0)) * (F.coalesce("text_score", F.lit(0.0)) if boost_mode == "multiply" else 1)
     both = vectors.join(text, "fragment_id", "full").select("fragment_id", (alpha * F.coalesce("vector_score", F.lit(0.0)) + by_text).alias("score"))
     return top(both, size)

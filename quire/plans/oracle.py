@@ -251,6 +251,8 @@ ORACLES: dict[str, str] = {
       asked(box, ax1, ay1, ax2, ay2) AS (VALUES ('top', 0, 0, 600, 100), ('left column', 0, 300, 75, 420), ('foot', 100, 700, 560, 760), ('beside', 565, 0, 700, 800))
       SELECT box, item_id, page, chunk_no, fragment_id, b[1] AS x1, b[2] AS y1, b[3] AS x2, b[4] AS y2 FROM c, asked WHERE least(b[3], ax2) > greatest(b[1], ax1) AND least(b[4], ay2) > greatest(b[2], ay1)""",
     "stored_changes": f"WITH {_CHANGED} SELECT {_STATE} FROM ix",
+    "stored_hybrid_search": f"""WITH {_CHANGED}, {_bm25("c", "content", ["the", "of", "and"])}, both_ AS (SELECT ix.fragment_id, 0.7::DOUBLE * coalesce({_COSINE}, 0) + 0.3::DOUBLE * coalesce(score, 0) AS s FROM ix LEFT JOIN c USING (fragment_id) WHERE v IS NOT NULL OR score IS NOT NULL)
+      SELECT fragment_id, round(s, 6) AS score FROM both_ ORDER BY round(s, 9) DESC, fragment_id LIMIT 10""",
     "stored_text_search": rf"""WITH {_CHANGED}, {_bm25("c", "content", ["the", "of", "and"])}, {_bm25("s", "primary_section", ["the"])}
       SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter(regexp_split_to_array(lower(content), '[^\p{{L}}\p{{N}}]+'), lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
       FROM c JOIN s USING (fragment_id) JOIN ix USING (fragment_id) ORDER BY round(c.score + s.score, 9) DESC, fragment_id LIMIT 10""",

@@ -68,6 +68,8 @@ def test_changes_are_those_of_the_plain_functions(spark, tmp_path):
     same(Store(spark, store.path, 99, 99).frame(), plain)  # opened again, with the buckets that it has
     assert store.tidy() > 0
     check(store, plain)
+    mixed = [{r[0]: round(r[1], 9) for r in f.collect()} for f in (store.hybrid_search([1.0, 2.0], "the many", size=50), search.hybrid_search(plain, [1.0, 2.0], "the many", size=50))]
+    assert mixed[0] == mixed[1] and mixed[0]
     found = store.text_search("the many", "head", 3).collect()
     assert [(r["fragment_id"], round(r["score"], 9), r["highlight"]) for r in found] == [(r["fragment_id"], round(r["score"], 9), r["highlight"]) for r in search.text_search(plain, "the many", "head", 3).collect()]
 
