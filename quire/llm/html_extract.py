@@ -19,6 +19,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import random
@@ -485,6 +486,7 @@ def is_main(node: Node) -> bool:
     return node.tag in ("#root", "html") or "@main" in node.tokens
 
 
+@functools.cache  # of the driver: a model for each set of parameters
 def trained(n_pages: int = 500, seed: int = 53) -> tuple[dict[str, float], Trees]:
     known = known_tokens(sample_pages(n_pages, seed + 1))
     x, y = [], []
