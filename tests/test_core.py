@@ -227,8 +227,8 @@ def test_failures_are_answers(spark):
     ranges = requests.page_ranges(asked, spark.createDataFrame([("a", 1)], "item_id string, pages int"))
     made = chunk.chunks(spark.createDataFrame([line(0, 'say "x" é', (50, 60, 200, 80))], LINE), spark.createDataFrame([], BLOCK))
     got = {r["item_id"]: r for r in requests.answered("a", lambda: requests.envelopes(ranges, made), spark).collect()}
-    assert got["a"]["status"] == 200 and '"processed_pages":"0-0","total_chunks":1' in got["a"]["body"] and 'say \\"x\\" é' in got["a"]["body"]
-    assert (got[""]["body"], got["zz"]["body"]) == ('{"error":"item_id is required"}', '{"error":"Document zz not found"}')
+    assert got["a"]["status"] == 200 and '"processed_pages": "0-0", "total_chunks": 1' in got["a"]["body"] and 'say \\"x\\" \\u00e9' in got["a"]["body"]
+    assert (got[""]["body"], got["zz"]["body"]) == ('{"error": "item_id is required"}', '{"error": "Document zz not found"}')
     broken = lambda: requests.envelopes(ranges, made.withColumn("page", F.expr("raise_error('no pages')").cast("int")))
     row = requests.answered("a", broken, spark).first()
     assert row["status"] == 500 and "no pages" in row["body"]
