@@ -98,9 +98,54 @@ def label_colour(label: Column | str) -> Column:
     return out
 
 
+# Word-break classes. Fixed values.
+_EXTEND = r"[\p{M}\p{Cf}]*+"
+_LETTERS = rf"(?:[\p{{L}}\p{{Nl}}&&[^\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\u30fc\uff70]]{_EXTEND})++"
+_DIGITS = rf"(?:\p{{Nd}}{_EXTEND})++"
+_BOTH = r".'\u2018\u2019\u2024\ufe52\uff07\uff0e"
+_IN_WORDS = rf"[{_BOTH}:\u00b7\u0387\u2027\ufe55\uff1a]{_EXTEND}"
+_IN_NUMBERS = rf"[{_BOTH},;\u060c\u066c\ufe50\ufe54\uff0c\uff1b]{_EXTEND}"
+_WORD = rf"(?:(?<!_)_++)?+(?:(?:{_LETTERS}(?:{_IN_WORDS}{_LETTERS})*+|{_DIGITS}(?:{_IN_NUMBERS}{_DIGITS})*+)_*+)++|[\p{{IsHan}}\p{{IsHiragana}}]{_EXTEND}|(?:[\p{{IsKatakana}}\u30fc\uff70]{_EXTEND})++"
+_PIECE = rf"{_WORD}|[^\p{{L}}\p{{Nl}}\p{{Nd}}_]++|_++|(?s:.)"
+
+
 def terms(text: Column | str) -> Column:
-    """Lower-case terms of letters and digits, in order."""
-    return F.array_remove(F.split(F.lower(_col(text)), r"[^\p{L}\p{N}]+"), "")
+    """Lower-case words in order, by the Unicode rules of word breaks.
+
+    Letters go on over a point, colon or apostrophe between letters, digits over a point or comma between digits, both over ``_``; every Han or Hiragana
+    character is a word, a run of Katakana is one. Scripts that need a dictionary (Thai, Khmer) give whole runs; emoji are no words. Null gives null.
+    """
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(_WORD), F.lit(0))
+
+
+def marked(text: Column, wanted: list[str]) -> Column:
+    """The text with ``wanted`` terms in <em> marks."""
+    is_wanted = lambda x: F.lower(x).isin(*wanted)
+    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x: F.when(is_wanted(x), F.concat(F.lit("<em>"), x, F.lit("</em>"))).otherwise(x)), "") if wanted else text
+
+
+def passages(text: Column, size: int) -> Column:
+    """Sentences (they end with a line, or with a stop before white space), cut where needed into stretches of at most ``size`` characters:
+    at white space, or within a word that is longer than that."""
+    sentences = F.split(text, r"\n+|(?<=[.!?\u2026\u3002\uff01\uff1f])\s+")
+    cut = rf"\S(?:.{{0,{size - 2}}}\S)?(?!\S)|\S{{1,{size}}}"
+    return F.flatten(F.transform(sentences, lambda s: F.regexp_extract_all(s, F.lit(cut), F.lit(0))))
+
+
+def best_passages(text: Column, wanted: list[str], size: int, number: int) -> Column:
+    """Up to ``number`` passages that hold a wanted term, in the text's order, with their terms marked: those of most different terms, then of most terms, then the earliest."""
+
+    def rated(passage: Column, place: Column) -> Column:
+        found = F.filter(terms(passage), lambda t: t.isin(*wanted))
+        return F.struct((-F.size(F.array_distinct(found))).alias("kinds"), (-F.size(found)).alias("terms"), place.alias("place"), passage.alias("passage"))
+
+    if not wanted:
+        return F.array().cast("array<string>")
+    rows = F.filter(F.transform(passages(text, size), rated), lambda r: r["terms"] < 0)
+    best = F.slice(F.array_sort(rows), 1, number)
+    in_order = F.array_sort(F.transform(best, lambda r: F.struct(r["place"].alias("place"), r["passage"].alias("passage"))))
+    return F.transform(in_order, lambda r: marked(r["passage"], wanted))
 
 
 def image_scale(width: Column | str, height: Column | str) -> Column:

@@ -7,10 +7,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.functions.text import terms
+from quire.functions.text import best_passages, marked, terms
 from quire.modes import MIN_CONFIDENCE
 
 K1, B = 1.2, 0.75
@@ -123,31 +123,33 @@ def text_scores(index: DataFrame, query: str, field: Column | str = "content", k
 
 
 def terms_of(query: str) -> list[str]:
-    out, word = [], []
-    for c in query.lower() + " ":
-        if c.isalnum():
-            word.append(c)
-        elif word:
-            out.append("".join(word))
-            word = []
-    return out
+    """The query's own terms, by the same expression as those of texts."""
+    return SparkSession.active().sql("SELECT 1").select(terms(F.lit(query))).first()[0]  # folded when planned: no job
 
 
 def highlighted(text: Column | str, query: str) -> Column:
     """The text with the query's terms in <em> marks."""
-    wanted = terms_of(query)
-    text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_replace(text, rf"(?iu)(?<![\p{{L}}\p{{N}}])({'|'.join(wanted)})(?![\p{{L}}\p{{N}}])", "<em>$1</em>") if wanted else text
+    return marked(F.col(text) if isinstance(text, str) else text, sorted(set(terms_of(query))))
+
+
+def highlight_fragments(text: Column | str, query: str, size: int = 100, number: int = 5) -> Column:
+    """The best passages for the query, as :func:`quire.functions.text.best_passages` says; empty if no term is in the text, null if there is none."""
+    return best_passages(F.col(text) if isinstance(text, str) else text, sorted(set(terms_of(query))), size, number)
+
+
+def with_highlights(rows: DataFrame, query: str) -> DataFrame:
+    """Rows with ``highlight``, the whole content with marks, and ``fragments``, its best passages."""
+    return rows.withColumn("highlight", highlighted("content", query)).withColumn("fragments", highlight_fragments("content", query))
 
 
 def text_search(index: DataFrame, query: str, section: str | None = None, size: int = 10) -> DataFrame:
-    """fragment_id, content, score, highlight. With ``section``, the primary section must match too, and its score adds."""
+    """fragment_id, content, score, highlight, fragments. With ``section``, the primary section must match too, and its score adds."""
     scores = text_scores(index, query)
     if section:
         more = text_scores(index, section, F.col("metadata.primary_section")).withColumnRenamed("score", "more")
         scores = scores.join(more, "fragment_id").select("fragment_id", (F.col("score") + F.col("more")).alias("score"))
     found = top(scores, size)
-    return top(index.select("fragment_id", "content").join(F.broadcast(found), "fragment_id").withColumn("highlight", highlighted("content", query)), size)  # ``size`` rows
+    return top(with_highlights(index.select("fragment_id", "content").join(F.broadcast(found), "fragment_id"), query), size)  # ``size`` rows
 
 
 def hybrid_search(index: DataFrame, query_vector, query: str, alpha: float = 0.7, size: int = 10, boost_mode: str = "sum") -> DataFrame:

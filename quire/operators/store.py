@@ -216,7 +216,7 @@ class Store:
         best = search.top(scores, size).collect()
         found = self.spark.createDataFrame(best, "fragment_id string, score double")
         rows = self.fetch_all([r["fragment_id"] for r in best]).select("fragment_id", "content").join(F.broadcast(found), "fragment_id")  # ``size`` rows
-        return search.top(rows.withColumn("highlight", search.highlighted("content", query)), size)
+        return search.top(search.with_highlights(rows, query), size)
 
     def hybrid_search(self, query_vector, query: str, alpha: float = 0.7, size: int = 10, boost_mode: str = "sum") -> DataFrame:
         """fragment_id, score: as :func:`search.hybrid_search`, the text side from the query's postings."""

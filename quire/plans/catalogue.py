@@ -165,6 +165,12 @@ def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.text_search(document_index(spark, sf_dir), QUERY, SECTION).select("fragment_id", F.round("score", 6).alias("score"), F.length("highlight").alias("highlight_length"))
 
 
+def highlights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with the query's terms marked, and its best passages."""
+    rows = search.with_highlights(document_index(spark, sf_dir).filter("content IS NOT NULL"), QUERY)
+    return rows.select("fragment_id", F.array_join("fragments", " | ").alias("fragments"), F.md5("highlight").alias("highlight_md5"))
+
+
 def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(search.hybrid_search(document_index(spark, sf_dir), _query_vector(spark, sf_dir), QUERY))
 
@@ -418,7 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         clean_text, clean_text_lambda, token_counts, quality_filter, classify_lines, reading_order, tree_children, semantic_chunks_enhanced, semantic_chunks_grid, semantic_chunks_lambda, flat_chunks, chunk_summary, page_range,
         invocation_status, semantic_search, filtered_search, text_search, hybrid_search, fetch_one, fetch_content, multi_get, pending_vectors, pending_count, bulk_upsert, add_vectors, update_content, delete_by_id, delete_by_page,
         delete_pending, chunks_json, envelopes, markdown, stored_lines, stored_blocks, filter_counts, preview, line_report, structure_boxes, insert_with_vectors, bulk_add_vectors, chunks_json_read, envelopes_read,
-        envelope_bodies, failed_items, subtree_totals, batch_search, stored_changes, stored_text_search, stored_hybrid_search, chunks_by_place,
+        envelope_bodies, failed_items, subtree_totals, batch_search, stored_changes, stored_text_search, stored_hybrid_search, chunks_by_place, highlights,
     )
     return {f.__name__: f for f in plain} | {
         "spatial_match": _matched(ENHANCED), "spatial_match_grid": _matched(GRID), "heading_tree_enhanced": _tree(ENHANCED), "heading_tree_lambda": _tree(LAMBDA),

@@ -128,10 +128,32 @@ ix AS (SELECT d.doc_id, 'doc_' || d.doc_id AS fragment_id, d.text AS content, (d
 _COSINE = "list_cosine_similarity(v, (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)) + 1"
 
 
+#: A character that marks a point, colon, apostrophe or comma as one within a word or number.
+_IN = "chr(57344)"
+_CHAR = r"\p{L}\p{Nl}\p{Nd}_"
+
+
+def _joined(text: str) -> str:
+    """The text with :data:`_IN` before what stands between two letters or two digits; twice, as neighbours share a character."""
+    for kind, between in (("[\\p{L}\\p{Nl}]", ".:·''’"), ("\\p{Nd}", ".,;''’")) * 2:
+        text = f"regexp_replace({text}, '({kind})([{between}])({kind})', '\\1' || {_IN} || '\\2\\3', 'g')"
+    return text
+
+
+def _terms(text: str) -> str:
+    return f"list_transform(regexp_extract_all({_joined(f'lower({text})')}, '(?:[{_CHAR}]|' || {_IN} || '.)*[\\p{{L}}\\p{{Nl}}\\p{{Nd}}]_*'), lambda x: replace(x, {_IN}, ''))"
+
+
+def _marked(text: str, wanted: str) -> str:
+    pieces = f"regexp_extract_all({_joined(text)}, '(?:[{_CHAR}]|' || {_IN} || '.)+|[^{_CHAR}' || {_IN} || ']+')"
+    plain = f"replace(x, {_IN}, '')"
+    return f"array_to_string(list_transform({pieces}, lambda x: CASE WHEN lower({plain}) IN ({wanted}) THEN '<em>' || {plain} || '</em>' ELSE {plain} END), '')"
+
+
 def _bm25(name: str, field: str, words: list[str]) -> str:
     quoted = ", ".join(f"'{w}'" for w in words)
     return rf"""
-{name}_t AS (SELECT fragment_id, unnest(list_filter(regexp_split_to_array(lower({field}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS t FROM ix),
+{name}_t AS (SELECT fragment_id, unnest({_terms(field)}) AS t FROM ix),
 {name}_l AS (SELECT fragment_id, count(*) AS n FROM {name}_t GROUP BY fragment_id),
 {name}_f AS (SELECT fragment_id, t, count(*) AS tf FROM {name}_t WHERE t IN ({quoted}) GROUP BY ALL),
 {name}_d AS (SELECT t, count(*) AS df FROM {name}_f GROUP BY t),
@@ -200,7 +222,7 @@ ORACLES: dict[str, str] = {
     "semantic_search": f"WITH {_INDEX} SELECT fragment_id, round({_COSINE}, 6) AS score FROM ix WHERE v IS NOT NULL ORDER BY {_COSINE} DESC, fragment_id LIMIT 5",
     "filtered_search": f"WITH {_INDEX} SELECT fragment_id, round({_COSINE}, 6) AS score FROM ix WHERE v IS NOT NULL AND page = 3 AND ocr_confidence >= 0.85::DOUBLE ORDER BY {_COSINE} DESC, fragment_id LIMIT 5",
     "text_search": rf"""WITH {_INDEX}, {_bm25("c", "content", ["the", "of", "and"])}, {_bm25("s", "primary_section", ["the"])}
-      SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter(regexp_split_to_array(lower(content), '[^\p{{L}}\p{{N}}]+'), lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
+      SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter({_terms("content")}, lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
       FROM c JOIN s USING (fragment_id) JOIN ix USING (fragment_id) ORDER BY c.score + s.score DESC, fragment_id LIMIT 10""",
     "hybrid_search": f"""WITH {_INDEX}, {_bm25("c", "content", ["the", "of", "and"])}, both_ AS (SELECT ix.fragment_id, 0.7::DOUBLE * coalesce({_COSINE}, 0) + 0.3::DOUBLE * coalesce(score, 0) AS s FROM ix LEFT JOIN c USING (fragment_id) WHERE v IS NOT NULL OR score IS NOT NULL)
       SELECT fragment_id, round(s, 6) AS score FROM both_ ORDER BY s DESC, fragment_id LIMIT 10""",
@@ -253,7 +275,14 @@ ORACLES: dict[str, str] = {
     "stored_changes": f"WITH {_CHANGED} SELECT {_STATE} FROM ix",
     "stored_hybrid_search": f"""WITH {_CHANGED}, {_bm25("c", "content", ["the", "of", "and"])}, both_ AS (SELECT ix.fragment_id, 0.7::DOUBLE * coalesce({_COSINE}, 0) + 0.3::DOUBLE * coalesce(score, 0) AS s FROM ix LEFT JOIN c USING (fragment_id) WHERE v IS NOT NULL OR score IS NOT NULL)
       SELECT fragment_id, round(s, 6) AS score FROM both_ ORDER BY round(s, 9) DESC, fragment_id LIMIT 10""",
+    "highlights": rf"""WITH {_INDEX},
+cut AS (SELECT fragment_id, unnest(ps) AS passage, generate_subscripts(ps, 1) AS place FROM (
+          SELECT fragment_id, flatten(list_transform(string_split_regex(regexp_replace(content, '([.!?…。！？])\s+', '\1' || chr(10), 'g'), '\n+'), lambda s: list_transform(regexp_extract_all(s, '\S(?:.{{0,98}}\S)?(?:\s|$)|\S{{1,100}}'), lambda p: trim(p)))) AS ps FROM ix)),
+rated AS (SELECT *, list_filter({_terms("passage")}, lambda x: x IN ('the', 'of', 'and')) AS found FROM cut),
+best AS (SELECT * FROM rated WHERE len(found) > 0 QUALIFY row_number() OVER (PARTITION BY fragment_id ORDER BY len(list_distinct(found)) DESC, len(found) DESC, place) <= 5),
+joined AS (SELECT fragment_id, string_agg({_marked("passage", "'the', 'of', 'and'")}, ' | ' ORDER BY place) AS fragments FROM best GROUP BY fragment_id)
+      SELECT fragment_id, coalesce(fragments, '') AS fragments, md5({_marked("content", "'the', 'of', 'and'")}) AS highlight_md5 FROM ix LEFT JOIN joined USING (fragment_id) WHERE content IS NOT NULL""",
     "stored_text_search": rf"""WITH {_CHANGED}, {_bm25("c", "content", ["the", "of", "and"])}, {_bm25("s", "primary_section", ["the"])}
-      SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter(regexp_split_to_array(lower(content), '[^\p{{L}}\p{{N}}]+'), lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
+      SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter({_terms("content")}, lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
       FROM c JOIN s USING (fragment_id) JOIN ix USING (fragment_id) ORDER BY round(c.score + s.score, 9) DESC, fragment_id LIMIT 10""",
 }
