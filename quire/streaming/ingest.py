@@ -60,7 +60,7 @@ class VersionedIndex:
         return True
 
 
-def _query_id(spark: SparkSession, checkpoint: str | None) -> str | None:
+def query_id(spark: SparkSession, checkpoint: str | None) -> str | None:
     """The id that a stream keeps in its checkpoint."""
     if not checkpoint:
         return None
@@ -73,7 +73,7 @@ def ingest(spark: SparkSession, source: str, target: VersionedIndex | Store, mod
 
     def put(batch: DataFrame, number: int) -> None:
         rows = page_chunks(batch, mode).withColumn("place", F.struct("item_id", "page", "chunk_no")).select("fragment_id", "content", "metadata", "place")
-        name = _query_id(spark, checkpoint)
+        name = query_id(spark, checkpoint)
         target.put(rows, "place", (name, number) if name else None)  # of chunks of one id the last by place
 
     writer = stream.writeStream.foreachBatch(put).trigger(availableNow=True)
