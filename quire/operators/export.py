@@ -39,3 +39,9 @@ def markdown(tree: DataFrame) -> DataFrame:
     line = F.when(F.col("level") < 5, F.concat(F.repeat(F.lit("#"), F.col("level")), F.lit(" "), "content")).otherwise(F.col("content"))
     rows = tree.groupBy("item_id", "page").agg(F.array_sort(F.collect_list(F.struct("id", line.alias("line")))).alias("xs"))
     return rows.select("item_id", "page", F.expr("array_join(transform(xs, x -> x.line), '\\n\\n')").alias("markdown"))
+
+
+def document_markdown(tree: DataFrame, separator: str = "---") -> DataFrame:
+    """item_id, markdown: an item's pages in order, with a separator line between pages. Pages without elements are not there."""
+    pages = markdown(tree).groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("page", "markdown"))).alias("pages"))  # one item's text
+    return pages.select("item_id", F.array_join("pages.markdown", f"\n\n{separator}\n\n").alias("markdown"))

@@ -246,6 +246,10 @@ def markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.markdown(match.heading_tree(_elements(spark, sf_dir)))
 
 
+def document_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.document_markdown(match.heading_tree(_elements(spark, sf_dir)))
+
+
 def _stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of recognition results for each document: texts, scores and boxes of unequal numbers, and some pages without texts."""
     xs = F.split("text", "\n")
@@ -424,7 +428,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         clean_text, clean_text_lambda, token_counts, quality_filter, classify_lines, reading_order, tree_children, semantic_chunks_enhanced, semantic_chunks_grid, semantic_chunks_lambda, flat_chunks, chunk_summary, page_range,
         invocation_status, semantic_search, filtered_search, text_search, hybrid_search, fetch_one, fetch_content, multi_get, pending_vectors, pending_count, bulk_upsert, add_vectors, update_content, delete_by_id, delete_by_page,
         delete_pending, chunks_json, envelopes, markdown, stored_lines, stored_blocks, filter_counts, preview, line_report, structure_boxes, insert_with_vectors, bulk_add_vectors, chunks_json_read, envelopes_read,
-        envelope_bodies, failed_items, subtree_totals, batch_search, stored_changes, stored_text_search, stored_hybrid_search, chunks_by_place, highlights,
+        envelope_bodies, failed_items, subtree_totals, batch_search, stored_changes, stored_text_search, stored_hybrid_search, chunks_by_place, highlights, document_markdown,
     )
     return {f.__name__: f for f in plain} | {
         "spatial_match": _matched(ENHANCED), "spatial_match_grid": _matched(GRID), "heading_tree_enhanced": _tree(ENHANCED), "heading_tree_lambda": _tree(LAMBDA),

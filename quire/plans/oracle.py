@@ -286,3 +286,6 @@ joined AS (SELECT fragment_id, string_agg({_marked("passage", "'the', 'of', 'and
       SELECT fragment_id, round(c.score + s.score, 6) AS score, (length(content) + 9 * len(list_filter({_terms("content")}, lambda x: x IN ('the', 'of', 'and'))))::INTEGER AS highlight_length
       FROM c JOIN s USING (fragment_id) JOIN ix USING (fragment_id) ORDER BY round(c.score + s.score, 9) DESC, fragment_id LIMIT 10""",
 }
+
+# Page by page as above, then the pages of each item.
+ORACLES["document_markdown"] = f"""SELECT item_id, string_agg(markdown, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY page) AS markdown FROM ({ORACLES["markdown"]}) GROUP BY item_id"""
