@@ -136,13 +136,15 @@ def passages(text: Column, size: int) -> Column:
 def best_passages(text: Column, wanted: list[str], size: int, number: int) -> Column:
     """Up to ``number`` passages that hold a wanted term, in the text's order, with their terms marked: those of most different terms, then of most terms, then the earliest."""
 
-    def rated(passage: Column, place: Column) -> Column:
-        found = F.filter(terms(passage), lambda t: t.isin(*wanted))
-        return F.struct((-F.size(F.array_distinct(found))).alias("kinds"), (-F.size(found)).alias("terms"), place.alias("place"), passage.alias("passage"))
+    def found(passage: Column, place: Column) -> Column:
+        return F.struct(F.filter(terms(passage), lambda t: t.isin(*wanted)).alias("found"), place.alias("place"), passage.alias("passage"))
+
+    def rated(r: Column) -> Column:
+        return F.struct((-F.size(F.array_distinct(r["found"]))).alias("kinds"), (-F.size(r["found"])).alias("terms"), r["place"].alias("place"), r["passage"].alias("passage"))
 
     if not wanted:
         return F.array().cast("array<string>")
-    rows = F.filter(F.transform(passages(text, size), rated), lambda r: r["terms"] < 0)
+    rows = F.filter(F.transform(F.transform(passages(text, size), found), rated), lambda r: r["terms"] < 0)  # words are taken once
     best = F.slice(F.array_sort(rows), 1, number)
     in_order = F.array_sort(F.transform(best, lambda r: F.struct(r["place"].alias("place"), r["passage"].alias("passage"))))
     return F.transform(in_order, lambda r: marked(r["passage"], wanted))
