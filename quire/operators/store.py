@@ -1,7 +1,8 @@
 """An index of chunks on disk in buckets, with an inverted index of its texts: a change rewrites its own buckets alone, a text query reads its own terms' alone.
 
-Rows are in ``buckets`` parts by a hash of fragment_id. Beside them stand postings (field, term, fragment_id, tf, len) in
-parts by bucket and by a hash of the term, and each bucket's totals. A change writes the buckets that it touches to a
+Rows are in ``buckets`` parts by a hash of fragment_id. Beside them stand postings in parts by bucket and by a hash of the
+term, and each bucket's totals. A row of postings has a term and its documents (fragment_ids, tfs, lens) within a batch of rows; postings are made
+where their rows were written, without a shuffle. A change moves each row once and its shuffle files go when it is written. It writes the buckets that it touches to a
 folder of its own (change=...), then a version file that says which folder each bucket has; the
 version file counts from the moment it has its name, so readers never see half a change and a driver that dies leaves none.
 Two writers can't take the same version number: the later one fails, and may try again.
@@ -17,9 +18,13 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire import schemas
@@ -28,20 +33,67 @@ from quire.operators import index, search
 from quire.sources.files import file_system
 
 FIELDS = {"content": "content", "primary_section": "metadata.primary_section"}
-_POSTINGS = "field string, term string, fragment_id string, tf int, len int, change string, bucket int, term_bucket int"
+_BLOCK = "field string, term string, fragment_ids array<string>, tfs array<int>, lens array<int>"
+_POSTINGS = f"{_BLOCK}, change string, bucket int, term_bucket int"
 _TOTALS = "field string, n bigint, words bigint, change string, bucket int"
+#: Of files, as they are read: a store of another layout is refused.
+LAYOUT = 2
+#: A bucket of more rows is dealt to several tasks.
+ROWS_A_TASK = 10_000
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _part(name: Column | str, parts: int) -> Column:
     return (F.crc32(F.encode(name, "UTF-8")) % parts).cast("int")
 
 
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run meanwhile go at its end, not at some later collection of the driver's garbage."""
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN, before) if before is not None else spark.conf.unset(_CLEAN)
+
+
+def _inverted(fields: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Postings of batches (bucket, fragment_id, and a list of terms for each field). The term "" has all documents with any term, once each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, buckets = batch.column("fragment_id"), batch.column("bucket").to_numpy(zero_copy_only=False)
+            for field in fields:
+                lists = batch.column(field)
+                lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+                coded = pa.concat_arrays([lists.flatten(), pa.array([""] * int((lengths > 0).sum()), pa.string())]).dictionary_encode()
+                words, rows = coded.dictionary, np.append(np.repeat(np.arange(len(batch)), lengths), np.flatnonzero(lengths > 0))
+                if not len(rows):
+                    continue
+                # one number for each bucket, term and row; in their order, equal ones side by side
+                key = (buckets[rows].astype(np.int64) * len(words) + coded.indices.to_numpy(zero_copy_only=False)) * len(batch) + rows
+                key, tf = np.unique(key, return_counts=True)
+                row, group = key % len(batch), key // len(batch)
+                starts = np.flatnonzero(np.diff(group, prepend=-1))
+                docs = (ids.take(pa.array(row)), pa.array(tf.astype(np.int32)), pa.array(lengths[row].astype(np.int32)))
+                own, ends = group[starts], pa.array(np.append(starts, len(row)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((own // len(words)).astype(np.int32)), pa.array([field] * len(own)), words.take(pa.array(own % len(words))), *[pa.ListArray.from_arrays(ends, x) for x in docs]],
+                    ["bucket", "field", "term", "fragment_ids", "tfs", "lens"],
+                )
+
+    return run
+
+
 class Store:
     """A store under ``path``. An existing one keeps the numbers of buckets that it was made with."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, term_buckets: int = 32):
         self.spark, self.path = spark, path
         state = self._state()
+        if state and state.get("layout") != LAYOUT:
+            raise ValueError(f"the store under {path} has another layout of files: write its rows to a new one")
         self.buckets, self.term_buckets = state["shape"] if state else (buckets, term_buckets)
 
     # Versions
@@ -98,42 +150,64 @@ class Store:
 
     # Changes
 
-    def _touched(self, ids: DataFrame) -> list[int]:
-        """Buckets of a frame's fragment_ids."""
-        return sorted(r[0] for r in ids.filter("fragment_id is not null").select(_part("fragment_id", self.buckets)).distinct().collect())
+    def _touched(self, ids: DataFrame) -> dict[int, int]:
+        """Buckets of a frame's fragment_ids, with their numbers of rows."""
+        return {r["bucket"]: r["count"] for r in ids.filter("fragment_id is not null").groupBy(_part("fragment_id", self.buckets).alias("bucket")).count().collect()}
 
     def change(self, ids: DataFrame, how: Callable[[DataFrame], DataFrame], batch: tuple[str, int] | None = None) -> bool:
         """Rewrites the buckets of ``ids`` (fragment_id) as ``how`` makes them of their rows. False for a batch that was there before."""
+        return self._change(ids, lambda old, placed: placed(how(old)), batch)
+
+    def _change(self, ids: DataFrame, how: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], DataFrame], batch: tuple[str, int] | None) -> bool:
+        """:meth:`change`, where ``how`` gets the old rows and a function that deals rows out by bucket, and returns rows dealt out."""
         state = self._state() or {"number": -1, "shape": [self.buckets, self.term_buckets], "folders": {}, "batches": {}}
         if batch and state["batches"].get(batch[0], -1) >= batch[1]:
             return False
-        touched = self._touched(ids)
+        counts = self._touched(ids)
+        touched = sorted(counts)
         name = f"{state['number'] + 1:012d}-{uuid.uuid4().hex}"
         folders = dict(state["folders"])
         if touched:
-            new = how(self.rows(touched)).filter("fragment_id is not null")
-            new = new.withColumn("bucket", _part("fragment_id", self.buckets)).filter(F.col("bucket").isin(touched))
-            self._write(new.repartition(len(touched), "bucket"), "rows", name, "bucket")
-            own = self.spark.read.schema(f"{schemas.INDEX}, change string, bucket int").parquet(f"{self.path}/rows").filter((F.col("change") == name) & F.col("bucket").isin(touched))
-            self._write_terms(own, name, len(touched))
+            old = self.rows(touched)
+            slices = 1 + (sum(counts.values()) + old.count()) // (len(touched) * ROWS_A_TASK)
+
+            def placed(rows: DataFrame) -> DataFrame:
+                rows = rows.filter("fragment_id is not null").withColumn("bucket", _part("fragment_id", self.buckets)).filter(F.col("bucket").isin(touched))
+                return rows.withColumn("_slice", F.pmod(F.xxhash64("fragment_id"), F.lit(slices))).repartition(len(touched) * slices, "bucket", "_slice")
+
+            with _cleaned(self.spark):
+                self._write(how(old, placed).drop("_slice"), "rows", name, "bucket")
+                own = self.spark.read.schema(f"{schemas.INDEX}, change string, bucket int").parquet(f"{self.path}/rows").filter((F.col("change") == name) & F.col("bucket").isin(touched))
+                self._write_terms(own, name)
             folders |= {str(k): name for k in touched}
-        self._publish({"number": state["number"] + 1, "shape": [self.buckets, self.term_buckets], "folders": folders, "batches": state["batches"] | ({batch[0]: batch[1]} if batch else {})})
+        self._publish({"number": state["number"] + 1, "shape": [self.buckets, self.term_buckets], "layout": LAYOUT, "folders": folders, "batches": state["batches"] | ({batch[0]: batch[1]} if batch else {})})
         return True
 
     def _write(self, rows: DataFrame, kind: str, change: str, *parts: str) -> None:
-        rows.withColumn("change", F.lit(change)).write.mode("append").partitionBy("change", *parts).parquet(f"{self.path}/{kind}")
+        rows.write.mode("append").option("compression", "zstd").partitionBy(*parts).parquet(f"{self.path}/{kind}/change={change}")
 
-    def _write_terms(self, rows: DataFrame, change: str, parts: int) -> None:
-        lists = F.array(*[F.struct(F.lit(name).alias("field"), terms(F.coalesce(F.col(column), F.lit(""))).alias("ts")) for name, column in FIELDS.items()])
-        lists = rows.select("bucket", "fragment_id", F.explode(lists).alias("x")).select("bucket", "fragment_id", "x.field", "x.ts", F.size("x.ts").alias("len")).filter("len > 0")
-        found = lists.select("bucket", "fragment_id", "field", "len", F.explode("ts").alias("term")).groupBy("bucket", "fragment_id", "field", "term", "len").agg(F.count("*").cast("int").alias("tf"))
+    def _write_terms(self, rows: DataFrame, change: str) -> None:
+        lists = [terms(F.coalesce(F.col(column), F.lit(""))).alias(name) for name, column in FIELDS.items()]
+        found = rows.select("bucket", "fragment_id", *lists).mapInArrow(_inverted(list(FIELDS)), f"bucket int, {_BLOCK}")
         found = found.withColumn("term_bucket", _part("term", self.term_buckets))
-        self._write(found.repartition(parts, "bucket").sortWithinPartitions("bucket", "term_bucket", "field", "term"), "postings", change, "bucket", "term_bucket")
-        totals = lists.groupBy("bucket", "field").agg(F.count("*").alias("n"), F.sum("len").alias("words"))
+        self._write(found.sortWithinPartitions("bucket", "term_bucket", "field", "term"), "postings", change, "bucket", "term_bucket")
+        own = self.spark.read.schema(_POSTINGS).parquet(f"{self.path}/postings").filter((F.col("change") == change) & (F.col("term_bucket") == 0) & (F.col("term") == ""))
+        totals = own.select("bucket", "field", F.explode("lens").alias("len")).groupBy("bucket", "field").agg(F.count("*").alias("n"), F.sum("len").alias("words"))
         self._write(totals.coalesce(1), "totals", change, "bucket")  # two rows a bucket
 
     def upsert(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None) -> bool:
-        return self.change(rows, lambda old: index.upsert(old, rows, order), batch)
+        """As :func:`index.upsert`; new rows and old ones meet in their buckets, so that texts are moved once."""
+        if "embeddings" not in rows.columns:
+            rows = rows.withColumn("embeddings", F.lit(None).cast("array<float>"))
+        names = [f.name for f in index.empty(self.spark).schema]
+        new = rows.select(*names, F.struct(F.lit(1).alias("new"), (F.col(order) if order else F.lit(0)).alias("order"), F.xxhash64(*rows.columns).alias("hash")).alias("_rank"))
+        newest = Window.partitionBy("bucket", "_slice", "fragment_id").orderBy(F.desc("_rank"))
+
+        def merged(old: DataFrame, placed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            old = old.select(*names, F.lit(None).cast(new.schema["_rank"].dataType).alias("_rank"))  # after all new ones
+            return placed(old.unionByName(new)).withColumn("_nr", F.row_number().over(newest)).filter("_nr = 1").drop("_nr", "_rank")
+
+        return self._change(rows, merged, batch)
 
     def put(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None) -> bool:
         return self.upsert(rows, order, batch)
@@ -164,11 +238,13 @@ class Store:
         state, gone = self._state() or {"folders": {}}, 0
         keep = {f"change={c}/bucket={b}" for b, c in state["folders"].items()}
         for kind in ("rows", "postings", "totals"):
-            fs, root, path = file_system(self.spark, f"{self.path}/{kind}")
+            fs, root, _ = file_system(self.spark, f"{self.path}/{kind}")
             for change in fs.listStatus(root) if fs.exists(root) else []:
-                for bucket in fs.listStatus(change.getPath()) if change.isDirectory() else []:
-                    if f"{change.getPath().getName()}/{bucket.getPath().getName()}" not in keep:
-                        gone += fs.delete(bucket.getPath(), True)
+                names = {f"{change.getPath().getName()}/{x.getPath().getName()}": x.getPath() for x in fs.listStatus(change.getPath()) if x.isDirectory()}
+                for where in [w for n, w in names.items() if n not in keep]:
+                    gone += fs.delete(where, True)
+                if not keep & names.keys():
+                    fs.delete(change.getPath(), True)
         for name in self._versions()[:-1]:
             fs, where, _ = file_system(self.spark, f"{self.path}/versions/{name}")
             fs.delete(where, False)
@@ -190,7 +266,8 @@ class Store:
         if found is None or not wanted:
             return None
         parts = sorted({zlib.crc32(t.encode()) % self.term_buckets for t in wanted})
-        return found.filter(F.col("term_bucket").isin(parts) & (F.col("field") == field) & F.col("term").isin(wanted))
+        found = found.filter(F.col("term_bucket").isin(parts) & (F.col("field") == field) & F.col("term").isin(wanted))
+        return found.select("field", "term", F.inline(F.arrays_zip("fragment_ids", "tfs", "lens"))).toDF("field", "term", "fragment_id", "tf", "len")
 
     def text_scores(self, query: str, field: str = "content") -> DataFrame:
         """fragment_id, score: as :func:`search.text_scores` of the whole index, from the query's postings and the totals."""

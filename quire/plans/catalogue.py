@@ -390,11 +390,11 @@ def batch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _changed_store(spark: SparkSession, sf_dir: str) -> store.Store:
     """All documents in a store; then those without a vector come again with another text, and a page and a row go."""
-    kept, base = store.Store(spark, scratch(spark, "store"), 8, 8), document_index(spark, sf_dir)
-    kept.upsert(base)
-    kept.upsert(base.filter(index.lacks_vector()).select("fragment_id", F.concat(F.lit("New text of the "), "fragment_id").alias("content"), "metadata"))
-    kept.delete_page(3)
-    kept.delete("doc_7")
+    kept = store.Store(spark, scratch(spark, "store"), 8, 8)
+    pending = lambda: kept.rows().filter(index.lacks_vector()).select("fragment_id", F.concat(F.lit("New text of the "), "fragment_id").alias("content"), "metadata")
+    for change in (lambda: kept.upsert(document_index(spark, sf_dir)), lambda: kept.upsert(pending()), lambda: kept.delete_page(3), lambda: kept.delete("doc_7")):
+        change()
+        kept.tidy()  # nobody else reads it: what a change replaces goes
     return kept
 
 

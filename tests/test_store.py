@@ -109,3 +109,33 @@ def test_a_stream_into_a_store(spark, tmp_path):
         ingest.ingest(spark, where["in"], Store(spark, where["store"], 4, 4), mode=ingest.Mode(item_ids=True), checkpoint=where["cp"]).awaitTermination(120)
     store = Store(spark, where["store"])
     assert sorted(r["content"] for r in store.frame().collect()) == ["one", "two"] and list(store._state()["batches"].values()) == [2]
+
+
+def test_a_change_takes_little_disk(spark, tmp_path):
+    """Postings aren't shuffled, a row is moved once, and neither shuffle files nor, after tidy, replaced files stay."""
+    store = Store(spark, str(tmp_path / "s"), 4, 4)
+    texts = spark.range(2000).select(F.concat(F.lit("d"), "id").alias("fragment_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(150)), lambda i: F.md5((F.col("id") % 7 * 1000 + i).cast("string"))), " ").alias("content"))
+    texts = texts.select("fragment_id", "content", F.lit(None).cast(schemas.METADATA).alias("metadata")).localCheckpoint()
+    moves, write = {}, store._write
+    store._write = lambda rows, kind, *more: moves.update({kind: rows._jdf.queryExecution().executedPlan().toString().count("Exchange hash")}) or write(rows, kind, *more)
+    store.upsert(texts)
+    assert moves["rows"] == 1 and moves["postings"] == 0
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(store.path) for f in names)
+    once = size()
+    for _ in range(3):
+        store.upsert(texts)
+        store.tidy()
+    assert size() < 1.2 * once and store.frame().count() == 2000
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: sum(os.path.getsize(os.path.join(d, f)) for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_"))
+    before = shuffled()
+    store.upsert(texts)
+    assert shuffled() - before < 20_000  # of counts by bucket; the texts have 10 MB
+    assert {r["tf"] for r in store.postings([store.frame().first()["content"].split(" ")[0]]).collect()} == {1}
+
+
+def test_a_store_of_another_layout_is_refused(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), 2, 2)
+    store._publish({"number": 0, "shape": [2, 2], "folders": {}, "batches": {}})
+    with pytest.raises(ValueError):
+        Store(spark, store.path)
