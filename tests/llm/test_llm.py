@@ -323,6 +323,28 @@ def test_quality_on_held_out_rows(spark):
     assert kept.columns == odd(spark).columns and kept.count() == len(ODD)
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    words = ["one", "Two", "three,", "FOUR", "five.", "six"]
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(words, 5 + int(rng.integers(40)))), int(rng.random() < 0.3)) for i in range(11_000)]
+    rows = [(i, t, int(len(t) > 150 or q)) for i, t, q in rows]
+    docs, known = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    got = quality_ranker.rank_quality(docs, known).filter("not held_out").select("doc_id", "predicted").collect()
+    wanted = sum(rows[r["doc_id"]][2] for r in got)
+    assert min(wanted, len(got) - wanted) > 3300 and abs(sum(r["predicted"] for r in got) - wanted) <= 5  # the threshold's share is that of all rows
+    # the step's direction is that of all pairs
+    x, y = quality_ranker._rows(pa.array([t for _, t, _ in rows[:400]])), np.array([q for *_, q in rows[:400]])
+    edges = [np.unique(np.quantile(x[:, j], [0.2, 0.5, 0.8])) for j in range(x.shape[1])]
+    model = quality_ranker.Model(edges, rng.normal(size=sum(len(e) + 1 for e in edges)), 0.0)
+    one = np.zeros((len(x), len(model.weights)))
+    np.put_along_axis(one, model.codes(x), 1, axis=1)
+    raw = one @ model.weights
+    loses = 1 / (1 + np.exp(raw[y == 1][:, None] - raw[y == 0][None, :]))
+    plain = (one[y == 0] * loses.mean(axis=0)[:, None]).mean(axis=0) - (one[y == 1] * loses.mean(axis=1)[:, None]).mean(axis=0)
+    measured = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(y, x, strict=True)], "label int, x array<float>")
+    assert np.abs(quality_ranker._gradient(measured, model) - plain).max() < 2e-3
+
+
 def test_tokens_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
