@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quire import schemas
 from quire.operators import index, search
 from quire.operators.store import Store
+from quire.plans import catalogue
 from quire.streaming import ingest
 
 LINE = "item_id string, page int, ocr_seq int, content string, ocr_confidence double, x1 int, y1 int, x2 int, y2 int"
@@ -139,3 +140,9 @@ def test_a_store_of_another_layout_is_refused(spark, tmp_path):
     store._publish({"number": 0, "shape": [2, 2], "folders": {}, "batches": {}})
     with pytest.raises(ValueError):
         Store(spark, store.path)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_the_store_that_hybrid_search_reads_keeps_one_version(spark):
+    kept = catalogue._changed_store(spark, "/root/testdata/sf0.001")
+    assert kept.tidy() == 0 and len(kept._versions()) == 1 and kept.hybrid_search([1.0] * 64, "the of").count() == 10
