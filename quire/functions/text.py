@@ -100,12 +100,14 @@ def label_colour(label: Column | str) -> Column:
 
 # Word-break classes. Fixed values.
 _EXTEND = r"[\p{M}\p{Cf}]*+"
-_LETTERS = rf"(?:[\p{{L}}\p{{Nl}}&&[^\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\u30fc\uff70]]{_EXTEND})++"
-_DIGITS = rf"(?:\p{{Nd}}{_EXTEND})++"
+_OTHER = r"(?![\x00-\x7F])"  # ASCII is told apart first: the classes of scripts are slow
+_LETTERS = rf"(?:[a-zA-Z]++{_EXTEND}|{_OTHER}[\p{{L}}\p{{Nl}}&&[^\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\u30fc\uff70]]{_EXTEND})++"
+_DIGITS = rf"(?:[0-9]++{_EXTEND}|{_OTHER}\p{{Nd}}{_EXTEND})++"
 _BOTH = r".'\u2018\u2019\u2024\ufe52\uff07\uff0e"
 _IN_WORDS = rf"[{_BOTH}:\u00b7\u0387\u2027\ufe55\uff1a]{_EXTEND}"
 _IN_NUMBERS = rf"[{_BOTH},;\u060c\u066c\ufe50\ufe54\uff0c\uff1b]{_EXTEND}"
-_WORD = rf"(?:(?<!_)_++)?+(?:(?:{_LETTERS}(?:{_IN_WORDS}{_LETTERS})*+|{_DIGITS}(?:{_IN_NUMBERS}{_DIGITS})*+)_*+)++|[\p{{IsHan}}\p{{IsHiragana}}]{_EXTEND}|(?:[\p{{IsKatakana}}\u30fc\uff70]{_EXTEND})++"
+_PLAIN = r"""[a-zA-Z]++(?=[\x20\n,;!?()"-]|\.[\x20\n])"""  # most words end so: the same match as by the rest, without trying it
+_WORD = rf"{_PLAIN}|(?:(?<!_)_++)?+(?:(?:{_LETTERS}(?:{_IN_WORDS}{_LETTERS})*+|{_DIGITS}(?:{_IN_NUMBERS}{_DIGITS})*+)_*+)++|{_OTHER}(?:[\p{{IsHan}}\p{{IsHiragana}}]{_EXTEND}|(?:[\p{{IsKatakana}}\u30fc\uff70]{_EXTEND})++)"
 _PIECE = rf"{_WORD}|[^\p{{L}}\p{{Nl}}\p{{Nd}}_]++|_++|(?s:.)"
 
 

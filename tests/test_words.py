@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions import text
 from quire.functions.text import passages, terms
 from quire.operators import search
 
@@ -65,3 +66,10 @@ def test_fragments_are_of_bounded_length(spark):
     _, best = marked(spark, text, "of w77", size=40, number=3)
     assert len(best) == 3 and all(len(x.replace("<em>", "").replace("</em>", "")) <= 40 for x in best)
     assert any("<em>w77</em>" in x for x in best)
+
+
+def test_plain_words_match_as_by_the_whole_rule(spark):
+    general = text._WORD.removeprefix(f"{text._PLAIN}|")
+    assert general != text._WORD
+    rows = spark.createDataFrame([(f"a{chr(i)}b {chr(i)} 1{chr(i)}2 {chr(i)}a_{chr(i)}.x ab,{chr(i)} a. {chr(i)}ab-{chr(i)} _ab c",) for i in range(1, 0x3100)], "t string")
+    assert rows.filter(F.regexp_extract_all("t", F.lit(general), F.lit(0)) != F.regexp_extract_all("t", F.lit(text._WORD), F.lit(0))).count() == 0
