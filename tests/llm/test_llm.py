@@ -332,6 +332,9 @@ def test_quality_learns_from_every_labelled_row(spark):
     got = quality_ranker.rank_quality(docs, known).filter("not held_out").select("doc_id", "predicted").collect()
     wanted = sum(rows[r["doc_id"]][2] for r in got)
     assert min(wanted, len(got) - wanted) > 3300 and abs(sum(r["predicted"] for r in got) - wanted) <= 5  # the threshold's share is that of all rows
+    learnt = {r["doc_id"] for r in got}
+    kept = [r["doc_id"] for r in quality_ranker.good_rows(docs, known).collect()]  # the pipeline's stage
+    assert abs(sum(i in learnt for i in kept) - wanted) <= 5
     # the step's direction is that of all pairs
     x, y = quality_ranker._rows(pa.array([t for _, t, _ in rows[:400]])), np.array([q for *_, q in rows[:400]])
     edges = [np.unique(np.quantile(x[:, j], [0.2, 0.5, 0.8])) for j in range(x.shape[1])]
