@@ -67,7 +67,7 @@ class WordEncoder:
         self.forget(pa.string())
 
     def forget(self, kind: pa.DataType) -> None:
-        self.words, self.flat, self.begins, self.lengths = pa.array([], kind), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words, self.flat, self.begins, self.lengths = pa.array([], kind), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and how many each has."""
@@ -77,12 +77,12 @@ class WordEncoder:
                 ids = e.ids
                 flat.extend(ids)
                 lengths.append(len(ids))
-        return np.array(flat, np.int32), np.array(lengths, dtype=np.int64)
+        return np.array(flat, np.int32), np.array(lengths, dtype=np.int32)
 
     def together(self, words: list[str], pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same for words of known numbers of pieces, as texts of many words. A piece's last id ends a word for the tokenizer."""
         if not words:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+            return np.zeros(0, np.int32), np.zeros(0, np.int32)
         parts = []
         for begin in range(0, len(words), 8192):
             joined = [" ".join(words[i : min(i + 1024, begin + 8192)]) for i in range(begin, min(begin + 8192, len(words)), 1024)]
@@ -100,7 +100,7 @@ class WordEncoder:
         many = pieces > 0
         a, n_a = self.together(words.filter(pa.array(many)).to_pylist(), pieces[many])
         b, n_b = self.one_by_one(words.filter(pa.array(~many)).to_pylist())
-        lengths, begins = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        lengths, begins = np.zeros(len(words), np.int32), np.zeros(len(words), np.int32)
         lengths[many], lengths[~many] = n_a, n_b
         begins[many], begins[~many] = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b + len(a)
         return np.concatenate([a, b]), begins, lengths
@@ -112,19 +112,25 @@ class WordEncoder:
         if words.type != self.words.type:
             self.forget(words.type)
         at = pc.index_in(words, value_set=self.words)
-        codes = np.asarray(pc.fill_null(at, -1)).astype(np.int64)
+        codes = np.array(pc.fill_null(at, -1))
         new = pc.dictionary_encode(words.filter(pc.is_null(at)))
+        del lists, words, at
         codes[codes < 0] = len(self.words) + np.asarray(new.indices)
         more, at_more, n_more = self.encode(new.dictionary)
-        flat, begins, lengths = np.concatenate([self.flat, more]), np.concatenate([self.begins, at_more + len(self.flat)]), np.concatenate([self.lengths, n_more])
+        # the new words' ids, and the end word's, after those of the table
+        one = np.ones(1, np.int32)
+        begins, lengths = np.concatenate([self.begins, at_more + len(self.flat), one * (len(self.flat) + len(more))]), np.concatenate([self.lengths, n_more, one])
+        flat = np.concatenate([self.flat, more, one * end])
         if len(self.words) < self.most:
-            self.words, self.flat, self.begins, self.lengths = pa.concat_arrays([self.words, new.dictionary]), flat, begins, lengths
+            self.words, self.flat, self.begins, self.lengths = pa.concat_arrays([self.words, new.dictionary]), flat[:-1], begins[:-1], lengths[:-1]
+        del new, more, at_more, n_more
         # the words of all texts, with the end word after each
-        flat, begins, lengths = np.append(flat, np.int32(end)), np.append(begins, len(flat)), np.append(lengths, 1)
         codes = np.insert(codes, offsets[1:] - offsets[0], len(lengths) - 1)
         n = lengths[codes]
-        ends = np.cumsum(n)
-        out = flat[np.repeat(begins[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(n, dtype=np.int64)
+        at = np.repeat((begins[codes] - (ends - n)).astype(np.int32), n)  # a batch has few bytes, or one text: places count to 2**31
+        at += np.arange(len(at), dtype=np.int32)
+        out = flat[at]
         last = offsets[1:] - offsets[0] + np.arange(len(offsets) - 1)  # where each text's end word is
         return out, np.concatenate([[0], ends[last]])
 
@@ -135,7 +141,7 @@ def _encode(how: Store, path: str):
         cache = worker_cache()
         if (key := ("tokens", path, how.cache_words)) not in cache:
             cache[key] = WordEncoder(path, how.cache_words)
-        for batch in small_batches(batches, limit=6 << 20):
+        for batch in small_batches(batches):
             ids, starts = cache[key].texts(batch.column("text"), how.end)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(starts)), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids))], ["doc_id", "n_tokens", "ids"])
 

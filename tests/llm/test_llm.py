@@ -367,6 +367,23 @@ def test_tokens_round_trip(spark, tmp_path):
     assert token_store.store_tokens(none(spark)).count() == 0
 
 
+def test_token_memory_is_bounded(monkeypatch):
+    """A large batch is encoded in small pieces, with places in 32 bits: a worker's arrays take a few times a piece."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"word{i % 50} {i % 9999}." for i in rng.integers(0, 10**6, 20_000)) for _ in range(30)]
+    batch = pa.record_batch({"doc_id": list(range(30)), "text": texts})
+    encoder = token_store.WordEncoder(token_store.tokenizer_path("word_bpe_49k.json"), 400_000)
+    plain = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts[:3]]
+    how = token_store.Store()
+    monkeypatch.setattr(token_store, "worker_cache", lambda: {("tokens", "path", how.cache_words): encoder})
+    sizes, texts_of = [], encoder.texts
+    encoder.texts = lambda column, end: sizes.append(sum(len(t) for t in column.to_pylist())) or texts_of(column, end)
+    got = [ids for out in token_store._encode(how, "path")(iter([batch])) for ids in out.column("ids").to_pylist()]
+    assert got[:3] == plain and len(got) == 30
+    assert sum(sizes) == sum(map(len, texts)) > 6 << 20 and max(sizes) <= 2 << 20
+    assert encoder.begins.dtype == encoder.lengths.dtype == np.int32
+
+
 def test_token_files(spark, tmp_path):
     import pyarrow.parquet as pq
 
