@@ -2,7 +2,8 @@
 
 Rows are in ``buckets`` parts by a hash of fragment_id. Beside them stand postings in parts by bucket and by a hash of the
 term, and each bucket's totals. A row of postings has a term and its documents (fragment_ids, tfs, lens) within a batch of rows; postings are made
-where their rows were written, without a shuffle. A change moves each row once and its shuffle files go when it is written. It writes the buckets that it touches to a
+where their rows were written, without a shuffle. A change moves each row once and its shuffle files go when it is written; an upsert writes its new
+rows to files first and goes through its buckets in parts, so that shuffle files of one part take disk at a time. A change writes the buckets that it touches to a
 folder of its own (change=...), then a version file that says which folder each bucket has; the
 version file counts from the moment it has its name, so readers never see half a change and a driver that dies leaves none.
 Two writers can't take the same version number: the later one fails, and may try again.
@@ -40,6 +41,8 @@ _TOTALS = "field string, n bigint, words bigint, change string, bucket int"
 LAYOUT = 2
 #: A bucket of more rows is dealt to several tasks.
 ROWS_A_TASK = 10_000
+#: An upsert goes through its buckets in so many parts, one after the other.
+PARTS = 4
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -160,28 +163,36 @@ class Store:
 
     def _change(self, ids: DataFrame, how: Callable[[DataFrame, Callable[[DataFrame], DataFrame]], DataFrame], batch: tuple[str, int] | None) -> bool:
         """:meth:`change`, where ``how`` gets the old rows and a function that deals rows out by bucket, and returns rows dealt out."""
-        state = self._state() or {"number": -1, "shape": [self.buckets, self.term_buckets], "folders": {}, "batches": {}}
+        state = self._open()
         if batch and state["batches"].get(batch[0], -1) >= batch[1]:
             return False
         counts = self._touched(ids)
-        touched = sorted(counts)
         name = f"{state['number'] + 1:012d}-{uuid.uuid4().hex}"
-        folders = dict(state["folders"])
-        if touched:
+        if touched := sorted(counts):
             old = self.rows(touched)
             slices = 1 + (sum(counts.values()) + old.count()) // (len(touched) * ROWS_A_TASK)
+            with _cleaned(self.spark):
+                self._write(how(old, lambda rows: self._placed(rows, touched, slices)).drop("_slice"), "rows", name, "bucket")
+        self._finish(state, touched, name, batch)
+        return True
+
+    def _open(self) -> dict:
+        """The newest version, or what comes before the first."""
+        return self._state() or {"number": -1, "shape": [self.buckets, self.term_buckets], "folders": {}, "batches": {}}
 
-            def placed(rows: DataFrame) -> DataFrame:
-                rows = rows.filter("fragment_id is not null").withColumn("bucket", _part("fragment_id", self.buckets)).filter(F.col("bucket").isin(touched))
-                return rows.withColumn("_slice", F.pmod(F.xxhash64("fragment_id"), F.lit(slices))).repartition(len(touched) * slices, "bucket", "_slice")
+    def _placed(self, rows: DataFrame, buckets: list[int], slices: int) -> DataFrame:
+        """Rows of some buckets dealt out, each bucket in so many slices."""
+        rows = rows.filter("fragment_id is not null").withColumn("bucket", _part("fragment_id", self.buckets)).filter(F.col("bucket").isin(buckets))
+        return rows.withColumn("_slice", F.pmod(F.xxhash64("fragment_id"), F.lit(slices))).repartition(len(buckets) * slices, "bucket", "_slice")
 
+    def _finish(self, state: dict, touched: list[int], name: str, batch: tuple[str, int] | None) -> None:
+        """Postings of the rows that were written, and the version that has them."""
+        if touched:
+            own = self.spark.read.schema(f"{schemas.INDEX}, change string, bucket int").parquet(f"{self.path}/rows").filter((F.col("change") == name) & F.col("bucket").isin(touched))
             with _cleaned(self.spark):
-                self._write(how(old, placed).drop("_slice"), "rows", name, "bucket")
-                own = self.spark.read.schema(f"{schemas.INDEX}, change string, bucket int").parquet(f"{self.path}/rows").filter((F.col("change") == name) & F.col("bucket").isin(touched))
                 self._write_terms(own, name)
-            folders |= {str(k): name for k in touched}
+        folders = dict(state["folders"]) | {str(k): name for k in touched}
         self._publish({"number": state["number"] + 1, "shape": [self.buckets, self.term_buckets], "layout": LAYOUT, "folders": folders, "batches": state["batches"] | ({batch[0]: batch[1]} if batch else {})})
-        return True
 
     def _write(self, rows: DataFrame, kind: str, change: str, *parts: str) -> None:
         rows.write.mode("append").option("compression", "zstd").partitionBy(*parts).parquet(f"{self.path}/{kind}/change={change}")
@@ -196,18 +207,39 @@ class Store:
         self._write(totals.coalesce(1), "totals", change, "bucket")  # two rows a bucket
 
     def upsert(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None) -> bool:
-        """As :func:`index.upsert`; new rows and old ones meet in their buckets, so that texts are moved once."""
+        """As :func:`index.upsert`. ``rows`` are made once, into files; then they meet the old ones in their buckets, part by part, so that texts are moved once."""
+        state = self._open()
+        if batch and state["batches"].get(batch[0], -1) >= batch[1]:
+            return False
         if "embeddings" not in rows.columns:
             rows = rows.withColumn("embeddings", F.lit(None).cast("array<float>"))
         names = [f.name for f in index.empty(self.spark).schema]
-        new = rows.select(*names, F.struct(F.lit(1).alias("new"), (F.col(order) if order else F.lit(0)).alias("order"), F.xxhash64(*rows.columns).alias("hash")).alias("_rank"))
-        newest = Window.partitionBy("bucket", "_slice", "fragment_id").orderBy(F.desc("_rank"))
-
-        def merged(old: DataFrame, placed: Callable[[DataFrame], DataFrame]) -> DataFrame:
-            old = old.select(*names, F.lit(None).cast(new.schema["_rank"].dataType).alias("_rank"))  # after all new ones
-            return placed(old.unionByName(new)).withColumn("_nr", F.row_number().over(newest)).filter("_nr = 1").drop("_nr", "_rank")
-
-        return self._change(rows, merged, batch)
+        new = rows.select(*names, F.struct(F.lit(1).alias("new"), (F.col(order) if order else F.lit(0)).alias("order"), F.xxhash64(*rows.columns).alias("hash")).alias("_rank")).filter("fragment_id is not null")
+        rank = new.schema["_rank"].dataType
+        name = f"{state['number'] + 1:012d}-{uuid.uuid4().hex}"
+        fs, staged, path = file_system(self.spark, f"{self.path}/staged/change={name}")
+        try:
+            with _cleaned(self.spark):
+                self._write(new.withColumn("part", _part("fragment_id", self.buckets) % PARTS), "staged", name, "part")
+            new = self.spark.read.schema(new.withColumn("part", F.lit(0)).schema).parquet(f"{self.path}/staged/change={name}")
+            counts = self._touched(new)
+            touched = sorted(counts)
+            old = self.rows(touched)
+            total = sum(counts.values()) + old.count()
+            step = -(-PARTS // (1 + total // ROWS_A_TASK))  # all at once if they are few
+            newest = Window.partitionBy("bucket", "_slice", "fragment_id").orderBy(F.desc("_rank"))
+            for parts in (range(k, min(k + step, PARTS)) for k in range(0, PARTS, step)):
+                if some := [b for b in touched if b % PARTS in parts]:
+                    both = self.rows(some).select(*names, F.lit(None).cast(rank).alias("_rank")).unionByName(new.filter(F.col("part").isin(*parts)).drop("part"))  # old rows after all new ones
+                    dealt = self._placed(both, some, 1 + total // (len(touched) * ROWS_A_TASK))
+                    with _cleaned(self.spark):
+                        self._write(dealt.withColumn("_nr", F.row_number().over(newest)).filter("_nr = 1").drop("_nr", "_rank", "_slice"), "rows", name, "bucket")
+                for part in parts:
+                    fs.delete(path(f"{self.path}/staged/change={name}/part={part}"), True)
+        finally:
+            fs.delete(staged, True)
+        self._finish(state, touched, name, batch)
+        return True
 
     def put(self, rows: DataFrame, order: str | None = None, batch: tuple[str, int] | None = None) -> bool:
         return self.upsert(rows, order, batch)
@@ -237,7 +269,7 @@ class Store:
         """Removes the files that the newest version doesn't name, older versions and changes cut off among them; their number of folders. No reader may be at an older version."""
         state, gone = self._state() or {"folders": {}}, 0
         keep = {f"change={c}/bucket={b}" for b, c in state["folders"].items()}
-        for kind in ("rows", "postings", "totals"):
+        for kind in ("rows", "postings", "totals", "staged"):
             fs, root, _ = file_system(self.spark, f"{self.path}/{kind}")
             for change in fs.listStatus(root) if fs.exists(root) else []:
                 names = {f"{change.getPath().getName()}/{x.getPath().getName()}": x.getPath() for x in fs.listStatus(change.getPath()) if x.isDirectory()}

@@ -146,3 +146,28 @@ def test_a_store_of_another_layout_is_refused(spark, tmp_path):
 def test_the_store_that_hybrid_search_reads_keeps_one_version(spark):
     kept = catalogue._changed_store(spark, "/root/testdata/sf0.001")
     assert kept.tidy() == 0 and len(kept._versions()) == 1 and kept.hybrid_search([1.0] * 64, "the of").count() == 10
+
+
+def test_an_upsert_goes_part_by_part(spark, tmp_path, monkeypatch):
+    """Its new rows are made once, each write of rows shuffles a part of the buckets alone, and files in between go; the rows are those of the plain function."""
+    from quire.operators import store as module
+
+    store, plain = Store(spark, str(tmp_path / "s"), 8, 4), rows(spark, [f"word{i}" for i in range(200)])
+    monkeypatch.setattr(module, "ROWS_A_TASK", 20)
+    store.upsert(plain)
+    counted = spark.sparkContext.accumulator(0)
+
+    def made(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    some = rows(spark, ["word3", "fresh", *[f"word{i}" for i in range(50, 120)]], "other words {} here").coalesce(1)
+    new = some.mapInArrow(made, some.schema)
+    written, write = [], store._write
+    store._write = lambda df, kind, *more: (kind == "rows" and written.append({r[0] for r in df.select("bucket").distinct().collect()}), write(df, kind, *more))
+    store.upsert(new)
+    assert counted.value == 72
+    assert len(written) == 4 and all(len(x) == 2 for x in written) and set.union(*written) == set(range(8))
+    assert not os.listdir(f"{store.path}/staged") and store.tidy() > 0
+    check(store, index.upsert(plain, some))
