@@ -690,6 +690,19 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
+def test_pipeline_takes_no_sample(spark, monkeypatch):
+    import corpus_pipeline
+    from quire.llm import _common
+
+    def fails(*args, **more):
+        raise AssertionError("a sample")
+
+    for module in (_common, language_id, toxicity):
+        monkeypatch.setattr(module, "sampled", fails)
+    assert not any(hasattr(m, "sampled") for m in (corpus_pipeline, quality_ranker, near_dedup, decontaminate, mixing, token_store))
+    assert corpus_pipeline.run(spark, SF).count() > 0
+
+
 def folder(tmp_path, spark, docs):
     import os
 
